@@ -48,8 +48,7 @@ def _day_stats(n: Column, prefix: str, with_min: bool) -> list[Column]:
         F.max_by(n, F.when(n > 0, wday)).alias(f"{prefix}_latest_n"),
         F.max(on).alias(f"{prefix}_max"),
         F.median(on).alias(f"{prefix}_median"),
-        F.stddev_samp(on).alias(f"{prefix}_std"),
-        F.var_samp(on).alias(f"{prefix}_var"),
+        F.var_samp(on).alias(f"{prefix}_var"),   # std = sqrt(var), as stddev_samp
     ]
     if with_min:
         cols.append(F.min(on).alias(f"{prefix}_min"))
@@ -104,7 +103,7 @@ def activity_features(mode: str = AS_COMPUTED) -> list[tuple[str, Column]]:
         ("user_operate_video_day_min", zero(F.col("act_min"))),
         ("user_operate_video_day_mean", zero(rate(F.col("act_rows"), ds.count_days(days)))),
         ("user_operate_video_day_median", zero(F.col("act_median"))),
-        ("user_operate_video_day_std", zero(F.col("act_std"))),
+        ("user_operate_video_day_std", zero(F.sqrt(F.col("act_var")))),
         ("user_operate_video_day_var", zero(F.col("act_var"))),
         ("operate_video_distance_day", seventeen(F.lit(CURRENT_DAY) - ds.last_day(days))),
         ("operate_video_day_occupy", zero(rate(ds.step_weight_sum(days), wage))),
@@ -124,7 +123,7 @@ def activity_features(mode: str = AS_COMPUTED) -> list[tuple[str, Column]]:
             out.append((f"user_operated_{f}_day_min", zero(F.col(f"{p}_min"))))
         out += [
             (f"user_operated_{f}_day_median", zero(F.col(f"{p}_median"))),
-            (f"user_operated_{f}_day_std", zero(F.col(f"{p}_std"))),
+            (f"user_operated_{f}_day_std", zero(F.sqrt(F.col(f"{p}_var")))),
             (f"user_operated_{f}_day_var", zero(F.col(f"{p}_var"))),
             (f"user_operated_{f}_day_mean",
              zero(rate(F.col(f"{p}_rows"), ds.count_days(fdays)))),
@@ -155,3 +154,55 @@ def activity_features(mode: str = AS_COMPUTED) -> list[tuple[str, Column]]:
          zero((ds.any_day(days, 13, 14) & ds.any_day(days, 6, 7)).cast("int"))),
     ]
     return out
+
+
+def activity_row_gaps(activity: DataFrame, windows: Sequence[FeatureWindow]) -> DataFrame:
+    """``(window_id, user_id, user_activity_diff_day_{max,min,mean})`` -- gaps
+    between consecutive raw rows, NULL for a single row."""
+    grain = (assign_windows(activity.select("user_id", "day"), windows)
+             .groupBy("window_id", "user_id", "wday").agg(F.count("*").alias("n")))
+    per_user = grain.groupBy("window_id", "user_id").agg(
+        F.bit_or(ds.day_bit(F.col("wday"))).alias("days"),
+        F.sum("n").alias("rows"), F.max("n").alias("max_per_day"))
+    gmax, gmin, gmean = raw_row_gaps(F.col("days"), F.col("rows"), F.col("max_per_day"))
+    return per_user.select("window_id", "user_id",
+                           gmax.cast("double").alias("user_activity_diff_day_max"),
+                           gmin.cast("double").alias("user_activity_diff_day_min"),
+                           gmean.cast("double").alias("user_activity_diff_day_mean"))
+
+
+def category_day_stats(activity: DataFrame, windows: Sequence[FeatureWindow],
+                       column: str) -> DataFrame:
+    """Long form of the per-category statistics: one row per
+    ``(window_id, user_id, category)`` with ``category = <column><value>``.
+
+    The narrow alternative to the wide block: one small aggregate keyed by
+    the category instead of one aggregate column per category."""
+    grain = (assign_windows(activity.select("user_id", "day", column), windows)
+             .groupBy("window_id", "user_id", column, "wday").agg(F.count("*").alias("n")))
+    n, wday = F.col("n"), F.col("wday")
+    stats = grain.groupBy("window_id", "user_id", column).agg(
+        F.sum(n).alias("rows"),
+        F.bit_or(ds.day_bit(wday)).alias("days_set"),
+        F.max_by(n, wday).alias("latest_n"),
+        F.max(n).alias("day_max"), F.min(n).alias("day_min"),
+        F.median(n).alias("day_median"), F.var_samp(n).alias("day_var"))
+    days = F.col("days_set")
+    return stats.select(
+        "window_id", "user_id",
+        F.concat(F.lit(column), F.col(column).cast("string")).alias("category"),
+        "rows", (F.lit(CURRENT_DAY) - ds.last_day(days)).alias("last_day_distance"),
+        "latest_n", "day_max", "day_min", "day_median",
+        F.sqrt("day_var").alias("day_std"), "day_var",
+        (F.col("rows") / ds.count_days(days)).alias("day_mean"),
+        ds.step_weight_sum(days).alias("occupy"),
+        ds.count_days(days).alias("active_days"))
+
+
+# Fixed action-type weights of the (disabled) activity score:
+# types 0..3 score type + 1, types 4 and 5 score type - 6.
+def action_score(activity: DataFrame, windows: Sequence[FeatureWindow]) -> DataFrame:
+    a = F.col("action_type")
+    tagged = assign_windows(activity.select("user_id", "day", "action_type"), windows)
+    return (tagged.groupBy("window_id", "user_id")
+            .agg(F.sum(F.when(a <= 3, a + 1).otherwise(a - 6)).cast("long").alias("action_score")))

@@ -1,18 +1,34 @@
 """Named queries over the benchmark tables (the registry behind
-``__spark_entry__``).  Each takes ``(spark, sf_dir)`` and returns a DataFrame;
-doubles are rounded to 6 decimals so results compare across engines.
+``__spark_entry__``).  Each takes ``(spark, sf_dir)``, reads the fixture logs
+derived from ``customer`` / ``events`` and returns a DataFrame; doubles are
+rounded to 6 decimals so results compare across engines.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import daysets as ds
+from ..functions.weights import CURRENT_DAY, FEATURE_DAYS, HORIZONS
+from ..operators import activity as act
+from ..operators import creation as cre
+from ..operators import launch as lau
+from ..operators import popularity as pop
+from ..operators.affinity import video_affinity
+from ..operators.label import any_log_labels, launch_labels
+from ..operators.recurrence import flagged_users
+from ..operators.spine import register_type_categories, user_spine
+from ..operators.windows import STANDARD_WINDOWS, assign_windows, window
+from ..session import checkpoint_path
 from ..sources.logs import fixture_logs
-from ..operators.windows import STANDARD_WINDOWS, window
-from ..operators.launch import AS_COMPUTED, INTENDED
-from .features import feature_table
+from ..sources.sinks import read_feature_csv, write_feature_csv, profile
+from .features import KEYS, feature_table
+
+W = STANDARD_WINDOWS
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -25,13 +41,232 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*cols)
 
 
+def _logs(spark, sf_dir):
+    return fixture_logs(spark, sf_dir)
+
+
+# --- spine -------------------------------------------------------------------
+
+def register_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    logs = _logs(spark, sf_dir)
+    return rounded(user_spine(logs.register, W, register_type_categories(logs.register)))
+
+
+# --- launch ------------------------------------------------------------------
+
+def launch_daily_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (assign_windows(_logs(spark, sf_dir).launch, W)
+            .select("window_id", "user_id", "wday").distinct())
+
+
+def _launch_active(spark, sf_dir):
+    sets = lau.launch_day_sets(_logs(spark, sf_dir).launch, W, with_label_days=False)
+    return sets.where(F.col("launch_days") != 0)
+
+
+def launch_recency_weight(spark: SparkSession, sf_dir: str) -> DataFrame:
+    days = F.col("launch_days")
+    return rounded(_launch_active(spark, sf_dir).select(
+        *KEYS,
+        (F.lit(CURRENT_DAY) - ds.last_day(days)).cast("int").alias("user_launch_last_day_distance"),
+        ds.cumulative_weight_sum(days).alias("user_launch_date_occupied"),
+        ds.step_weight_sum(days).alias("launch_step_weight"),
+        ds.count_days(days).alias("launch_days")))
+
+
+def _gap_columns(days, prefix):
+    return [ds.gap_max(days).cast("double").alias(f"{prefix}_max"),
+            ds.gap_min(days).cast("double").alias(f"{prefix}_min"),
+            ds.gap_mean(days).cast("double").alias(f"{prefix}_mean")]
+
+
+def launch_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(_launch_active(spark, sf_dir).select(
+        *KEYS, *_gap_columns(F.col("launch_days"), "diff_day")))
+
+
+def horizon_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    days = F.col("launch_days")
+    return _launch_active(spark, sf_dir).select(
+        *KEYS, *[ds.count_days(days, CURRENT_DAY - i, FEATURE_DAYS)
+                 .alias(f"app_launch{i}_day_before_rate") for i in HORIZONS])
+
+
+# --- creation ----------------------------------------------------------------
+
+def create_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    block = cre.creation_block(_logs(spark, sf_dir).create, W)
+    return rounded(block.select(*KEYS, *_gap_columns(F.col("create_days"), "create_video_diff_day")))
+
+
+def create_day_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    block = cre.creation_block(_logs(spark, sf_dir).create, W)
+    days = F.col("create_days")
+    return rounded(block.select(
+        *KEYS,
+        F.col("create_rows").alias("video_create_times"),
+        ds.count_days(days).alias("day_num_create_video"),
+        F.col("create_day_max").alias("user_video_create_day_max"),
+        F.col("create_day_min").alias("user_video_create_day_min"),
+        (F.col("create_rows") / ds.count_days(days)).alias("user_video_create_day_mean"),
+        (F.lit(CURRENT_DAY) - ds.last_day(days)).cast("int")
+        .alias("user_video_create_latest_day_distance"),
+        F.col("create_latest_n").alias("user_video_create_latest_day_num"),
+        ds.step_weight_sum(days).alias("user_video_create_day_occupy"),
+        F.col("create_weighted_rows").alias("weight_create_count")))
+
+
+# --- activity ----------------------------------------------------------------
+
+def activity_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(act.activity_row_gaps(_logs(spark, sf_dir).activity, W))
+
+
+def activity_day_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    block = act.activity_block(_logs(spark, sf_dir).activity, W)
+    days = F.col("act_days")
+    return rounded(block.select(
+        *KEYS,
+        F.col("act_rows").alias("video_operate_times"),
+        ds.count_days(days).alias("user_operate_video_day_num"),
+        F.col("act_max").alias("user_operate_video_day_max"),
+        F.col("act_min").alias("user_operate_video_day_min"),
+        (F.col("act_rows") / ds.count_days(days)).alias("user_operate_video_day_mean"),
+        F.col("act_median").alias("user_operate_video_day_median"),
+        F.sqrt("act_var").alias("user_operate_video_day_std"),
+        F.col("act_var").alias("user_operate_video_day_var"),
+        (F.lit(CURRENT_DAY) - ds.last_day(days)).cast("int").alias("operate_video_distance_day"),
+        F.col("act_weighted_rows").alias("user_operate_video_weight"),
+        ds.step_weight_sum(days).alias("operate_video_day_occupy")))
+
+
+def page_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(act.category_day_stats(_logs(spark, sf_dir).activity, W, "page"))
+
+
+def action_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(act.category_day_stats(_logs(spark, sf_dir).activity, W, "action_type"))
+
+
+def action_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return act.action_score(_logs(spark, sf_dir).activity, W)
+
+
+# --- recurrence --------------------------------------------------------------
+
+def _flags(spark, sf_dir, flag, mode):
+    logs = _logs(spark, sf_dir)
+    parts = [flagged_users(log, W, flag, mode).select(F.lit(name).alias("log"), *KEYS)
+             for name, log in (("launch", logs.launch), ("create", logs.create),
+                               ("activity", logs.activity))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def cycle_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _flags(spark, sf_dir, "cycle", lau.AS_COMPUTED)
+
+
+def week_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _flags(spark, sf_dir, "week", lau.AS_COMPUTED)
+
+
+def cycle_flags_any_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _flags(spark, sf_dir, "cycle", lau.INTENDED)
+
+
+# --- affinity / popularity ---------------------------------------------------
+
+def item_affinity_video(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(video_affinity(_logs(spark, sf_dir).activity, W))
+
+
+def item_affinity_author(spark: SparkSession, sf_dir: str) -> DataFrame:
+    block = pop.author_block(_logs(spark, sf_dir).activity, W)
+    return rounded(block.drop("author_atttractive_force"))
+
+
+def top_authors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    activity = _logs(spark, sf_dir).activity
+    top = pop.top_authors(pop.author_views(activity, W))
+    return top.select("window_id", "author_id", "views", F.col("author_rank").cast("int"))
+
+
+def author_attraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    block = pop.author_block(_logs(spark, sf_dir).activity, W)
+    return rounded(block.where(F.col("author_atttractive_force") > 0)
+                   .select(*KEYS, "author_atttractive_force"))
+
+
+def user_top_author_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sets = pop.user_top_authors(_logs(spark, sf_dir).activity, W)
+    return sets.select(*KEYS, F.array_join(F.col("top_authors_viewed").cast("array<string>"), ",")
+                       .alias("top_authors_viewed"))
+
+
+def is_author_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    logs = _logs(spark, sf_dir)
+    spine = user_spine(logs.register, W, [])
+    flags = pop.author_flags(pop.author_views(logs.activity, W))
+    return spine.join(flags, KEYS, "left_semi").select(*KEYS)
+
+
+# --- labels ------------------------------------------------------------------
+
+def label_launch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return launch_labels(_logs(spark, sf_dir).launch, W)
+
+
+def label_any_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return any_log_labels(_logs(spark, sf_dir), W)
+
+
+# --- feature table -----------------------------------------------------------
+
+HORIZON_FEATURES = (
+    [f"video_create{i}_{s}" for i in HORIZONS
+     for s in ("day_before_sum", "day_sum_weight", "day_occupy", "num_day")]
+    + [f"user_activity{i}_{s}" for i in HORIZONS
+       for s in ("day_sum", "day_sum_weight", "day_occupy", "num_day")]
+    + [f"weight_user_view_video_{i}_weight_rete" for i in HORIZONS]
+    + [f"user_view_same_author_{i}_weight_rate" for i in HORIZONS]
+)
+
+
 def feature_matrix_all_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(feature_table(fixture_logs(spark, sf_dir), STANDARD_WINDOWS))
+    return rounded(feature_table(_logs(spark, sf_dir), W))
 
 
 def feature_matrix_w1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(feature_table(fixture_logs(spark, sf_dir), [window(STANDARD_WINDOWS, 1)]))
+    return rounded(feature_table(_logs(spark, sf_dir), [window(W, 1)]))
 
 
 def feature_matrix_intended(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(feature_table(fixture_logs(spark, sf_dir), STANDARD_WINDOWS, mode=INTENDED))
+    return rounded(feature_table(_logs(spark, sf_dir), W, mode=lau.INTENDED))
+
+
+def normalized_horizons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = feature_table(_logs(spark, sf_dir), W)
+    return rounded(table.select(*KEYS, *HORIZON_FEATURES))
+
+
+def training_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows 1 and 2 computed as separate jobs and stacked (must equal the
+    same windows of the all-windows job)."""
+    logs = _logs(spark, sf_dir)
+    cats = register_type_categories(logs.register)
+    w1 = feature_table(logs, [window(W, 1)], categories=cats)
+    w2 = feature_table(logs, [window(W, 2)], categories=cats)
+    return rounded(w1.unionByName(w2))
+
+
+def feature_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(profile(feature_table(_logs(spark, sf_dir), W), exclude=KEYS))
+
+
+def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feature table written as CSV with a header (the interchange format of
+    the training scripts) into the shared checkpoint folder, then read back."""
+    table = feature_table(_logs(spark, sf_dir), W)
+    path = checkpoint_path(spark, f"feature_csv_{uuid.uuid4().hex}")
+    write_feature_csv(table, path)
+    return rounded(read_feature_csv(spark, path, table.schema))

@@ -359,3 +359,189 @@ LEFT JOIN attr ON attr.window_id = s.window_id AND attr.user_id = s.user_id
 LEFT JOIN isa ON isa.window_id = s.window_id AND isa.user_id = s.user_id
 LEFT JOIN {lab} ON {lab}.window_id = s.window_id AND {lab}.user_id = s.user_id{extra_joins}
 {where}"""
+
+
+# --- per-operator oracles ------------------------------------------------------
+
+def _with(body: str, extra: str = "") -> str:
+    return f"WITH {FEATURE_CTES}{extra}\n{body}"
+
+
+def register_spine_sql() -> str:
+    onehot = ",\n  ".join(f"CASE WHEN s.rt_ord = {k} THEN 1 ELSE 0 END AS register_type{k}"
+                          for k in range(N_REGISTER_TYPES))
+    return _with(f"""SELECT s.window_id, s.user_id, s.age AS register_day_distance, s.device_type,
+  {onehot},
+  {r6('s.wage')} AS register_day_count
+FROM spine s""")
+
+
+def launch_daily_distinct_sql() -> str:
+    return _with("SELECT window_id, user_id, CAST(d AS INT) AS wday FROM la")
+
+
+def launch_recency_weight_sql() -> str:
+    return _with(f"""SELECT window_id, user_id, CAST(last_dist AS INT) AS user_launch_last_day_distance,
+  {r6('occ')} AS user_launch_date_occupied, {r6('occ_step')} AS launch_step_weight,
+  CAST(days AS BIGINT) AS launch_days
+FROM la_u""")
+
+
+def launch_gaps_sql() -> str:
+    return _with(f"""SELECT window_id, user_id, {r6('gmax')} AS diff_day_max,
+  {r6('gmin')} AS diff_day_min, {r6('gmean')} AS diff_day_mean FROM la_u""")
+
+
+def horizon_counts_sql() -> str:
+    cols = ", ".join(f"CAST(nd{i} AS BIGINT) AS app_launch{i}_day_before_rate" for i in HORIZONS)
+    return _with(f"SELECT window_id, user_id, {cols} FROM la_u")
+
+
+def create_gaps_sql() -> str:
+    return _with(f"""SELECT window_id, user_id, {r6('gmax')} AS create_video_diff_day_max,
+  {r6('gmin')} AS create_video_diff_day_min, {r6('gmean')} AS create_video_diff_day_mean
+FROM cr_u""")
+
+
+def create_day_rollup_sql() -> str:
+    return _with(f"""SELECT window_id, user_id,
+  CAST(rows_ AS BIGINT) AS video_create_times, CAST(days AS BIGINT) AS day_num_create_video,
+  CAST(nmax AS BIGINT) AS user_video_create_day_max, CAST(nmin AS BIGINT) AS user_video_create_day_min,
+  {r6('nmean')} AS user_video_create_day_mean,
+  CAST(last_dist AS INT) AS user_video_create_latest_day_distance,
+  CAST(latest_n AS BIGINT) AS user_video_create_latest_day_num,
+  {r6('occ')} AS user_video_create_day_occupy, {r6('wrows')} AS weight_create_count
+FROM cr_u""")
+
+
+def activity_gaps_sql() -> str:
+    return _with(f"""SELECT window_id, user_id, {r6('gmax')} AS user_activity_diff_day_max,
+  {r6('gmin')} AS user_activity_diff_day_min, {r6('gmean')} AS user_activity_diff_day_mean
+FROM ac_rg""")
+
+
+def activity_day_stats_sql() -> str:
+    return _with(f"""SELECT window_id, user_id,
+  CAST(rows_ AS BIGINT) AS video_operate_times, CAST(days AS BIGINT) AS user_operate_video_day_num,
+  CAST(nmax AS BIGINT) AS user_operate_video_day_max, CAST(nmin AS BIGINT) AS user_operate_video_day_min,
+  {r6('nmean')} AS user_operate_video_day_mean, {r6('nmed')} AS user_operate_video_day_median,
+  {r6('nstd')} AS user_operate_video_day_std, {r6('nvar')} AS user_operate_video_day_var,
+  CAST(last_dist AS INT) AS operate_video_distance_day,
+  {r6('wrows')} AS user_operate_video_weight, {r6('occ')} AS operate_video_day_occupy
+FROM ac_u""")
+
+
+def category_profile_sql(prefix: str) -> str:
+    return _with(f"""SELECT window_id, user_id, cat AS category, CAST(rows_ AS BIGINT) AS rows,
+  CAST(last_dist AS INT) AS last_day_distance, CAST(latest_n AS BIGINT) AS latest_n,
+  CAST(nmax AS BIGINT) AS day_max, CAST(nmin AS BIGINT) AS day_min, {r6('nmed')} AS day_median,
+  {r6('nstd')} AS day_std, {r6('nvar')} AS day_var, {r6('nmean')} AS day_mean,
+  {r6('occ')} AS occupy, CAST(days AS BIGINT) AS active_days
+FROM ac_c WHERE cat LIKE '{prefix}%'""")
+
+
+def action_score_sql() -> str:
+    return _with("""SELECT window_id, user_id,
+  CAST(SUM(CASE WHEN action_type <= 3 THEN action_type + 1 ELSE action_type - 6 END) AS BIGINT)
+    AS action_score
+FROM ac GROUP BY window_id, user_id""")
+
+
+def _flag_sql(kind: str) -> str:
+    if kind == "pair":
+        extra = (",\n" + _pair_cte("la_p", "la") + ",\n" + _pair_cte("cr_p", "cr_d")
+                 + ",\n" + _pair_cte("ac_p", "ac_d"))
+        return _with("""SELECT 'launch' AS log, window_id, user_id FROM la_p
+UNION ALL SELECT 'create' AS log, window_id, user_id FROM cr_p
+UNION ALL SELECT 'activity' AS log, window_id, user_id FROM ac_p""", extra)
+    return _with(f"""SELECT 'launch' AS log, window_id, user_id FROM la_u WHERE {kind} = 1
+UNION ALL SELECT 'create' AS log, window_id, user_id FROM cr_u WHERE {kind} = 1
+UNION ALL SELECT 'activity' AS log, window_id, user_id FROM ac_u WHERE {kind} = 1""")
+
+
+def _affinity_sql(src: str, full: str, horizon: str) -> str:
+    cols = ", ".join(f"{r6(f'm{i}')} AS {horizon.format(i=i)}" for i in HORIZONS)
+    return _with(f"SELECT window_id, user_id, {r6('m_all')} AS {full}, {cols} FROM {src}")
+
+
+def top_authors_sql() -> str:
+    return _with("""SELECT window_id, author_id, CAST(views AS BIGINT) AS views,
+  CAST(rk AS INT) AS author_rank FROM topa""")
+
+
+def author_attraction_sql() -> str:
+    return _with(f"SELECT window_id, user_id, {r6('force')} AS author_atttractive_force FROM attr")
+
+
+def user_top_author_set_sql() -> str:
+    return _with("""SELECT p.window_id, p.user_id,
+  string_agg(CAST(p.author_id AS VARCHAR), ',' ORDER BY p.author_id) AS top_authors_viewed
+FROM (SELECT DISTINCT window_id, user_id, author_id FROM ac) p
+JOIN topa t ON t.window_id = p.window_id AND t.author_id = p.author_id
+GROUP BY p.window_id, p.user_id""")
+
+
+def is_author_flag_sql() -> str:
+    return _with("""SELECT s.window_id, s.user_id FROM spine s
+JOIN isa ON isa.window_id = s.window_id AND isa.user_id = s.user_id""")
+
+
+def label_sql(src: str) -> str:
+    return _with(f"SELECT window_id, user_id, 1 AS label FROM {src}")
+
+
+def normalized_horizons_sql() -> str:
+    names = ([f"video_create{i}_{s}" for i in HORIZONS
+              for s in ("day_before_sum", "day_sum_weight", "day_occupy", "num_day")]
+             + [f"user_activity{i}_{s}" for i in HORIZONS
+                for s in ("day_sum", "day_sum_weight", "day_occupy", "num_day")]
+             + [f"weight_user_view_video_{i}_weight_rete" for i in HORIZONS]
+             + [f"user_view_same_author_{i}_weight_rate" for i in HORIZONS])
+    return f"""WITH fm AS ({feature_matrix_sql()})
+SELECT window_id, user_id, {', '.join(names)} FROM fm"""
+
+
+def feature_profile_sql() -> str:
+    return f"""WITH fm AS ({feature_matrix_sql()}),
+casted AS (SELECT CAST(COLUMNS(* EXCLUDE (window_id, user_id)) AS DOUBLE) FROM fm),
+long AS (UNPIVOT casted ON COLUMNS(*) INTO NAME feature VALUE value)
+SELECT feature, CAST(COUNT(value) AS BIGINT) AS non_null, {r6('AVG(value)')} AS mean,
+  {r6('MIN(value)')} AS min, {r6('MAX(value)')} AS max
+FROM long GROUP BY feature"""
+
+
+def all_sql() -> dict[str, str]:
+    return {
+        "register_spine": register_spine_sql(),
+        "launch_daily_distinct": launch_daily_distinct_sql(),
+        "launch_recency_weight": launch_recency_weight_sql(),
+        "launch_gaps": launch_gaps_sql(),
+        "horizon_counts": horizon_counts_sql(),
+        "create_gaps": create_gaps_sql(),
+        "create_day_rollup": create_day_rollup_sql(),
+        "activity_gaps": activity_gaps_sql(),
+        "activity_day_stats": activity_day_stats_sql(),
+        "page_profile": category_profile_sql("page"),
+        "action_profile": category_profile_sql("action_type"),
+        "action_score": action_score_sql(),
+        "cycle_flags": _flag_sql("cyc"),
+        "week_flags": _flag_sql("wk"),
+        "cycle_flags_any_lag": _flag_sql("pair"),
+        "item_affinity_video": _affinity_sql("vid_u", "weight_user_view_video_weight",
+                                             "weight_user_view_video_{i}_weight"),
+        "item_affinity_author": _affinity_sql("aut_u", "user_view_same_author_weight",
+                                              "user_view_same_author_{i}_weight"),
+        "top_authors": top_authors_sql(),
+        "author_attraction": author_attraction_sql(),
+        "user_top_author_set": user_top_author_set_sql(),
+        "is_author_flag": is_author_flag_sql(),
+        "label_launch": label_sql("lab"),
+        "label_any_log": label_sql("lab_any"),
+        "normalized_horizons": normalized_horizons_sql(),
+        "feature_matrix_all_windows": feature_matrix_sql(),
+        "feature_matrix_w1": feature_matrix_sql(where="WHERE s.window_id = 1"),
+        "feature_matrix_intended": feature_matrix_sql(mode="intended"),
+        "training_union": feature_matrix_sql(where="WHERE s.window_id IN (1, 2)"),
+        "feature_profile": feature_profile_sql(),
+        "csv_roundtrip": feature_matrix_sql(),
+    }
