@@ -270,3 +270,47 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = checkpoint_path(spark, f"feature_csv_{uuid.uuid4().hex}")
     write_feature_csv(table, path)
     return rounded(read_feature_csv(spark, path, table.schema))
+
+
+# --- model jobs (no SQL equivalent: rows-only checks) -------------------------
+#
+# The registered checks use a 40-round budget so one check stays within a
+# minute at sf0.01; ``model.TUNING`` / ``model.FINAL`` carry the full budgets
+# used by the training and scoring jobs (``python -m dayloom``).
+
+CHECK_ROUNDS = 40
+
+
+def _materialized_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature table, checkpointed into the shared checkpoint folder: the
+    learner scans it many times and must not re-run the log aggregations."""
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    return feature_table(_logs(spark, sf_dir), W).checkpoint(eager=True)
+
+
+def _tuned_model(spark, sf_dir):
+    from dataclasses import replace
+    from . import model as m
+    table = _materialized_table(spark, sf_dir)
+    return table, m.fit(table, [1], replace(m.TUNING, max_iter=CHECK_ROUNDS), valid_window=2)
+
+
+def gbt_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import model as m
+    table, mdl = _tuned_model(spark, sf_dir)
+    return rounded(m.evaluate(mdl, table, [1, 2]))
+
+
+def gbt_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import model as m
+    _, mdl = _tuned_model(spark, sf_dir)
+    return m.split_importances(mdl).orderBy(F.desc("score"), F.asc("feature"))
+
+
+def gbt_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from dataclasses import replace
+    from . import model as m
+    table = _materialized_table(spark, sf_dir)
+    mdl = m.fit(table, [1, 2], replace(m.FINAL, max_iter=CHECK_ROUNDS))
+    return m.score(mdl, table, 3)
