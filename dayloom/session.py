@@ -36,6 +36,11 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        # the wide feature plans build thousands of Column objects; skip the
+        # per-call Python call-site capture (static conf, local sessions only)
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        # small local inputs: keep every core busy after AQE coalescing
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256k")
     )
     for k, v in ENGINE_CONF.items():
         builder = builder.config(k, v)
