@@ -18,7 +18,7 @@ from ..functions import daysets as ds
 from ..functions.weights import (CURRENT_DAY, FEATURE_DAYS, HORIZONS, MISSING_DISTANCE,
                                  age_cap, rate, step_weight, weight_cap)
 from .launch import AS_COMPUTED, INTENDED
-from .windows import FeatureWindow, assign_windows
+from .windows import FeatureWindow, assign_windows, in_span
 
 # Fixed category lists: five pages and six action types.
 PAGES = (0, 1, 2, 3, 4)
@@ -31,11 +31,14 @@ def category_name(column: str, value: int) -> str:
 
 
 def activity_day_grain(activity: DataFrame, windows: Sequence[FeatureWindow]) -> DataFrame:
-    """``(window_id, user_id, wday, n, page0..4, action_type0..5)``."""
-    tagged = assign_windows(activity.select("user_id", "day", "page", "action_type"), windows)
+    """``(window_id, user_id, wday, n, page0..4, action_type0..5)``.
+
+    Counted per (user, log day) -- each raw row once, map-side combined --
+    then fanned out to the windows containing the day."""
     per_cat = [F.count_if(F.col(c) == v).alias(category_name(c, v)) for c, v in CATEGORIES]
-    return (tagged.groupBy("window_id", "user_id", "wday")
-            .agg(F.count("*").alias("n"), *per_cat))
+    per_day = (activity.where(in_span(windows)).groupBy("user_id", "day")
+               .agg(F.count("*").alias("n"), *per_cat))
+    return assign_windows(per_day, windows)
 
 
 def _day_stats(n: Column, prefix: str, with_min: bool) -> list[Column]:
@@ -159,8 +162,9 @@ def activity_features(mode: str = AS_COMPUTED) -> list[tuple[str, Column]]:
 def activity_row_gaps(activity: DataFrame, windows: Sequence[FeatureWindow]) -> DataFrame:
     """``(window_id, user_id, user_activity_diff_day_{max,min,mean})`` -- gaps
     between consecutive raw rows, NULL for a single row."""
-    grain = (assign_windows(activity.select("user_id", "day"), windows)
-             .groupBy("window_id", "user_id", "wday").agg(F.count("*").alias("n")))
+    per_day = (activity.where(in_span(windows)).groupBy("user_id", "day")
+               .agg(F.count("*").alias("n")))
+    grain = assign_windows(per_day, windows)
     per_user = grain.groupBy("window_id", "user_id").agg(
         F.bit_or(ds.day_bit(F.col("wday"))).alias("days"),
         F.sum("n").alias("rows"), F.max("n").alias("max_per_day"))
@@ -178,8 +182,9 @@ def category_day_stats(activity: DataFrame, windows: Sequence[FeatureWindow],
 
     The narrow alternative to the wide block: one small aggregate keyed by
     the category instead of one aggregate column per category."""
-    grain = (assign_windows(activity.select("user_id", "day", column), windows)
-             .groupBy("window_id", "user_id", column, "wday").agg(F.count("*").alias("n")))
+    per_day = (activity.where(in_span(windows)).groupBy("user_id", column, "day")
+               .agg(F.count("*").alias("n")))
+    grain = assign_windows(per_day, windows)
     n, wday = F.col("n"), F.col("wday")
     stats = grain.groupBy("window_id", "user_id", column).agg(
         F.sum(n).alias("rows"),
@@ -203,6 +208,7 @@ def category_day_stats(activity: DataFrame, windows: Sequence[FeatureWindow],
 # types 0..3 score type + 1, types 4 and 5 score type - 6.
 def action_score(activity: DataFrame, windows: Sequence[FeatureWindow]) -> DataFrame:
     a = F.col("action_type")
-    tagged = assign_windows(activity.select("user_id", "day", "action_type"), windows)
-    return (tagged.groupBy("window_id", "user_id")
-            .agg(F.sum(F.when(a <= 3, a + 1).otherwise(a - 6)).cast("long").alias("action_score")))
+    per_day = (activity.where(in_span(windows)).groupBy("user_id", "day")
+               .agg(F.sum(F.when(a <= 3, a + 1).otherwise(a - 6)).alias("score")))
+    return (assign_windows(per_day, windows).groupBy("window_id", "user_id")
+            .agg(F.sum("score").cast("long").alias("action_score")))

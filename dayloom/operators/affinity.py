@@ -20,15 +20,19 @@ from pyspark.sql import functions as F
 
 from ..functions import daysets as ds
 from ..functions.weights import CURRENT_DAY, FEATURE_DAYS, HORIZONS
-from .windows import FeatureWindow, assign_windows
+from .windows import FeatureWindow, bit_base, fan_out_mask, in_span
 
 
 def item_day_sets(activity: DataFrame, windows: Sequence[FeatureWindow],
                   item: str) -> DataFrame:
-    """``(window_id, user_id, <item>, days)``: distinct days per user and item."""
-    tagged = assign_windows(activity.select("user_id", "day", item), windows)
-    return (tagged.groupBy("window_id", "user_id", item)
-            .agg(F.bit_or(ds.day_bit(F.col("wday"))).alias("days")))
+    """``(window_id, user_id, <item>, days)``: distinct days per user and item.
+
+    One aggregate per (user, item) over absolute days, then a shift per
+    window: raw rows are aggregated once, not once per window."""
+    base = bit_base(windows)
+    per_item = (activity.where(in_span(windows)).groupBy("user_id", item)
+                .agg(F.bit_or(ds.day_bit(F.col("day") - base)).alias("days")))
+    return fan_out_mask(per_item, windows, "days")
 
 
 def item_weights(days_col: str = "days") -> list:

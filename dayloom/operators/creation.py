@@ -18,15 +18,18 @@ from ..functions import daysets as ds
 from ..functions.weights import (CURRENT_DAY, FEATURE_DAYS, HORIZONS, MISSING_DISTANCE,
                                  age_cap, rate, step_weight, weight_cap)
 from .launch import AS_COMPUTED, INTENDED
-from .windows import FeatureWindow, assign_windows
+from .windows import FeatureWindow, assign_windows, in_span
 
 
 def day_grain(log: DataFrame, windows: Sequence[FeatureWindow],
               with_label_days: bool = False) -> DataFrame:
-    """``(window_id, user_id, wday, n)``: rows per user and window day."""
-    tagged = assign_windows(log.select("user_id", "day"), windows,
-                            with_label_days=with_label_days)
-    return tagged.groupBy("window_id", "user_id", "wday").agg(F.count("*").alias("n"))
+    """``(window_id, user_id, wday, n)``: rows per user and window day.
+
+    Counted per (user, log day) first -- map-side combined, each raw row
+    once -- and only then fanned out to the windows containing the day."""
+    per_day = (log.where(in_span(windows, with_label_days))
+               .groupBy("user_id", "day").agg(F.count("*").alias("n")))
+    return assign_windows(per_day, windows, with_label_days=with_label_days)
 
 
 def horizon(i: int) -> Column:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import daysets as ds
 from ..functions.weights import (CURRENT_DAY, FEATURE_DAYS, HORIZONS, LABEL_DAYS,
                                  MISSING_DISTANCE, rate, age_cap, weight_cap)
-from .windows import FeatureWindow, assign_windows
+from .windows import FeatureWindow, bit_base, fan_out_mask, in_span
 
 AS_COMPUTED = "as_computed"
 INTENDED = "intended"
@@ -23,11 +23,17 @@ INTENDED = "intended"
 
 def launch_day_sets(launch: DataFrame, windows: Sequence[FeatureWindow],
                     with_label_days: bool = True) -> DataFrame:
-    """``(window_id, user_id, days)``; bit d of ``days`` = launched on window day d."""
-    tagged = assign_windows(launch.select("user_id", "day"), windows,
-                            with_label_days=with_label_days)
-    return (tagged.groupBy("window_id", "user_id")
-            .agg(F.bit_or(ds.day_bit(F.col("wday"))).alias("launch_days")))
+    """``(window_id, user_id, launch_days)``; bit d = launched on window day d.
+
+    One aggregate keyed by the user alone builds a bitmap over absolute days;
+    every window's bitmap is a shift of it, so raw rows are neither
+    duplicated per window nor shuffled more than once.
+    """
+    base = bit_base(windows)
+    per_user = (launch.where(in_span(windows, with_label_days))
+                .groupBy("user_id")
+                .agg(F.bit_or(ds.day_bit(F.col("day") - base)).alias("launch_days")))
+    return fan_out_mask(per_user, windows, "launch_days", with_label_days)
 
 
 def _feature_days() -> Column:

@@ -21,14 +21,22 @@ from pyspark.sql import functions as F
 
 from ..functions.weights import TOP_AUTHORS
 from .affinity import item_day_sets, max_item_affinity
-from .windows import FeatureWindow, assign_windows
+from .windows import FeatureWindow, in_span
 
 
 def author_views(activity: DataFrame, windows: Sequence[FeatureWindow]) -> DataFrame:
     """``(window_id, author_id, views)`` over every activity row of the window
-    (including users outside the spine)."""
-    tagged = assign_windows(activity.select("author_id", "day"), windows)
-    return tagged.groupBy("window_id", "author_id").agg(F.count("*").alias("views"))
+    (including users outside the spine).  One aggregate keyed by the author
+    with one conditional count per window, then one row per window with views."""
+    day = F.col("day")
+    per_author = (activity.where(in_span(windows)).groupBy("author_id")
+                  .agg(*[F.count_if(day.between(w.feat_begin, w.feat_end)).alias(f"v{w.window_id}")
+                         for w in windows]))
+    rows = F.array(*[F.struct(F.lit(w.window_id).alias("window_id"),
+                              F.col(f"v{w.window_id}").alias("views")) for w in windows])
+    return (per_author.select("author_id", F.inline(rows))
+            .where(F.col("views") > 0)
+            .select("window_id", "author_id", "views"))
 
 
 def top_authors(views: DataFrame, k: int = TOP_AUTHORS) -> DataFrame:
@@ -68,8 +76,7 @@ def user_top_authors(activity: DataFrame, windows: Sequence[FeatureWindow],
     """``(window_id, user_id, top_authors_viewed)``: sorted popular authors the
     user viewed.  The per-user list is bounded by ``k`` (it is taken after the
     semi-join with the top list), so collecting it is safe for any user."""
-    pairs = assign_windows(activity.select("user_id", "author_id", "day"), windows,
-                           keep=["user_id", "author_id"])
+    pairs = item_day_sets(activity, windows, "author_id")
     top = top_author_flags(top_authors(author_views(activity, windows), k))
     return (pairs.join(top, ["window_id", "author_id"], "left_semi")
             .groupBy("window_id", "user_id")

@@ -19,16 +19,16 @@ from pyspark.sql import functions as F
 from ..functions import daysets as ds
 from ..functions.weights import FEATURE_DAYS
 from .launch import AS_COMPUTED, INTENDED
-from .windows import FeatureWindow, assign_windows
+from .windows import FeatureWindow, bit_base, fan_out_mask, in_span
 
 
 def day_sets(log: DataFrame, windows: Sequence[FeatureWindow],
              with_label_days: bool = False) -> DataFrame:
     """``(window_id, user_id, days)`` for any log with ``user_id, day``."""
-    tagged = assign_windows(log.select("user_id", "day"), windows,
-                            with_label_days=with_label_days)
-    return (tagged.groupBy("window_id", "user_id")
-            .agg(F.bit_or(ds.day_bit(F.col("wday"))).alias("days")))
+    base = bit_base(windows)
+    per_user = (log.where(in_span(windows, with_label_days)).groupBy("user_id")
+                .agg(F.bit_or(ds.day_bit(F.col("day") - base)).alias("days")))
+    return fan_out_mask(per_user, windows, "days", with_label_days)
 
 
 def cycle_flag(days: Column, mode: str = AS_COMPUTED) -> Column:

@@ -5,11 +5,18 @@ when labelled, by 7 label days.  Rows are re-based to *window days*:
 ``wday = day - feat_end + 16`` so the last feature day is 16 and "today" is 17
 in every window.
 
-Instead of one pass per window, every log row is tagged with each window it
-falls in (``explode`` over a literal array of at most ``len(windows)``
-candidates).  That is a narrow transformation: no join, no shuffle, no
-broadcast; the union of the windows' day ranges is a plain range predicate
-that Catalyst pushes into the parquet scan.
+Instead of one pass per window, all windows run in one job.  Two narrow
+ways put rows into windows, both applied *after* the first aggregation so
+raw rows are never duplicated:
+
+* ``assign_windows``: tag a row carrying a log ``day`` with every window the
+  day falls in (``explode`` over a literal array of at most ``len(windows)``
+  candidates) -- used on (user, day) count grains;
+* ``fan_out_mask``: split a bitmap over absolute days into per-window
+  bitmaps of window days (one right shift per window).
+
+The union of the windows' day ranges (``in_span``) is a plain range
+predicate that reaches the parquet scan (or prunes ``day=`` partitions).
 """
 
 from __future__ import annotations
@@ -68,6 +75,58 @@ def _last_day(w: FeatureWindow, with_label_days: bool) -> int:
     return w.label_end if (with_label_days and w.labelled) else w.feat_end
 
 
+def day_span(windows: Sequence[FeatureWindow], with_label_days: bool = False) -> tuple[int, int]:
+    """First and last log day any window reads."""
+    return (min(w.feat_begin for w in windows),
+            max(_last_day(w, with_label_days) for w in windows))
+
+
+def in_span(windows: Sequence[FeatureWindow], with_label_days: bool = False,
+            day_col: str = "day") -> Column:
+    """Range predicate on the log day (pushed into the scan / partition filter)."""
+    lo, hi = day_span(windows, with_label_days)
+    return F.col(day_col).between(lo, hi)
+
+
+MAX_MASK_DAYS = 62   # days one signed 64-bit bitmap can hold
+
+
+def bit_base(windows: Sequence[FeatureWindow]) -> int:
+    """Offset of absolute-day bitmaps: log day ``d`` is bit ``d - base``.
+
+    Any window's bitmap in window days is then a right shift of it
+    (``slide - base``), so one per-user aggregate serves every window.
+    """
+    base = min(w.feat_begin for w in windows) - 1
+    if max(w.label_end for w in windows) - base > MAX_MASK_DAYS:
+        raise ValueError("windows span more days than one 64-bit day bitmap holds")
+    return base
+
+
+def fan_out_mask(df: DataFrame, windows: Sequence[FeatureWindow], mask_col: str,
+                 with_label_days: bool = False, out_col: str | None = None) -> DataFrame:
+    """Turn an absolute-day bitmap into one row per window the bitmap touches.
+
+    ``df`` holds ``mask_col`` built with ``day_bit(day - bit_base(windows))``;
+    the output replaces it by ``window_id`` and ``out_col`` (window-day bitmap,
+    bits 1..16, plus 17..23 with label days).  Narrow: no shuffle.
+    """
+    out_col = out_col or mask_col
+    base = bit_base(windows)
+    mask = F.col(mask_col)
+    candidates = F.array(*[
+        F.struct(F.lit(w.window_id).alias("window_id"),
+                 F.shiftright(mask, w.slide - base)
+                 .bitwiseAND(F.lit(sum(1 << d for d in range(
+                     1, _last_day(w, with_label_days) - w.slide + 1))))
+                 .alias(out_col))
+        for w in windows
+    ])
+    keep = [c for c in df.columns if c != mask_col]
+    return (df.select(*keep, F.inline(candidates))
+            .where(F.col(out_col) != 0))
+
+
 def assign_windows(df: DataFrame, windows: Sequence[FeatureWindow],
                    with_label_days: bool = False, day_col: str = "day",
                    keep: Sequence[str] | None = None) -> DataFrame:

@@ -1,21 +1,26 @@
 """The wide per-user feature table, all windows in one job.
 
-Plan shape (per log, all windows at once):
+Plan shape.  No raw log row is duplicated per window: every log is first
+aggregated without the window key -- a bitmap over absolute days per user
+(or per user and item), or counts per (user, log day) -- and the fan-out to
+the (at most 3) windows happens on those aggregated rows, by a bit shift or
+an ``explode`` over a literal array.
 
 * spine           register -> explode windows                     (1 exchange)
-* launch          launch -> bit_or day bitmap per (w, u)          (1 exchange)
-* creation        create -> day grain -> per (w, u)               (2 exchanges)
-* activity        activity -> day grain -> per (w, u)             (2 exchanges)
-* video affinity  activity -> bitmap per (w, u, video) -> max     (2 exchanges)
-* author block    activity -> bitmap per (w, u, author)
-                  + broadcast top-k authors -> max / share        (2 exchanges)
-* author flag     activity -> views per (w, author)               (1 exchange)
-
-Every block ends hash-partitioned on ``(window_id, user_id)``, so the left joins
-onto the spine are sort-merge joins that add no exchange; AQE may turn the
-small ones into broadcast joins from runtime sizes.  All aggregates are
-partial/final (map-side combined), so a user or author holding a third of the
-rows is reduced to one row per task before any shuffle.
+* launch          bit_or per user -> shift per window             (1 exchange)
+* creation        counts per (user, day) -> per (w, u)            (2 exchanges)
+* activity        counts per (user, day) -> per (w, u)            (2 exchanges)
+* video affinity  bit_or per (user, video) -> shift -> max (w, u) (2 exchanges)
+* author block    bit_or per (user, author) -> shift
+                  + broadcast top-k authors -> max / share (w, u) (2 exchanges)
+* author views    conditional counts per author -> rows per window (1 exchange)
+
+Every block ends keyed by ``(window_id, user_id)`` and is left-joined onto the
+spine (sort-merge joins; AQE turns the small ones into broadcast joins from
+runtime sizes).  All aggregates are partial/final (map-side combined), so a
+user or author holding a third of the rows is reduced to one row per task
+before any shuffle; the only per-group collections are bounded (16 days, or
+the k popular authors).
 """
 
 from __future__ import annotations
