@@ -30,14 +30,18 @@ def category_name(column: str, value: int) -> str:
     return f"{column}{value}"
 
 
+def daily_counts() -> list[Column]:
+    """Aggregates of the (user, log day) rollup: rows, and rows per category."""
+    return [F.count("*").alias("n")] + [
+        F.count_if(F.col(c) == v).alias(category_name(c, v)) for c, v in CATEGORIES]
+
+
 def activity_day_grain(activity: DataFrame, windows: Sequence[FeatureWindow]) -> DataFrame:
     """``(window_id, user_id, wday, n, page0..4, action_type0..5)``.
 
     Counted per (user, log day) -- each raw row once, map-side combined --
     then fanned out to the windows containing the day."""
-    per_cat = [F.count_if(F.col(c) == v).alias(category_name(c, v)) for c, v in CATEGORIES]
-    per_day = (activity.where(in_span(windows)).groupBy("user_id", "day")
-               .agg(F.count("*").alias("n"), *per_cat))
+    per_day = activity.where(in_span(windows)).groupBy("user_id", "day").agg(*daily_counts())
     return assign_windows(per_day, windows)
 
 

@@ -54,13 +54,22 @@ TUNING = GBTConfig(max_iter=20000, step_size=0.1, max_depth=5, min_info_gain=0.0
 FINAL = GBTConfig(max_iter=1200, step_size=0.01, max_depth=7, min_info_gain=0.01)
 
 
-def _stages(table: DataFrame, cfg: GBTConfig, features: Sequence[str],
+def _stages(data: DataFrame, cfg: GBTConfig, features: Sequence[str],
             validation_col: str | None = None):
     indexed = [f"{c}_idx" for c in CATEGORICAL]
-    inputs = [indexed[CATEGORICAL.index(c)] if c in CATEGORICAL else c for c in features]
-    n_codes = max([table.select(c).distinct().count() for c in CATEGORICAL] + [32])
     indexer = StringIndexer(inputCols=list(CATEGORICAL), outputCols=indexed,
-                            handleInvalid="keep", stringOrderType="alphabetAsc")
+                            handleInvalid="keep", stringOrderType="alphabetAsc").fit(data)
+    # every code, plus the bucket for codes unseen at fit time
+    n_codes = max([len(labels) + 1 for labels in indexer.labelsArray] + [32])
+    stages = []
+    train_rows = data.where(~F.col(validation_col)) if validation_col else data
+    if n_codes <= train_rows.count():
+        stages.append(indexer)
+        inputs = [indexed[CATEGORICAL.index(c)] if c in CATEGORICAL else c for c in features]
+    else:
+        # Spark caps the bins at the number of rows; a code list longer than
+        # the training set cannot be categorical, so it stays numeric
+        n_codes, inputs = 32, list(features)
     assembler = VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep")
     early = {}
     if validation_col is not None and cfg.validation_tol is not None:
@@ -69,9 +78,9 @@ def _stages(table: DataFrame, cfg: GBTConfig, features: Sequence[str],
         labelCol="label", featuresCol="features", maxIter=cfg.max_iter,
         stepSize=cfg.step_size, maxDepth=cfg.max_depth, subsamplingRate=cfg.subsampling_rate,
         featureSubsetStrategy=cfg.feature_subset, minInfoGain=cfg.min_info_gain,
-        minInstancesPerNode=cfg.min_instances_per_node, maxBins=n_codes + 1, seed=cfg.seed,
+        minInstancesPerNode=cfg.min_instances_per_node, maxBins=n_codes, seed=cfg.seed,
         **early, **cfg.extra)
-    return [indexer, assembler, gbt]
+    return stages + [assembler, gbt]
 
 
 def _prepare(table: DataFrame) -> DataFrame:
@@ -91,7 +100,7 @@ def fit(table: DataFrame, train_windows: Sequence[int], cfg: GBTConfig,
         data = data.withColumn(vcol, F.col("window_id") == valid_window)
     else:
         data = data.where(F.col("window_id").isin(list(train_windows)))
-    pipeline = Pipeline(stages=_stages(table, cfg, feats, vcol))
+    pipeline = Pipeline(stages=_stages(data, cfg, feats, vcol))
     return pipeline.fit(data)
 
 
@@ -122,7 +131,7 @@ def _gbt(model: PipelineModel):
 
 
 def _input_names(model: PipelineModel) -> list[str]:
-    names = list(model.stages[1].getInputCols())
+    names = list(model.stages[-2].getInputCols())
     return [n[:-4] if n.endswith("_idx") and n[:-4] in CATEGORICAL else n for n in names]
 
 

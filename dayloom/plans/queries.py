@@ -32,10 +32,14 @@ W = STANDARD_WINDOWS
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
+    """Doubles rounded to ``digits`` decimals through DECIMAL(38,12), the same
+    two-step rounding the SQL oracle uses, so values that differ only in the
+    last binary digits (summation order) land on the same side of a tie."""
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            cols.append(F.round(F.col(f.name), digits).alias(f.name))
+            cols.append(F.round(F.col(f.name).cast("decimal(38,12)"), digits)
+                        .cast("double").alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)

@@ -205,7 +205,9 @@ isa AS (SELECT DISTINCT window_id, author_id AS user_id FROM ac)"""
 
 
 def r6(expr: str) -> str:
-    return f"ROUND(CAST({expr} AS DOUBLE), 6)"
+    # decimal rounding (half up on the decimal value), as Spark's round() does;
+    # DuckDB's ROUND(DOUBLE) scales in binary and can miss exact .5 ties
+    return f"CAST(ROUND(CAST(CAST({expr} AS DOUBLE) AS DECIMAL(38, 12)), 6) AS DOUBLE)"
 
 
 def z(expr: str) -> str:
@@ -327,11 +329,13 @@ def _pair_cte(name: str, src: str) -> str:
   WHERE a.d BETWEEN 7 AND 16)"""
 
 
-def feature_matrix_sql(mode: str = "as_computed", where: str = "") -> str:
+def feature_matrix_sql(mode: str = "as_computed", where: str = "",
+                       round_values: bool = True) -> str:
     intended = mode == "intended"
     onehot = ",\n  ".join(f"CASE WHEN s.rt_ord = {k} THEN 1 ELSE 0 END AS register_type{k}"
                           for k in range(N_REGISTER_TYPES))
-    feats = ",\n  ".join(f"{r6(e)} AS {n}" for n, e in feature_select(mode))
+    fmt = r6 if round_values else (lambda e: f"CAST({e} AS DOUBLE)")
+    feats = ",\n  ".join(f"{fmt(e)} AS {n}" for n, e in feature_select(mode))
     lab = "lab_any" if intended else "lab"
     extra_ctes = ""
     extra_joins = ""
@@ -502,10 +506,11 @@ SELECT window_id, user_id, {', '.join(names)} FROM fm"""
 
 
 def feature_profile_sql() -> str:
-    return f"""WITH fm AS ({feature_matrix_sql()}),
+    return f"""WITH fm AS ({feature_matrix_sql(round_values=False)}),
 casted AS (SELECT CAST(COLUMNS(* EXCLUDE (window_id, user_id)) AS DOUBLE) FROM fm),
 long AS (UNPIVOT casted ON COLUMNS(*) INTO NAME feature VALUE value)
-SELECT feature, CAST(COUNT(value) AS BIGINT) AS non_null, {r6('AVG(value)')} AS mean,
+SELECT feature, CAST(COUNT(value) AS BIGINT) AS non_null,
+  {r6('CAST(SUM(CAST(value AS DECIMAL(38, 12))) AS DOUBLE) / COUNT(value)')} AS mean,
   {r6('MIN(value)')} AS min, {r6('MAX(value)')} AS max
 FROM long GROUP BY feature"""
 
