@@ -10,6 +10,11 @@ Everything the features need from a *set* of days (counts in a range,
 latest/earliest day, recurrence pairs, gaps between consecutive days,
 weight sums) is then a scalar expression on the bitmap.  Only the gap
 statistics need a higher-order function, over at most 16 elements.
+
+A bitmap argument is the SQL text of a ``long`` expression -- usually a
+column name, or the result of ``restrict``.  The helpers return ``Column``
+objects parsed from SQL: one JVM call per feature instead of one per
+operator keeps building the ~200-column plans cheap.
 """
 
 from __future__ import annotations
@@ -21,6 +26,7 @@ from .weights import CUMULATIVE_WEIGHTS, FEATURE_DAYS, STEP_WEIGHTS
 
 
 def day_bit(day: Column) -> Column:
+    """``1 << day`` as a long (the aggregate input of a bitmap)."""
     return F.call_function("shiftleft", F.lit(1).cast("long"), day)
 
 
@@ -29,85 +35,113 @@ def bits(lo: int, hi: int) -> int:
     return sum(1 << d for d in range(lo, hi + 1))
 
 
-FEATURE_BITS = bits(1, FEATURE_DAYS)
+# --- SQL text builders -------------------------------------------------------
+
+def restrict(mask: str, lo: int, hi: int) -> str:
+    """The bitmap limited to days ``lo..hi`` (SQL text)."""
+    return f"({mask} & {bits(lo, hi)}L)"
+
+
+def _count(mask: str, lo: int = 1, hi: int = FEATURE_DAYS) -> str:
+    return f"CAST(bit_count({restrict(mask, lo, hi)}) AS BIGINT)"
+
+
+def _last(mask: str) -> str:
+    return f"(CASE WHEN {mask} <> 0 THEN length(bin({mask})) - 1 END)"
+
+
+def _first(mask: str) -> str:
+    return f"(CASE WHEN {mask} <> 0 THEN length(bin({mask} & -{mask})) - 1 END)"
+
+
+def _day_list(mask: str) -> str:
+    return f"filter(sequence(1, {FEATURE_DAYS}), dl_x -> getbit({mask}, dl_x) = 1)"
+
+
+def _gaps(mask: str) -> str:
+    days = _day_list(mask)
+    return (f"filter(zip_with(slice({days}, 2, {FEATURE_DAYS}), {days}, "
+            f"(dl_a, dl_b) -> dl_a - dl_b), dl_g -> dl_g IS NOT NULL)")
+
+
+def _step_weight_sum(mask: str) -> str:
+    terms = [f"bit_count({restrict(mask, lo, hi)}) * {w!r}D" for lo, hi, w in STEP_WEIGHTS]
+    return "(" + " + ".join(terms) + ")"
+
+
+def _has(mask: str, day: int) -> str:
+    return f"(({mask} & {1 << day}L) <> 0)"
+
 
+# --- columns -----------------------------------------------------------------
 
-def restrict(mask: Column, lo: int, hi: int) -> Column:
-    return mask.bitwiseAND(F.lit(bits(lo, hi)))
+def count_days(mask: str, lo: int = 1, hi: int = FEATURE_DAYS) -> Column:
+    return F.expr(_count(mask, lo, hi))
 
 
-def count_days(mask: Column, lo: int = 1, hi: int = FEATURE_DAYS) -> Column:
-    return F.bit_count(restrict(mask, lo, hi)).cast("long")
+def any_day(mask: str, lo: int, hi: int) -> Column:
+    return F.expr(f"({restrict(mask, lo, hi)} <> 0)")
 
 
-def any_day(mask: Column, lo: int, hi: int) -> Column:
-    return restrict(mask, lo, hi) != 0
+def has_day(mask: str, day: int) -> Column:
+    return F.expr(_has(mask, day))
 
 
-def has_day(mask: Column, day: int) -> Column:
-    return mask.bitwiseAND(F.lit(1 << day)) != 0
+def is_empty(mask: str) -> Column:
+    return F.expr(f"({mask} = 0)")
 
 
-def last_day(mask: Column) -> Column:
+def last_day(mask: str) -> Column:
     """Highest set day, NULL for an empty set."""
-    return F.when(mask != 0, F.length(F.bin(mask)) - 1)
+    return F.expr(_last(mask))
 
 
-def first_day(mask: Column) -> Column:
+def first_day(mask: str) -> Column:
     """Lowest set day, NULL for an empty set."""
-    lowest = mask.bitwiseAND(-mask)
-    return F.when(mask != 0, F.length(F.bin(lowest)) - 1)
+    return F.expr(_first(mask))
 
 
-def day_list(mask: Column, lo: int = 1, hi: int = FEATURE_DAYS) -> Column:
-    """Ascending array of the set days in ``lo..hi``."""
-    return F.filter(F.sequence(F.lit(lo), F.lit(hi)),
-                    lambda d: F.getbit(mask, d) == 1)
+def day_list(mask: str) -> Column:
+    """Ascending array of the set feature days."""
+    return F.expr(_day_list(mask))
 
 
-def gaps(mask: Column) -> Column:
+def gaps(mask: str) -> Column:
     """Differences between consecutive set days (empty for < 2 days)."""
-    days = day_list(mask)
-    return F.filter(F.zip_with(F.slice(days, 2, FEATURE_DAYS), days,
-                               lambda nxt, cur: nxt - cur),
-                    lambda g: g.isNotNull())
+    return F.expr(_gaps(mask))
 
 
-def gap_max(mask: Column) -> Column:
-    return F.array_max(gaps(mask))
+def gap_max(mask: str) -> Column:
+    return F.expr(f"array_max({_gaps(mask)})")
 
 
-def gap_min(mask: Column) -> Column:
-    return F.array_min(gaps(mask))
+def gap_min(mask: str) -> Column:
+    return F.expr(f"array_min({_gaps(mask)})")
 
 
-def gap_mean(mask: Column) -> Column:
+def gap_mean(mask: str) -> Column:
     """Mean gap = (last - first) / (days - 1); NULL for fewer than 2 days."""
-    n = count_days(mask)
-    return F.when(n >= 2, (last_day(mask) - first_day(mask)) / (n - 1))
+    n = _count(mask)
+    return F.expr(f"(CASE WHEN {n} >= 2 THEN ({_last(mask)} - {_first(mask)}) / ({n} - 1) END)")
 
 
-def step_weight_sum(mask: Column) -> Column:
-    """Sum of step weights over the set days (one term per weight band)."""
-    total = None
-    for lo, hi, w in STEP_WEIGHTS:
-        term = count_days(mask, lo, hi) * F.lit(w)
-        total = term if total is None else total + term
-    return total
+def step_weight_sum(mask: str) -> Column:
+    """Sum of step weights over the set days (one ``bit_count`` per weight band)."""
+    return F.expr(_step_weight_sum(mask))
 
 
-def cumulative_weight_sum(mask: Column) -> Column:
+def cumulative_weight_sum(mask: str) -> Column:
     """Sum of W(day) over the set feature days."""
-    table = F.array(*[F.lit(float(v)) for v in CUMULATIVE_WEIGHTS])
-    return F.aggregate(day_list(mask), F.lit(0.0),
-                       lambda acc, d: acc + F.element_at(table, d + 1))
+    table = "array(" + ", ".join(f"{float(v)!r}D" for v in CUMULATIVE_WEIGHTS) + ")"
+    return F.expr(f"aggregate({_day_list(mask)}, 0D, "
+                  f"(dl_acc, dl_d) -> dl_acc + element_at({table}, dl_d + 1))")
 
 
-def weekly_pair(mask: Column, day: int, lag: int = 7) -> Column:
+def weekly_pair(mask: str, day: int, lag: int = 7) -> Column:
     """Active on ``day`` and on ``day - lag``."""
-    return has_day(mask, day) & has_day(mask, day - lag)
+    return F.expr(f"({_has(mask, day)} AND {_has(mask, day - lag)})")
 
 
-def any_weekly_pair(mask: Column, lo: int, hi: int, lag: int = 7) -> Column:
+def any_weekly_pair(mask: str, lo: int, hi: int, lag: int = 7) -> Column:
     """Active on some day d in ``lo..hi`` and on d - lag."""
-    return mask.bitwiseAND(F.shiftleft(mask, lag)).bitwiseAND(F.lit(bits(lo, hi))) != 0
+    return F.expr(f"(({mask} & shiftleft({mask}, {lag}) & {bits(lo, hi)}L) <> 0)")

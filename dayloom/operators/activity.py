@@ -79,7 +79,7 @@ def activity_block(activity: DataFrame, windows: Sequence[FeatureWindow],
     return grain.groupBy("window_id", "user_id").agg(*aggs)
 
 
-def raw_row_gaps(days: Column, rows: Column, max_per_day: Column) -> tuple[Column, Column, Column]:
+def raw_row_gaps(days: str, rows: Column, max_per_day: Column) -> tuple[Column, Column, Column]:
     """Max / min / mean difference between consecutive *rows* sorted by day
     (same-day rows give 0), from the day bitmap and the per-day counts alone:
     no sort of the raw log is needed."""
@@ -95,7 +95,7 @@ def activity_features(mode: str = AS_COMPUTED) -> list[tuple[str, Column]]:
     """Final activity columns except the affinity / popularity ones."""
     age = F.col("register_day_distance")
     wage = F.col("register_day_count")
-    days = F.col("act_days")
+    days = "act_days"
 
     def zero(c: Column) -> Column:
         return F.coalesce(c, F.lit(0))
@@ -119,7 +119,7 @@ def activity_features(mode: str = AS_COMPUTED) -> list[tuple[str, Column]]:
     for c, v in CATEGORIES:
         f = category_name(c, v)
         p = f"cat_{f}"
-        fdays = F.col(f"{p}_days")
+        fdays = f"{p}_days"
         out += [
             (f"user_operate_{f}_sum", zero(rate(F.col(f"{p}_rows"), age))),
             (f"day_distance_to_operate_{f}", seventeen(F.lit(CURRENT_DAY) - ds.last_day(fdays))),
@@ -172,7 +172,7 @@ def activity_row_gaps(activity: DataFrame, windows: Sequence[FeatureWindow]) ->
     per_user = grain.groupBy("window_id", "user_id").agg(
         F.bit_or(ds.day_bit(F.col("wday"))).alias("days"),
         F.sum("n").alias("rows"), F.max("n").alias("max_per_day"))
-    gmax, gmin, gmean = raw_row_gaps(F.col("days"), F.col("rows"), F.col("max_per_day"))
+    gmax, gmin, gmean = raw_row_gaps("days", F.col("rows"), F.col("max_per_day"))
     return per_user.select("window_id", "user_id",
                            gmax.cast("double").alias("user_activity_diff_day_max"),
                            gmin.cast("double").alias("user_activity_diff_day_min"),
@@ -196,7 +196,7 @@ def category_day_stats(activity: DataFrame, windows: Sequence[FeatureWindow],
         F.max_by(n, wday).alias("latest_n"),
         F.max(n).alias("day_max"), F.min(n).alias("day_min"),
         F.median(n).alias("day_median"), F.var_samp(n).alias("day_var"))
-    days = F.col("days_set")
+    days = "days_set"
     return stats.select(
         "window_id", "user_id",
         F.concat(F.lit(column), F.col(column).cast("string")).alias("category"),

@@ -37,7 +37,7 @@ def item_day_sets(activity: DataFrame, windows: Sequence[FeatureWindow],
 
 def item_weights(days_col: str = "days") -> list:
     """Weighted distinct-day sums per (user, item): full window + horizons."""
-    days = F.col(days_col)
+    days = days_col
     cols = [ds.step_weight_sum(days).alias("w_all")]
     for i in HORIZONS:
         cols.append(ds.step_weight_sum(ds.restrict(days, CURRENT_DAY - i, FEATURE_DAYS))

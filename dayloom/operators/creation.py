@@ -58,7 +58,7 @@ def creation_block(create: DataFrame, windows: Sequence[FeatureWindow]) -> DataF
 def creation_features(mode: str = AS_COMPUTED) -> list[tuple[str, Column]]:
     age = F.col("register_day_distance")
     wage = F.col("register_day_count")
-    days = F.col("create_days")
+    days = "create_days"
     n_days = ds.count_days(days)
 
     def zero(c: Column) -> Column:

@@ -36,11 +36,11 @@ def launch_day_sets(launch: DataFrame, windows: Sequence[FeatureWindow],
     return fan_out_mask(per_user, windows, "launch_days", with_label_days)
 
 
-def _feature_days() -> Column:
-    return ds.restrict(F.col("launch_days"), 1, FEATURE_DAYS)
+def _feature_days() -> str:
+    return ds.restrict("launch_days", 1, FEATURE_DAYS)
 
 
-def launch_label(days: Column) -> Column:
+def launch_label(days: str) -> Column:
     """1 when the user launched on a label day (window days 17..23)."""
     return ds.any_day(days, CURRENT_DAY, CURRENT_DAY + LABEL_DAYS - 1).cast("int")
 
@@ -48,7 +48,7 @@ def launch_label(days: Column) -> Column:
 def launch_raw_columns(mode: str = AS_COMPUTED) -> list[Column]:
     """Per-user launch statistics before normalisation (NULL = no launch)."""
     f = _feature_days()
-    active = f != 0
+    active = ~ds.is_empty(f)
     cols = [
         (F.lit(CURRENT_DAY) - ds.last_day(f)).alias("user_launch_last_day_distance"),
         ds.gap_max(f).alias("diff_day_max"),
@@ -112,4 +112,4 @@ def launch_block(launch: DataFrame, windows: Sequence[FeatureWindow],
     """``(window_id, user_id, raw launch columns..., label_launch)``."""
     sets = launch_day_sets(launch, windows, with_label_days=True)
     return sets.select("window_id", "user_id", *launch_raw_columns(mode),
-                       launch_label(F.col("launch_days")).alias("label_launch"))
+                       launch_label("launch_days").alias("label_launch"))

@@ -31,14 +31,14 @@ def day_sets(log: DataFrame, windows: Sequence[FeatureWindow],
     return fan_out_mask(per_user, windows, "days", with_label_days)
 
 
-def cycle_flag(days: Column, mode: str = AS_COMPUTED) -> Column:
+def cycle_flag(days: str, mode: str = AS_COMPUTED) -> Column:
     f = ds.restrict(days, 1, FEATURE_DAYS)
     if mode == INTENDED:
         return ds.any_weekly_pair(f, FEATURE_DAYS - 9, FEATURE_DAYS)
     return ds.weekly_pair(f, FEATURE_DAYS)
 
 
-def week_flag(days: Column) -> Column:
+def week_flag(days: str) -> Column:
     return ds.any_day(days, 13, 14) & ds.any_day(days, 6, 7)
 
 
@@ -46,5 +46,5 @@ def flagged_users(log: DataFrame, windows: Sequence[FeatureWindow], flag: str,
                   mode: str = AS_COMPUTED) -> DataFrame:
     """``(window_id, user_id)`` of the users that carry ``flag`` ('cycle' / 'week')."""
     sets = day_sets(log, windows)
-    cond = cycle_flag(F.col("days"), mode) if flag == "cycle" else week_flag(F.col("days"))
+    cond = cycle_flag("days", mode) if flag == "cycle" else week_flag("days")
     return sets.where(cond).select("window_id", "user_id")

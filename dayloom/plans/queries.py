@@ -69,7 +69,7 @@ def _launch_active(spark, sf_dir):
 
 
 def launch_recency_weight(spark: SparkSession, sf_dir: str) -> DataFrame:
-    days = F.col("launch_days")
+    days = "launch_days"
     return rounded(_launch_active(spark, sf_dir).select(
         *KEYS,
         (F.lit(CURRENT_DAY) - ds.last_day(days)).cast("int").alias("user_launch_last_day_distance"),
@@ -86,11 +86,11 @@ def _gap_columns(days, prefix):
 
 def launch_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(_launch_active(spark, sf_dir).select(
-        *KEYS, *_gap_columns(F.col("launch_days"), "diff_day")))
+        *KEYS, *_gap_columns("launch_days", "diff_day")))
 
 
 def horizon_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    days = F.col("launch_days")
+    days = "launch_days"
     return _launch_active(spark, sf_dir).select(
         *KEYS, *[ds.count_days(days, CURRENT_DAY - i, FEATURE_DAYS)
                  .alias(f"app_launch{i}_day_before_rate") for i in HORIZONS])
@@ -100,12 +100,12 @@ def horizon_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def create_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     block = cre.creation_block(_logs(spark, sf_dir).create, W)
-    return rounded(block.select(*KEYS, *_gap_columns(F.col("create_days"), "create_video_diff_day")))
+    return rounded(block.select(*KEYS, *_gap_columns("create_days", "create_video_diff_day")))
 
 
 def create_day_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     block = cre.creation_block(_logs(spark, sf_dir).create, W)
-    days = F.col("create_days")
+    days = "create_days"
     return rounded(block.select(
         *KEYS,
         F.col("create_rows").alias("video_create_times"),
@@ -128,7 +128,7 @@ def activity_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def activity_day_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     block = act.activity_block(_logs(spark, sf_dir).activity, W)
-    days = F.col("act_days")
+    days = "act_days"
     return rounded(block.select(
         *KEYS,
         F.col("act_rows").alias("video_operate_times"),

@@ -26,7 +26,7 @@ def test_bitmap_helpers_against_brute_force(spark):
         [set(rnd.sample(range(1, 17), rnd.randint(0, 16))) for _ in range(60)]
     rows = [(i, sum(1 << d for d in s)) for i, s in enumerate(sets)]
     df = spark.createDataFrame(rows, "i int, m long")
-    m = F.col("m")
+    m = "m"
     out = df.select("i", ds.count_days(m).alias("n"), ds.first_day(m).alias("first"),
                     ds.last_day(m).alias("last"), ds.gap_max(m).alias("gmax"),
                     ds.gap_min(m).alias("gmin"), ds.gap_mean(m).alias("gmean"),
