@@ -52,11 +52,14 @@ def top_author_flags(top: DataFrame) -> DataFrame:
 
 
 def author_block(activity: DataFrame, windows: Sequence[FeatureWindow],
-                 k: int = TOP_AUTHORS) -> DataFrame:
+                 k: int = TOP_AUTHORS, views: DataFrame | None = None) -> DataFrame:
     """Author affinity (full window + horizons) and the top-k attraction share,
-    from one (window, user, author) aggregate."""
+    from one (window, user, author) aggregate.  Pass ``views`` when the
+    caller also needs them, so the plan computes them once."""
     sets = item_day_sets(activity, windows, "author_id")
-    top = top_author_flags(top_authors(author_views(activity, windows), k))
+    if views is None:
+        views = author_views(activity, windows)
+    top = top_author_flags(top_authors(views, k))
     flagged = sets.join(top, ["window_id", "author_id"], "left")
     share = (F.count(F.col("is_top")) / F.lit(float(k))).alias("author_atttractive_force")
     return max_item_affinity(flagged, "user_view_same_author_weight",

@@ -120,7 +120,7 @@ def feature_table(logs: Logs, windows: Sequence[FeatureWindow] = STANDARD_WINDOW
         creation_block(logs.create, windows),
         activity_block(logs.activity, windows, mode),
         video_affinity(logs.activity, windows),
-        author_block(logs.activity, windows),
+        author_block(logs.activity, windows, views=views),
         author_flags(views),
     ]
     if mode == INTENDED:
