@@ -46,3 +46,13 @@ def user_spine(register: DataFrame, windows: Sequence[FeatureWindow],
         *one_hot(F.col("register_type"), categories, "register_type"),
         cumulative_weight(age).alias("register_day_count"),
     )
+
+
+def duplicate_users(register: DataFrame) -> DataFrame:
+    """``(user_id, registrations)`` for ids registered more than once.
+
+    The spine assumes one registration per user (a duplicate would fan out
+    every left join); this is the check, as one aggregate.
+    """
+    return (register.groupBy("user_id").agg(F.count("*").alias("registrations"))
+            .where(F.col("registrations") > 1))

@@ -21,7 +21,7 @@ from ..operators import popularity as pop
 from ..operators.affinity import video_affinity
 from ..operators.label import any_log_labels, launch_labels
 from ..operators.recurrence import flagged_users
-from ..operators.spine import register_type_categories, user_spine
+from ..operators.spine import duplicate_users, register_type_categories, user_spine
 from ..operators.windows import STANDARD_WINDOWS, assign_windows, window
 from ..session import checkpoint_path
 from ..sources.logs import fixture_logs
@@ -56,6 +56,10 @@ def register_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(user_spine(logs.register, W, register_type_categories(logs.register)))
 
 
+def register_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return duplicate_users(_logs(spark, sf_dir).register)
+
+
 # --- launch ------------------------------------------------------------------
 
 def launch_daily_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -380,6 +380,11 @@ def register_spine_sql() -> str:
 FROM spine s""")
 
 
+def register_duplicates_sql() -> str:
+    return _with("""SELECT user_id, CAST(COUNT(*) AS BIGINT) AS registrations
+FROM user_register GROUP BY user_id HAVING COUNT(*) > 1""")
+
+
 def launch_daily_distinct_sql() -> str:
     return _with("SELECT window_id, user_id, CAST(d AS INT) AS wday FROM la")
 
@@ -518,6 +523,7 @@ FROM long GROUP BY feature"""
 def all_sql() -> dict[str, str]:
     return {
         "register_spine": register_spine_sql(),
+        "register_duplicates": register_duplicates_sql(),
         "launch_daily_distinct": launch_daily_distinct_sql(),
         "launch_recency_weight": launch_recency_weight_sql(),
         "launch_gaps": launch_gaps_sql(),
