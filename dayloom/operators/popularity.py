@@ -29,9 +29,10 @@ def author_views(activity: DataFrame, windows: Sequence[FeatureWindow]) -> DataF
     (including users outside the spine).  One aggregate keyed by the author
     with one conditional count per window, then one row per window with views."""
     day = F.col("day")
-    per_author = (activity.where(in_span(windows)).groupBy("author_id")
-                  .agg(*[F.count_if(day.between(w.feat_begin, w.feat_end)).alias(f"v{w.window_id}")
-                         for w in windows]))
+    per_author = (activity.where(in_span(windows) & F.col("author_id").isNotNull())
+                  .groupBy("author_id")
+                  .agg(*[F.sum(F.when(day.between(w.feat_begin, w.feat_end), 1).otherwise(0))
+                         .cast("long").alias(f"v{w.window_id}") for w in windows]))
     rows = F.array(*[F.struct(F.lit(w.window_id).alias("window_id"),
                               F.col(f"v{w.window_id}").alias("views")) for w in windows])
     return (per_author.select("author_id", F.inline(rows))

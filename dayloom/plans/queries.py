@@ -22,7 +22,7 @@ from ..operators.affinity import video_affinity
 from ..operators.label import any_log_labels, launch_labels
 from ..operators.recurrence import flagged_users
 from ..operators.spine import duplicate_users, register_type_categories, user_spine
-from ..operators.windows import STANDARD_WINDOWS, assign_windows, window
+from ..operators.windows import STANDARD_WINDOWS, assign_windows, in_span, window
 from ..session import checkpoint_path
 from ..sources.logs import fixture_logs
 from ..sources.sinks import read_feature_csv, write_feature_csv, profile
@@ -63,8 +63,11 @@ def register_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- launch ------------------------------------------------------------------
 
 def launch_daily_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (assign_windows(_logs(spark, sf_dir).launch, W)
-            .select("window_id", "user_id", "wday").distinct())
+    """Distinct launch days per user and window: de-duplicated per (user, day)
+    first -- each raw row once -- then tagged with the windows of the day."""
+    launch = _logs(spark, sf_dir).launch
+    days = launch.where(in_span(W)).select("user_id", "day").distinct()
+    return assign_windows(days, W).select("window_id", "user_id", "wday")
 
 
 def _launch_active(spark, sf_dir):
