@@ -35,7 +35,7 @@ def bits(lo: int, hi: int) -> int:
     return sum(1 << d for d in range(lo, hi + 1))
 
 
-# --- SQL text builders -------------------------------------------------------
+# --- SQL text builders (used inside larger SQL feature expressions) ----------
 
 def restrict(mask: str, lo: int, hi: int) -> str:
     """The bitmap limited to days ``lo..hi`` (SQL text)."""
@@ -112,17 +112,16 @@ def gaps(mask: str) -> Column:
 
 
 def gap_max(mask: str) -> Column:
-    return F.expr(f"array_max({_gaps(mask)})")
+    return F.expr(gap_max_sql(mask))
 
 
 def gap_min(mask: str) -> Column:
-    return F.expr(f"array_min({_gaps(mask)})")
+    return F.expr(gap_min_sql(mask))
 
 
 def gap_mean(mask: str) -> Column:
     """Mean gap = (last - first) / (days - 1); NULL for fewer than 2 days."""
-    n = _count(mask)
-    return F.expr(f"(CASE WHEN {n} >= 2 THEN ({_last(mask)} - {_first(mask)}) / ({n} - 1) END)")
+    return F.expr(gap_mean_sql(mask))
 
 
 def step_weight_sum(mask: str) -> Column:
@@ -139,9 +138,41 @@ def cumulative_weight_sum(mask: str) -> Column:
 
 def weekly_pair(mask: str, day: int, lag: int = 7) -> Column:
     """Active on ``day`` and on ``day - lag``."""
-    return F.expr(f"({_has(mask, day)} AND {_has(mask, day - lag)})")
+    return F.expr(weekly_pair_sql(mask, day, lag))
 
 
 def any_weekly_pair(mask: str, lo: int, hi: int, lag: int = 7) -> Column:
     """Active on some day d in ``lo..hi`` and on d - lag."""
-    return F.expr(f"(({mask} & shiftleft({mask}, {lag}) & {bits(lo, hi)}L) <> 0)")
+    return F.expr(any_weekly_pair_sql(mask, lo, hi, lag))
+
+
+# Public SQL-text forms, for feature expressions written as SQL.
+count_sql = _count
+last_sql = _last
+first_sql = _first
+step_weight_sum_sql = _step_weight_sum
+
+
+def any_day_sql(mask: str, lo: int, hi: int) -> str:
+    return f"({restrict(mask, lo, hi)} <> 0)"
+
+
+def gap_max_sql(mask: str) -> str:
+    return f"array_max({_gaps(mask)})"
+
+
+def gap_min_sql(mask: str) -> str:
+    return f"array_min({_gaps(mask)})"
+
+
+def gap_mean_sql(mask: str) -> str:
+    n = _count(mask)
+    return f"(CASE WHEN {n} >= 2 THEN ({_last(mask)} - {_first(mask)}) / ({n} - 1) END)"
+
+
+def weekly_pair_sql(mask: str, day: int, lag: int = 7) -> str:
+    return f"({_has(mask, day)} AND {_has(mask, day - lag)})"
+
+
+def any_weekly_pair_sql(mask: str, lo: int, hi: int, lag: int = 7) -> str:
+    return f"(({mask} & shiftleft({mask}, {lag}) & {bits(lo, hi)}L) <> 0)"

@@ -79,3 +79,28 @@ def weight_cap(age_weight: Column, horizon: int) -> Column:
 def rate(numerator: Column, denominator: Column) -> Column:
     """Division that yields NULL instead of raising on a zero denominator."""
     return F.try_divide(numerator.cast("double"), denominator.cast("double"))
+
+
+# --- SQL-text forms (feature expressions are assembled as SQL) ----------------
+AGE = "register_day_distance"        # spine column: capped registration age
+AGE_WEIGHT = "register_day_count"    # spine column: W(age)
+
+
+def rate_sql(numerator: str, denominator: str) -> str:
+    return f"try_divide(CAST({numerator} AS DOUBLE), CAST({denominator} AS DOUBLE))"
+
+
+def age_cap_sql(horizon: int) -> str:
+    return f"least({AGE}, {horizon})"
+
+
+def weight_cap_sql(horizon: int) -> str:
+    return f"least({AGE_WEIGHT}, {cumulative_weight_value(horizon)!r}D)"
+
+
+def zero_sql(expr: str) -> str:
+    return f"coalesce({expr}, 0)"
+
+
+def missing_distance_sql(expr: str) -> str:
+    return f"coalesce({expr}, {MISSING_DISTANCE})"

@@ -15,8 +15,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import daysets as ds
-from ..functions.weights import (CURRENT_DAY, FEATURE_DAYS, HORIZONS, MISSING_DISTANCE,
-                                 age_cap, rate, step_weight, weight_cap)
+from ..functions.weights import (AGE, AGE_WEIGHT, CURRENT_DAY, FEATURE_DAYS, HORIZONS,
+                                 age_cap_sql, missing_distance_sql, rate_sql, step_weight,
+                                 weight_cap_sql, zero_sql)
 from .launch import AS_COMPUTED, INTENDED
 from .windows import FeatureWindow, assign_windows, in_span
 
@@ -79,86 +80,77 @@ def activity_block(activity: DataFrame, windows: Sequence[FeatureWindow],
     return grain.groupBy("window_id", "user_id").agg(*aggs)
 
 
-def raw_row_gaps(days: str, rows: Column, max_per_day: Column) -> tuple[Column, Column, Column]:
+def raw_row_gaps_sql(days: str, rows: str, max_per_day: str) -> tuple[str, str, str]:
     """Max / min / mean difference between consecutive *rows* sorted by day
     (same-day rows give 0), from the day bitmap and the per-day counts alone:
-    no sort of the raw log is needed."""
-    has_dup = max_per_day > 1
-    k = ds.count_days(days)
-    gmax = F.when(rows >= 2, F.when(k >= 2, ds.gap_max(days)).otherwise(F.lit(0)))
-    gmin = F.when(rows >= 2, F.when(has_dup, F.lit(0)).otherwise(ds.gap_min(days)))
-    gmean = F.when(rows >= 2, (ds.last_day(days) - ds.first_day(days)) / (rows - 1))
+    no sort of the raw log is needed.  NULL for a single row."""
+    k = ds.count_sql(days)
+    gmax = f"(CASE WHEN {rows} >= 2 THEN (CASE WHEN {k} >= 2 THEN {ds.gap_max_sql(days)} ELSE 0 END) END)"
+    gmin = f"(CASE WHEN {rows} >= 2 THEN (CASE WHEN {max_per_day} > 1 THEN 0 ELSE {ds.gap_min_sql(days)} END) END)"
+    gmean = (f"(CASE WHEN {rows} >= 2 THEN "
+             f"({ds.last_sql(days)} - {ds.first_sql(days)}) / ({rows} - 1) END)")
     return gmax, gmin, gmean
 
 
-def activity_features(mode: str = AS_COMPUTED) -> list[tuple[str, Column]]:
-    """Final activity columns except the affinity / popularity ones."""
-    age = F.col("register_day_distance")
-    wage = F.col("register_day_count")
+def activity_features(mode: str = AS_COMPUTED) -> list[tuple[str, str]]:
+    """Final activity columns as SQL, except the affinity / popularity ones."""
     days = "act_days"
-
-    def zero(c: Column) -> Column:
-        return F.coalesce(c, F.lit(0))
-
-    def seventeen(c: Column) -> Column:
-        return F.coalesce(c, F.lit(MISSING_DISTANCE))
-
+    zero, seventeen = zero_sql, missing_distance_sql
     out = [
-        ("video_operate_times", zero(rate(F.col("act_rows"), age))),
-        ("user_operate_video_weight", zero(F.col("act_weighted_rows"))),
-        ("user_operate_video_day_max", zero(F.col("act_max"))),
-        ("user_operate_video_day_min", zero(F.col("act_min"))),
-        ("user_operate_video_day_mean", zero(rate(F.col("act_rows"), ds.count_days(days)))),
-        ("user_operate_video_day_median", zero(F.col("act_median"))),
-        ("user_operate_video_day_std", zero(F.sqrt(F.col("act_var")))),
-        ("user_operate_video_day_var", zero(F.col("act_var"))),
-        ("operate_video_distance_day", seventeen(F.lit(CURRENT_DAY) - ds.last_day(days))),
-        ("operate_video_day_occupy", zero(rate(ds.step_weight_sum(days), wage))),
-        ("user_operate_video_day_num", zero(rate(ds.count_days(days), age))),
+        ("video_operate_times", zero(rate_sql("act_rows", AGE))),
+        ("user_operate_video_weight", zero("act_weighted_rows")),
+        ("user_operate_video_day_max", zero("act_max")),
+        ("user_operate_video_day_min", zero("act_min")),
+        ("user_operate_video_day_mean", zero(rate_sql("act_rows", ds.count_sql(days)))),
+        ("user_operate_video_day_median", zero("act_median")),
+        ("user_operate_video_day_std", zero("sqrt(act_var)")),
+        ("user_operate_video_day_var", zero("act_var")),
+        ("operate_video_distance_day", seventeen(f"({CURRENT_DAY} - {ds.last_sql(days)})")),
+        ("operate_video_day_occupy", zero(rate_sql(ds.step_weight_sum_sql(days), AGE_WEIGHT))),
+        ("user_operate_video_day_num", zero(rate_sql(ds.count_sql(days), AGE))),
     ]
     for c, v in CATEGORIES:
         f = category_name(c, v)
         p = f"cat_{f}"
         fdays = f"{p}_days"
         out += [
-            (f"user_operate_{f}_sum", zero(rate(F.col(f"{p}_rows"), age))),
-            (f"day_distance_to_operate_{f}", seventeen(F.lit(CURRENT_DAY) - ds.last_day(fdays))),
-            (f"last_day_operate_{f}_times", zero(F.col(f"{p}_latest_n"))),
-            (f"user_operated_{f}_day_max", zero(F.col(f"{p}_max"))),
+            (f"user_operate_{f}_sum", zero(rate_sql(f"{p}_rows", AGE))),
+            (f"day_distance_to_operate_{f}", seventeen(f"({CURRENT_DAY} - {ds.last_sql(fdays)})")),
+            (f"last_day_operate_{f}_times", zero(f"{p}_latest_n")),
+            (f"user_operated_{f}_day_max", zero(f"{p}_max")),
         ]
         if mode == INTENDED:
-            out.append((f"user_operated_{f}_day_min", zero(F.col(f"{p}_min"))))
+            out.append((f"user_operated_{f}_day_min", zero(f"{p}_min")))
         out += [
-            (f"user_operated_{f}_day_median", zero(F.col(f"{p}_median"))),
-            (f"user_operated_{f}_day_std", zero(F.sqrt(F.col(f"{p}_var")))),
-            (f"user_operated_{f}_day_var", zero(F.col(f"{p}_var"))),
-            (f"user_operated_{f}_day_mean",
-             zero(rate(F.col(f"{p}_rows"), ds.count_days(fdays)))),
-            (f"user_operate_{f}_occupy", zero(rate(ds.step_weight_sum(fdays), wage))),
-            (f"user_operate_{f}_day_ocupy", zero(rate(ds.count_days(fdays), age))),
+            (f"user_operated_{f}_day_median", zero(f"{p}_median")),
+            (f"user_operated_{f}_day_std", zero(f"sqrt({p}_var)")),
+            (f"user_operated_{f}_day_var", zero(f"{p}_var")),
+            (f"user_operated_{f}_day_mean", zero(rate_sql(f"{p}_rows", ds.count_sql(fdays)))),
+            (f"user_operate_{f}_occupy", zero(rate_sql(ds.step_weight_sum_sql(fdays), AGE_WEIGHT))),
+            (f"user_operate_{f}_day_ocupy", zero(rate_sql(ds.count_sql(fdays), AGE))),
         ]
     for i in HORIZONS:
         h = ds.restrict(days, CURRENT_DAY - i, FEATURE_DAYS)
         out += [
-            (f"user_activity{i}_day_sum", zero(rate(F.col(f"act_rows_{i}"), age_cap(age, i)))),
+            (f"user_activity{i}_day_sum", zero(rate_sql(f"act_rows_{i}", age_cap_sql(i)))),
             (f"user_activity{i}_day_sum_weight",
-             zero(rate(F.col(f"act_weighted_rows_{i}"), weight_cap(wage, i)))),
+             zero(rate_sql(f"act_weighted_rows_{i}", weight_cap_sql(i)))),
             (f"user_activity{i}_day_occupy",
-             zero(rate(ds.step_weight_sum(h), weight_cap(wage, i)))),
-            (f"user_activity{i}_num_day", zero(rate(ds.count_days(h), age_cap(age, i)))),
+             zero(rate_sql(ds.step_weight_sum_sql(h), weight_cap_sql(i)))),
+            (f"user_activity{i}_num_day", zero(rate_sql(ds.count_sql(h), age_cap_sql(i)))),
         ]
-    gmax, gmin, gmean = raw_row_gaps(days, F.col("act_rows"), F.col("act_max"))
+    gmax, gmin, gmean = raw_row_gaps_sql(days, "act_rows", "act_max")
     out += [
         ("user_activity_diff_day_max", seventeen(gmax)),
         ("user_activity_diff_day_min", seventeen(gmin)),
         ("user_activity_diff_day_mean", seventeen(gmean)),
     ]
-    cycle = (ds.any_weekly_pair(days, FEATURE_DAYS - 9, FEATURE_DAYS) if mode == INTENDED
-             else ds.weekly_pair(days, FEATURE_DAYS))
+    cycle = (ds.any_weekly_pair_sql(days, FEATURE_DAYS - 9, FEATURE_DAYS) if mode == INTENDED
+             else ds.weekly_pair_sql(days, FEATURE_DAYS))
+    week = f"({ds.any_day_sql(days, 13, 14)} AND {ds.any_day_sql(days, 6, 7)})"
     out += [
-        ("cycle_user_user_activity", zero(cycle.cast("int"))),
-        ("user_week_both_user_activity",
-         zero((ds.any_day(days, 13, 14) & ds.any_day(days, 6, 7)).cast("int"))),
+        ("cycle_user_user_activity", zero(f"CAST({cycle} AS INT)")),
+        ("user_week_both_user_activity", zero(f"CAST({week} AS INT)")),
     ]
     return out
 
@@ -172,11 +164,11 @@ def activity_row_gaps(activity: DataFrame, windows: Sequence[FeatureWindow]) ->
     per_user = grain.groupBy("window_id", "user_id").agg(
         F.bit_or(ds.day_bit(F.col("wday"))).alias("days"),
         F.sum("n").alias("rows"), F.max("n").alias("max_per_day"))
-    gmax, gmin, gmean = raw_row_gaps("days", F.col("rows"), F.col("max_per_day"))
-    return per_user.select("window_id", "user_id",
-                           gmax.cast("double").alias("user_activity_diff_day_max"),
-                           gmin.cast("double").alias("user_activity_diff_day_min"),
-                           gmean.cast("double").alias("user_activity_diff_day_mean"))
+    gmax, gmin, gmean = raw_row_gaps_sql("days", "rows", "max_per_day")
+    return per_user.selectExpr("window_id", "user_id",
+                               f"CAST({gmax} AS DOUBLE) AS user_activity_diff_day_max",
+                               f"CAST({gmin} AS DOUBLE) AS user_activity_diff_day_min",
+                               f"CAST({gmean} AS DOUBLE) AS user_activity_diff_day_mean")
 
 
 def category_day_stats(activity: DataFrame, windows: Sequence[FeatureWindow],

@@ -15,8 +15,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import daysets as ds
-from ..functions.weights import (CURRENT_DAY, FEATURE_DAYS, HORIZONS, MISSING_DISTANCE,
-                                 age_cap, rate, step_weight, weight_cap)
+from ..functions.weights import (AGE, AGE_WEIGHT, CURRENT_DAY, FEATURE_DAYS, HORIZONS,
+                                 age_cap_sql, missing_distance_sql, rate_sql, step_weight,
+                                 weight_cap_sql, zero_sql)
 from .launch import AS_COMPUTED, INTENDED
 from .windows import FeatureWindow, assign_windows, in_span
 
@@ -55,49 +56,42 @@ def creation_block(create: DataFrame, windows: Sequence[FeatureWindow]) -> DataF
     return day_grain(create, windows).groupBy("window_id", "user_id").agg(*aggs)
 
 
-def creation_features(mode: str = AS_COMPUTED) -> list[tuple[str, Column]]:
-    age = F.col("register_day_distance")
-    wage = F.col("register_day_count")
+def creation_features(mode: str = AS_COMPUTED) -> list[tuple[str, str]]:
+    """Final creation columns as SQL (raw block columns + spine age columns)."""
     days = "create_days"
-    n_days = ds.count_days(days)
-
-    def zero(c: Column) -> Column:
-        return F.coalesce(c, F.lit(0))
-
-    def seventeen(c: Column) -> Column:
-        return F.coalesce(c, F.lit(MISSING_DISTANCE))
-
+    n_days = ds.count_sql(days)
+    zero, seventeen = zero_sql, missing_distance_sql
     out = [
-        ("create_video_diff_day_max", seventeen(ds.gap_max(days))),
-        ("create_video_diff_day_min", seventeen(ds.gap_min(days))),
-        ("create_video_diff_day_mean", seventeen(ds.gap_mean(days))),
+        ("create_video_diff_day_max", seventeen(ds.gap_max_sql(days))),
+        ("create_video_diff_day_min", seventeen(ds.gap_min_sql(days))),
+        ("create_video_diff_day_mean", seventeen(ds.gap_mean_sql(days))),
         ("user_video_create_latest_day_distance",
-         seventeen(F.lit(CURRENT_DAY) - ds.last_day(days))),
-        ("user_video_create_latest_day_num", zero(F.col("create_latest_n"))),
-        ("user_video_create_day_max", zero(F.col("create_day_max"))),
-        ("user_video_create_day_min", zero(F.col("create_day_min"))),
-        ("user_video_create_day_mean", zero(rate(F.col("create_rows"), n_days))),
+         seventeen(f"({CURRENT_DAY} - {ds.last_sql(days)})")),
+        ("user_video_create_latest_day_num", zero("create_latest_n")),
+        ("user_video_create_day_max", zero("create_day_max")),
+        ("user_video_create_day_min", zero("create_day_min")),
+        ("user_video_create_day_mean", zero(rate_sql("create_rows", n_days))),
     ]
     for i in HORIZONS:
         h = ds.restrict(days, CURRENT_DAY - i, FEATURE_DAYS)
         out += [
-            (f"video_create{i}_day_before_sum",
-             zero(rate(F.col(f"create_rows_{i}"), age_cap(age, i)))),
+            (f"video_create{i}_day_before_sum", zero(rate_sql(f"create_rows_{i}", age_cap_sql(i)))),
             (f"video_create{i}_day_sum_weight",
-             zero(rate(F.col(f"create_weighted_rows_{i}"), weight_cap(wage, i)))),
+             zero(rate_sql(f"create_weighted_rows_{i}", weight_cap_sql(i)))),
             (f"video_create{i}_day_occupy",
-             zero(rate(ds.step_weight_sum(h), weight_cap(wage, i)))),
-            (f"video_create{i}_num_day", zero(rate(ds.count_days(h), age_cap(age, i)))),
+             zero(rate_sql(ds.step_weight_sum_sql(h), weight_cap_sql(i)))),
+            (f"video_create{i}_num_day", zero(rate_sql(ds.count_sql(h), age_cap_sql(i)))),
         ]
-    cycle = (ds.any_weekly_pair(days, FEATURE_DAYS - 9, FEATURE_DAYS) if mode == INTENDED
-             else ds.weekly_pair(days, FEATURE_DAYS))
+    cycle = (ds.any_weekly_pair_sql(days, FEATURE_DAYS - 9, FEATURE_DAYS) if mode == INTENDED
+             else ds.weekly_pair_sql(days, FEATURE_DAYS))
+    week = f"({ds.any_day_sql(days, 13, 14)} AND {ds.any_day_sql(days, 6, 7)})"
     out += [
-        ("cycle_user_create_video", zero(cycle.cast("int"))),
-        ("user_week_both_create_video",
-         zero((ds.any_day(days, 13, 14) & ds.any_day(days, 6, 7)).cast("int"))),
-        ("video_create_avg", zero(rate(F.col("create_rows"), age))),
-        ("user_create_video_day_num_occupy", zero(rate(n_days, age))),
-        ("user_video_create_day_occupy_rate", zero(rate(ds.step_weight_sum(days), wage))),
-        ("weight_create_count_rate", zero(rate(F.col("create_weighted_rows"), wage))),
+        ("cycle_user_create_video", zero(f"CAST({cycle} AS INT)")),
+        ("user_week_both_create_video", zero(f"CAST({week} AS INT)")),
+        ("video_create_avg", zero(rate_sql("create_rows", AGE))),
+        ("user_create_video_day_num_occupy", zero(rate_sql(n_days, AGE))),
+        ("user_video_create_day_occupy_rate",
+         zero(rate_sql(ds.step_weight_sum_sql(days), AGE_WEIGHT))),
+        ("weight_create_count_rate", zero(rate_sql("create_weighted_rows", AGE_WEIGHT))),
     ]
     return out

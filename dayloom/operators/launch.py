@@ -13,8 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import daysets as ds
-from ..functions.weights import (CURRENT_DAY, FEATURE_DAYS, HORIZONS, LABEL_DAYS,
-                                 MISSING_DISTANCE, rate, age_cap, weight_cap)
+from ..functions.weights import (AGE_WEIGHT, CURRENT_DAY, FEATURE_DAYS, HORIZONS, LABEL_DAYS,
+                                 age_cap_sql, missing_distance_sql, rate_sql, weight_cap_sql,
+                                 zero_sql)
 from .windows import FeatureWindow, bit_base, fan_out_mask, in_span
 
 AS_COMPUTED = "as_computed"
@@ -78,31 +79,26 @@ def launch_raw_columns(mode: str = AS_COMPUTED) -> list[Column]:
     return cols
 
 
-def launch_features(mode: str = AS_COMPUTED) -> list[tuple[str, Column]]:
-    """Final launch columns over a frame holding the raw columns and the spine's
-    ``register_day_distance`` / ``register_day_count``.  Missing values are
-    filled as the feature table expects (gaps 17, everything else 0)."""
-    age = F.col("register_day_distance")
-    wage = F.col("register_day_count")
-    out = [
-        ("user_launch_last_day_distance",
-         F.coalesce(F.col("user_launch_last_day_distance"), F.lit(0))),
-    ]
+def launch_features(mode: str = AS_COMPUTED) -> list[tuple[str, str]]:
+    """Final launch columns as SQL over a frame holding the raw columns and the
+    spine's age columns.  Missing values are filled as the feature table
+    expects (gaps 17, everything else 0)."""
+    out = [("user_launch_last_day_distance", zero_sql("user_launch_last_day_distance"))]
     for c in ("diff_day_max", "diff_day_min", "diff_day_mean"):
-        out.append((c, F.coalesce(F.col(c), F.lit(MISSING_DISTANCE))))
+        out.append((c, missing_distance_sql(c)))
     for i in HORIZONS:
         name = f"app_launch{i}_day_before_rate"
-        raw = F.coalesce(F.col(name), F.lit(0))
-        out.append((name, rate(raw, age_cap(age, i)) if mode == INTENDED else raw))
+        raw = zero_sql(name)
+        out.append((name, rate_sql(raw, age_cap_sql(i)) if mode == INTENDED else raw))
     if mode == INTENDED:
         for i in HORIZONS:
             name = f"app_launch{i}_day_before_occupy"
-            out.append((name, F.coalesce(rate(F.col(name), weight_cap(wage, i)), F.lit(0))))
+            out.append((name, zero_sql(rate_sql(name, weight_cap_sql(i)))))
     out += [
-        ("cycle_user", F.coalesce(F.col("cycle_user"), F.lit(0))),
-        ("cycle_week_user", F.coalesce(F.col("cycle_week_user"), F.lit(0))),
+        ("cycle_user", zero_sql("cycle_user")),
+        ("cycle_week_user", zero_sql("cycle_week_user")),
         ("user_launch_date_occupied_avg",
-         F.coalesce(rate(F.col("user_launch_date_occupied"), wage), F.lit(0))),
+         zero_sql(rate_sql("user_launch_date_occupied", AGE_WEIGHT))),
     ]
     return out
 

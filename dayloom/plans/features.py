@@ -30,7 +30,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.weights import HORIZONS, rate, weight_cap
+from ..functions.weights import HORIZONS, rate_sql, weight_cap_sql, zero_sql
 from ..operators.activity import CATEGORIES, activity_block, activity_features, category_name
 from ..operators.affinity import video_affinity
 from ..operators.creation import creation_block, creation_features
@@ -38,19 +38,16 @@ from ..operators.label import any_log_labels
 from ..operators.launch import AS_COMPUTED, INTENDED, launch_block, launch_features
 from ..operators.popularity import author_block, author_flags, author_views
 from ..operators.spine import register_type_categories, user_spine
-from ..operators.windows import STANDARD_WINDOWS, FeatureWindow, is_labelled, labelled_ids
+from ..operators.windows import STANDARD_WINDOWS, FeatureWindow, labelled_ids
 from ..sources.logs import Logs
 
 KEYS = ["window_id", "user_id"]
 
 
-def _zero(c: Column) -> Column:
-    return F.coalesce(c, F.lit(0))
-
-
-def _activity_columns(mode: str) -> list[tuple[str, Column]]:
-    """Activity features in the feature table's column order."""
+def _activity_columns(mode: str) -> list[tuple[str, str]]:
+    """Activity features in the feature table's column order (SQL text)."""
     base = dict(activity_features(mode))
+    zero = zero_sql
     order = [
         "video_operate_times", "user_operate_video_weight",
         "user_operate_video_day_max", "user_operate_video_day_min",
@@ -60,8 +57,8 @@ def _activity_columns(mode: str) -> list[tuple[str, Column]]:
         "user_operate_video_day_num",
     ]
     out = [(c, base[c]) for c in order]
-    out += [("weight_user_view_video_weight", _zero(F.col("weight_user_view_video_weight"))),
-            ("user_view_same_author_weight", _zero(F.col("user_view_same_author_weight")))]
+    out += [("weight_user_view_video_weight", zero("weight_user_view_video_weight")),
+            ("user_view_same_author_weight", zero("user_view_same_author_weight"))]
     for c, v in CATEGORIES:
         f = category_name(c, v)
         names = [f"user_operate_{f}_sum", f"day_distance_to_operate_{f}",
@@ -73,34 +70,30 @@ def _activity_columns(mode: str) -> list[tuple[str, Column]]:
                   f"user_operate_{f}_occupy", f"user_operate_{f}_day_ocupy"]
         out += [(n, base[n]) for n in names]
     for i in HORIZONS:
-        out += [
-            (f"weight_user_view_video_{i}_weight",
-             _zero(F.col(f"weight_user_view_video_{i}_weight"))),
-            (f"user_view_same_author_{i}_weight",
-             _zero(F.col(f"user_view_same_author_{i}_weight"))),
-        ]
+        out += [(f"weight_user_view_video_{i}_weight", zero(f"weight_user_view_video_{i}_weight")),
+                (f"user_view_same_author_{i}_weight", zero(f"user_view_same_author_{i}_weight"))]
         out += [(n, base[n]) for n in (f"user_activity{i}_day_sum",
                                        f"user_activity{i}_day_sum_weight",
                                        f"user_activity{i}_day_occupy",
                                        f"user_activity{i}_num_day")]
     out += [(n, base[n]) for n in ("user_activity_diff_day_max", "user_activity_diff_day_min",
                                    "user_activity_diff_day_mean")]
-    out.append(("author_atttractive_force", _zero(F.col("author_atttractive_force"))))
-    wage = F.col("register_day_count")
+    out.append(("author_atttractive_force", zero("author_atttractive_force")))
     for i in HORIZONS:
         out += [
             (f"weight_user_view_video_{i}_weight_rete",
-             _zero(rate(F.col(f"weight_user_view_video_{i}_weight"), weight_cap(wage, i)))),
+             zero(rate_sql(f"weight_user_view_video_{i}_weight", weight_cap_sql(i)))),
             (f"user_view_same_author_{i}_weight_rate",
-             _zero(rate(F.col(f"user_view_same_author_{i}_weight"), weight_cap(wage, i)))),
+             zero(rate_sql(f"user_view_same_author_{i}_weight", weight_cap_sql(i)))),
         ]
-    out.append(("user_is_author", _zero(F.col("user_is_author"))))
+    out.append(("user_is_author", zero("user_is_author")))
     out += [(n, base[n]) for n in ("cycle_user_user_activity", "user_week_both_user_activity")]
     return out
 
 
-def feature_columns(mode: str = AS_COMPUTED) -> list[tuple[str, Column]]:
-    """All block features (after the spine columns), in table order."""
+def feature_columns(mode: str = AS_COMPUTED) -> list[tuple[str, str]]:
+    """All block features (after the spine columns), in table order, as
+    ``(name, SQL expression)`` over the spine joined with the blocks."""
     return launch_features(mode) + creation_features(mode) + _activity_columns(mode)
 
 
@@ -129,15 +122,17 @@ def feature_table(logs: Logs, windows: Sequence[FeatureWindow] = STANDARD_WINDOW
     for block in blocks:
         joined = joined.join(block, KEYS, "left")
 
-    raw_label = F.col("label_any") if mode == INTENDED else F.col("label_launch")
-    label = F.when(is_labelled(F.col("window_id"), windows), _zero(raw_label)).cast("int")
+    # the ~220 output expressions go in as SQL text: one parse on the JVM
+    # instead of thousands of Python->JVM calls to build Column objects
     spine_cols = ["window_id", "user_id", "register_day_distance", "device_type"] + \
         [f"register_type{i}" for i in range(len(categories))]
-    feats = [c.cast("double").alias(n) for n, c in feature_columns(mode)]
-    out = joined.select(*spine_cols, *feats, label.alias("label"))
-    if not labelled_ids(windows):
-        out = out.drop("label")
-    return out
+    feats = [f"CAST({expr} AS DOUBLE) AS {name}" for name, expr in feature_columns(mode)]
+    ids = labelled_ids(windows)
+    if ids:
+        raw = "label_any" if mode == INTENDED else "label_launch"
+        feats.append(f"CAST(CASE WHEN window_id IN ({', '.join(map(str, ids))}) "
+                     f"THEN coalesce({raw}, 0) END AS INT) AS label")
+    return joined.selectExpr(*spine_cols, *feats)
 
 
 def feature_names(table: DataFrame) -> list[str]:
