@@ -98,6 +98,13 @@ def weight_cap_sql(horizon: int) -> str:
     return f"least({AGE_WEIGHT}, {cumulative_weight_value(horizon)!r}D)"
 
 
+def step_weight_sql(day: str) -> str:
+    """Step weight of a window-day expression (SQL ``CASE``)."""
+    cases = " ".join(f"WHEN {day} BETWEEN {lo} AND {hi} THEN {w!r}D"
+                     for lo, hi, w in STEP_WEIGHTS[:-1])
+    return f"(CASE {cases} ELSE {STEP_WEIGHTS[-1][2]!r}D END)"
+
+
 def zero_sql(expr: str) -> str:
     return f"coalesce({expr}, 0)"
 

@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from ..functions import daysets as ds
 from ..functions.weights import (AGE, AGE_WEIGHT, CURRENT_DAY, FEATURE_DAYS, HORIZONS,
-                                 age_cap_sql, missing_distance_sql, rate_sql, step_weight,
-                                 weight_cap_sql, zero_sql)
+                                 age_cap_sql, missing_distance_sql, rate_sql,
+                                 step_weight_sql, weight_cap_sql, zero_sql)
 from .launch import AS_COMPUTED, INTENDED
 from .windows import FeatureWindow, assign_windows, in_span
 
@@ -46,38 +46,38 @@ def activity_day_grain(activity: DataFrame, windows: Sequence[FeatureWindow]) ->
     return assign_windows(per_day, windows)
 
 
-def _day_stats(n: Column, prefix: str, with_min: bool) -> list[Column]:
-    """Statistics over the days on which ``n`` > 0."""
-    wday = F.col("wday")
-    on = F.when(n > 0, n)
-    cols = [
-        F.sum(n).alias(f"{prefix}_rows"),
-        F.bit_or(F.when(n > 0, ds.day_bit(wday))).alias(f"{prefix}_days"),
-        F.max_by(n, F.when(n > 0, wday)).alias(f"{prefix}_latest_n"),
-        F.max(on).alias(f"{prefix}_max"),
-        F.median(on).alias(f"{prefix}_median"),
-        F.var_samp(on).alias(f"{prefix}_var"),   # std = sqrt(var), as stddev_samp
+def _day_stats(n: str, prefix: str, with_min: bool) -> list[str]:
+    """Aggregates (SQL text) over the days on which count column ``n`` > 0."""
+    on = f"CASE WHEN {n} > 0 THEN {n} END"
+    aggs = [
+        f"sum({n}) AS {prefix}_rows",
+        f"bit_or(CASE WHEN {n} > 0 THEN shiftleft(1L, wday) END) AS {prefix}_days",
+        f"max_by({n}, CASE WHEN {n} > 0 THEN wday END) AS {prefix}_latest_n",
+        f"max({on}) AS {prefix}_max",
+        f"median({on}) AS {prefix}_median",
+        f"var_samp({on}) AS {prefix}_var",   # std = sqrt(var), as stddev_samp
     ]
     if with_min:
-        cols.append(F.min(on).alias(f"{prefix}_min"))
-    return cols
+        aggs.append(f"min({on}) AS {prefix}_min")
+    return aggs
 
 
 def activity_block(activity: DataFrame, windows: Sequence[FeatureWindow],
                    mode: str = AS_COMPUTED) -> DataFrame:
+    """Per (window, user): total and per-category day statistics, plus the
+    horizon sums; one aggregate over the day grain."""
     grain = activity_day_grain(activity, windows)
-    n, wday = F.col("n"), F.col("wday")
-    w = step_weight(wday)
-    aggs = _day_stats(n, "act", with_min=True)
-    aggs.append(F.sum(w * n).alias("act_weighted_rows"))
+    w = step_weight_sql("wday")
+    aggs = _day_stats("n", "act", with_min=True)
+    aggs.append(f"sum({w} * n) AS act_weighted_rows")
     for i in HORIZONS:
-        h = wday >= CURRENT_DAY - i
-        aggs.append(F.sum(F.when(h, n).otherwise(0)).alias(f"act_rows_{i}"))
-        aggs.append(F.sum(F.when(h, w * n).otherwise(0.0)).alias(f"act_weighted_rows_{i}"))
+        h = f"wday >= {CURRENT_DAY - i}"
+        aggs.append(f"sum(CASE WHEN {h} THEN n ELSE 0 END) AS act_rows_{i}")
+        aggs.append(f"sum(CASE WHEN {h} THEN {w} * n ELSE 0D END) AS act_weighted_rows_{i}")
     for c, v in CATEGORIES:
         name = category_name(c, v)
-        aggs += _day_stats(F.col(name), f"cat_{name}", with_min=(mode == INTENDED))
-    return grain.groupBy("window_id", "user_id").agg(*aggs)
+        aggs += _day_stats(name, f"cat_{name}", with_min=(mode == INTENDED))
+    return grain.groupBy("window_id", "user_id").agg(*[F.expr(a) for a in aggs])
 
 
 def raw_row_gaps_sql(days: str, rows: str, max_per_day: str) -> tuple[str, str, str]:

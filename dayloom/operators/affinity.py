@@ -35,13 +35,12 @@ def item_day_sets(activity: DataFrame, windows: Sequence[FeatureWindow],
     return fan_out_mask(per_item, windows, "days")
 
 
-def item_weights(days_col: str = "days") -> list:
-    """Weighted distinct-day sums per (user, item): full window + horizons."""
-    days = days_col
-    cols = [ds.step_weight_sum(days).alias("w_all")]
+def item_weights(days_col: str = "days") -> list[str]:
+    """Weighted distinct-day sums per (user, item): full window + horizons (SQL)."""
+    cols = [f"{ds.step_weight_sum_sql(days_col)} AS w_all"]
     for i in HORIZONS:
-        cols.append(ds.step_weight_sum(ds.restrict(days, CURRENT_DAY - i, FEATURE_DAYS))
-                    .alias(f"w_{i}"))
+        h = ds.restrict(days_col, CURRENT_DAY - i, FEATURE_DAYS)
+        cols.append(f"{ds.step_weight_sum_sql(h)} AS w_{i}")
     return cols
 
 
@@ -52,12 +51,12 @@ def max_item_affinity(item_sets: DataFrame, full_name: str, horizon_name: str,
     ``horizon_name`` is a format string with ``{i}`` for the horizon.
     A horizon with no touched item gives NULL, as the feature expects.
     """
-    weights = item_sets.select("*", *item_weights())
-    aggs = [F.max("w_all").alias(full_name)]
-    for i in HORIZONS:
-        aggs.append(F.max(F.when(F.col(f"w_{i}") > 0, F.col(f"w_{i}")))
-                    .alias(horizon_name.format(i=i)))
-    return weights.groupBy("window_id", "user_id").agg(*aggs, *extra_aggs)
+    weights = item_sets.selectExpr("*", *item_weights())
+    aggs = [f"max(w_all) AS {full_name}"] + [
+        f"max(CASE WHEN w_{i} > 0 THEN w_{i} END) AS {horizon_name.format(i=i)}"
+        for i in HORIZONS]
+    return (weights.groupBy("window_id", "user_id")
+            .agg(*[F.expr(a) for a in aggs], *extra_aggs))
 
 
 def video_affinity(activity: DataFrame, windows: Sequence[FeatureWindow]) -> DataFrame:

@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from ..functions import daysets as ds
 from ..functions.weights import (AGE, AGE_WEIGHT, CURRENT_DAY, FEATURE_DAYS, HORIZONS,
-                                 age_cap_sql, missing_distance_sql, rate_sql, step_weight,
-                                 weight_cap_sql, zero_sql)
+                                 age_cap_sql, missing_distance_sql, rate_sql,
+                                 step_weight_sql, weight_cap_sql, zero_sql)
 from .launch import AS_COMPUTED, INTENDED
 from .windows import FeatureWindow, assign_windows, in_span
 
@@ -33,27 +33,23 @@ def day_grain(log: DataFrame, windows: Sequence[FeatureWindow],
     return assign_windows(per_day, windows, with_label_days=with_label_days)
 
 
-def horizon(i: int) -> Column:
-    """Window day inside the trailing horizon of ``i`` days before day 17."""
-    return F.col("wday") >= CURRENT_DAY - i
-
-
 def creation_block(create: DataFrame, windows: Sequence[FeatureWindow]) -> DataFrame:
-    n, wday = F.col("n"), F.col("wday")
-    w = step_weight(wday)
+    """Per (window, user): day bitmap and count statistics of the day grain."""
+    w = step_weight_sql("wday")
     aggs = [
-        F.bit_or(ds.day_bit(wday)).alias("create_days"),
-        F.sum(n).alias("create_rows"),
-        F.sum(w * n).alias("create_weighted_rows"),
-        F.max(n).alias("create_day_max"),
-        F.min(n).alias("create_day_min"),
-        F.max_by(n, wday).alias("create_latest_n"),
+        "bit_or(shiftleft(1L, wday)) AS create_days",
+        "sum(n) AS create_rows",
+        f"sum({w} * n) AS create_weighted_rows",
+        "max(n) AS create_day_max",
+        "min(n) AS create_day_min",
+        "max_by(n, wday) AS create_latest_n",
     ]
     for i in HORIZONS:
-        aggs.append(F.sum(F.when(horizon(i), n).otherwise(0)).alias(f"create_rows_{i}"))
-        aggs.append(F.sum(F.when(horizon(i), w * n).otherwise(0.0))
-                    .alias(f"create_weighted_rows_{i}"))
-    return day_grain(create, windows).groupBy("window_id", "user_id").agg(*aggs)
+        h = f"wday >= {CURRENT_DAY - i}"
+        aggs.append(f"sum(CASE WHEN {h} THEN n ELSE 0 END) AS create_rows_{i}")
+        aggs.append(f"sum(CASE WHEN {h} THEN {w} * n ELSE 0D END) AS create_weighted_rows_{i}")
+    return (day_grain(create, windows).groupBy("window_id", "user_id")
+            .agg(*[F.expr(a) for a in aggs]))
 
 
 def creation_features(mode: str = AS_COMPUTED) -> list[tuple[str, str]]:

@@ -32,19 +32,19 @@ def register_type_categories(register: DataFrame) -> list[int]:
     return sorted(values, key=str)
 
 
-def one_hot(value: Column, categories: Sequence, prefix: str) -> list[Column]:
-    return [F.when(value == F.lit(v), 1).otherwise(0).cast("int").alias(f"{prefix}{i}")
+def one_hot(value: str, categories: Sequence, prefix: str) -> list[str]:
+    """One 0/1 column per category, named by the category's ordinal (SQL)."""
+    return [f"CAST(CASE WHEN {value} = {v!r} THEN 1 ELSE 0 END AS INT) AS {prefix}{i}"
             for i, v in enumerate(categories)]
 
 
 def user_spine(register: DataFrame, windows: Sequence[FeatureWindow],
                categories: Sequence[int]) -> DataFrame:
     tagged = spine_windows(register, windows)
-    age = F.col("register_day_distance")
     return tagged.select(
         "window_id", "user_id", "register_day_distance", "device_type",
-        *one_hot(F.col("register_type"), categories, "register_type"),
-        cumulative_weight(age).alias("register_day_count"),
+        *[F.expr(c) for c in one_hot("register_type", categories, "register_type")],
+        cumulative_weight(F.col("register_day_distance")).alias("register_day_count"),
     )
 
 
