@@ -205,9 +205,10 @@ isa AS (SELECT DISTINCT window_id, author_id AS user_id FROM ac)"""
 
 
 def r6(expr: str) -> str:
-    # decimal rounding (half up on the decimal value), as Spark's round() does;
-    # DuckDB's ROUND(DOUBLE) scales in binary and can miss exact .5 ties
-    return f"CAST(ROUND(CAST(CAST({expr} AS DOUBLE) AS DECIMAL(38, 12)), 6) AS DOUBLE)"
+    # half-up rounding to 6 decimals with the same double operations the
+    # Spark side uses: floor(x * 1e6 + 0.5) / 1e6
+    return (f"(FLOOR(CAST({expr} AS DOUBLE) * CAST(1000000 AS DOUBLE) + CAST(0.5 AS DOUBLE))"
+            f" / CAST(1000000 AS DOUBLE))")
 
 
 def z(expr: str) -> str:
