@@ -36,6 +36,7 @@ j AS (SELECT *, n > 0 AND ((syms * 100 > 10 * chars AND 4 * parted < n)
              OR 2 * len([x FOR x IN ws IF regexp_matches(x, '[!?]{2,}$')]) >= n
              OR (n >= 40 AND NOT regexp_matches(line, '\p{P}'))
              OR (parted >= 2 AND 4 * parted >= n)
+             OR (n >= 8 AND 2 * len([x FOR x IN range(1, n) IF ws[x] = ws[x + 1]]) > n)
              OR (n <= 6 AND regexp_matches(low, '^(home|menu|log in|login|sign in|sign up|skip to content|next page|previous page|back to top|site map|sitemap)([^0-9a-z]|$)'))
              OR (n <= 20 AND regexp_matches(low, 'all rights reserved|terms of use|terms of service|privacy policy|cookie policy|uses cookies|enable javascript|lorem ipsum|subscribe to our newsletter|click here|follow us on|share this page|powered by'))) AS bad FROM f),
 s AS (SELECT rid, sum(n)::BIGINT AS n_words, sum(chars)::BIGINT AS word_chars, sum(syms)::BIGINT AS n_symbols,

@@ -7,7 +7,8 @@ Every line that holds a word is judged by itself:
   `LONG_LINE` words and more without a single punctuation mark;
 * navigation: menus of short entries parted by `|`, `>`, bullets and the like, and
   short lines that start with a menu command;
-* boilerplate: short lines with a stock phrase of page furniture.
+* boilerplate: short lines with a stock phrase of page furniture, and lines of `STUTTER`
+  words and more of which over half repeat the word before them.
 
 Failing lines are removed; a document is rejected if more than `MAX_LOST` of its
 words went with them.  Documents that fail the base rules (under 20 words, or over 30 % of
@@ -19,6 +20,7 @@ Scale: a narrow map, one pass over the text, no shuffle.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from operator import eq
 
 import numpy as np
 import pandas as pd
@@ -48,6 +50,7 @@ STOCK = ["all rights reserved", "terms of use", "terms of service", "privacy pol
          "uses cookies", "enable javascript", "lorem ipsum", "subscribe to our newsletter", "click here",
          "follow us on", "share this page", "powered by"]
 STOCK_WORDS = 20
+STUTTER = 8
 
 _SYMBOL = regex.compile("[" + SYMBOLS + "]")
 _SHOUT = regex.compile(rb"[!?]{2,}(?=[ \t-\r]|\Z)")
@@ -71,6 +74,8 @@ def line_fault(line: str, words: list[bytes]) -> str | None:
     parted = sum(map(words.count, SEPARATORS))
     if parted >= 2 and 4 * parted >= n:
         return "navigation"
+    if n >= STUTTER and 2 * sum(map(eq, words, words[1:])) > n:
+        return "boilerplate"
     if n <= STOCK_WORDS:
         low = line.translate(_LOWER).strip(" \t\n\r\x0b\x0c")
         if n <= MENU_WORDS and _MENU.match(low):
