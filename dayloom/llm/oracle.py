@@ -6,9 +6,6 @@ Queries that SQL cannot express are absent and tested against brute force.
 
 from __future__ import annotations
 
-#: Words of quality rules, mixing and fingerprints: runs of anything but ASCII white space.
-_WORD = r"[^\x20\x09-\x0D]+"
-
 OP9 = r"""
 WITH a AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
 b AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
@@ -57,7 +54,46 @@ SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
        NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND 100 * (n_words - n_kept_words) <= 50 * n_words AS kept FROM t
 """
 
+#: kind, pattern, group whose length counts, least length.
+_SECRETS = [
+    ("assign", r"""((?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?)([A-Za-z0-9+/_.=-]+)""", 2, 12),
+    ("access", "(AKIA[A-Z0-9]+)", 1, 18),
+    ("hex", "([0-9a-f]+)", 1, 16),
+    ("private_key", "(-----BEGIN (?:[A-Z]+ ){0,3}PRIVATE KEY-----(?:[^-]*-----END (?:[A-Z]+ ){0,3}PRIVATE KEY-----)?)", 1, 1),
+    ("git_token", "(gh[pousr]_[A-Za-z0-9]+)", 1, 40),
+    ("chat_token", "(xox[abprs]-[A-Za-z0-9-]+)", 1, 20),
+    ("cloud_key", "(AIza[A-Za-z0-9_-]+)", 1, 39),
+    ("pay_key", "([sr]k_(?:live|test)_[A-Za-z0-9]+)", 1, 24),
+    ("web_token", r"(eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,})", 1, 1),
+    ("url_login", r"(://[^\s/:@]{1,64}:[^\s/:@]{3,64}@)", 1, 1),
+]
+
+
+def _secrets_sql() -> str:
+    """Offsets of all matches: lengths of the pieces between matches and of the matches, summed up."""
+    kinds = []
+    for n, (kind, pattern, group, least) in enumerate(_SECRETS):
+        p = pattern.replace("'", "''")
+        kinds.append(f"""
+SELECT doc_id, {n} AS k, '{kind}' AS kind,
+       list_sum(between[1:i]) + coalesce(list_sum(size[1:i - 1]), 0) AS a, list_sum(between[1:i]) + list_sum(size[1:i]) AS b
+FROM (SELECT doc_id, m, g, [len(x) FOR x IN string_split_regex(text, '{p}')] AS between, [len(x) FOR x IN m] AS size, unnest(range(1, len(m) + 1)) AS i
+      FROM (SELECT doc_id, text, regexp_extract_all(text, '{p}', 0) AS m, regexp_extract_all(text, '{p}', {group}) AS g
+            FROM documents WHERE regexp_matches(text, '{p}')))
+WHERE len(g[i]) >= {least}""")
+    return f"""
+WITH s AS ({" UNION ALL ".join(kinds)}),
+t AS (SELECT doc_id, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access, count(*) FILTER (k = 2) AS n_hex,
+             coalesce(string_agg(kind || ':' || a::BIGINT || ':' || b::BIGINT, ',' ORDER BY a, k) FILTER (k < 3), '') AS base,
+             string_agg(kind || ':' || a::BIGINT || ':' || b::BIGINT, ',' ORDER BY a, k) AS spans FROM s GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM documents LEFT JOIN t USING (doc_id)
+"""
+
+
 SQL = {
     "op2_quality_rules": OP2,
+    "op6_secret_scan": _secrets_sql(),
     "op9_url_filter": OP9,
 }

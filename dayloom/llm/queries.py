@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import quality_rules as qr, token_count as tc, url_filter as uf
+from . import html_text as ht, quality_rules as qr, secret_scan as ss, token_count as tc, url_filter as uf
 from .common import table
 
 
@@ -17,10 +17,24 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return qr.quality_rules(table(spark, sf_dir, "documents"), with_text=False)
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ss.secret_spans(table(spark, sf_dir, "documents"), with_text=False)
+    base = [r.kind for r in ss.BASE]
+    return found.select(
+        "doc_id",
+        *(F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in base),
+        F.sha2(ss.joined_spans("spans", base), 256).alias("base_sha256"),
+        ss.joined_spans("spans").alias("spans"))
+
+
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ht.extract(table(spark, sf_dir, "pages"))
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return uf.url_verdicts(table(spark, sf_dir, "pages"), uf.rules_table(spark))
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_token_counts, op2_quality_rules, op9_url_filter,
+    op1_token_counts, op2_quality_rules, op6_secret_scan, op7_html_text, op9_url_filter,
 )}
