@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import html_text as ht, quality_rules as qr, secret_scan as ss, token_count as tc, url_filter as uf
+from . import decontaminate as dc, html_text as ht, mixing as mx, quality_rules as qr, secret_scan as ss, simhash as sh
+from . import token_count as tc, url_filter as uf
 from .common import table
 
 
@@ -17,12 +18,23 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return qr.quality_rules(table(spark, sf_dir, "documents"), with_text=False)
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = dc.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sh.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", sh.hex_fingerprint("fp").alias("fingerprint"), "component_id")
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = ss.secret_spans(table(spark, sf_dir, "documents"), with_text=False)
     base = [r.kind for r in ss.BASE]
     return found.select(
         "doc_id",
-        *(F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in base),
+        *(F.expr(f"cast(size(filter(spans, s -> s.kind = '{k}')) as long)").alias(f"n_{k}") for k in base),
         F.sha2(ss.joined_spans("spans", base), 256).alias("base_sha256"),
         ss.joined_spans("spans").alias("spans"))
 
@@ -31,10 +43,16 @@ def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ht.extract(table(spark, sf_dir, "pages"))
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mx.mix(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return uf.url_verdicts(table(spark, sf_dir, "pages"), uf.rules_table(spark))
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_token_counts, op2_quality_rules, op6_secret_scan, op7_html_text, op9_url_filter,
+    op1_token_counts, op2_quality_rules, op4_decontaminate, op5_simhash, op6_secret_scan, op7_html_text,
+    op8_mixing, op9_url_filter,
 )}
