@@ -24,18 +24,27 @@ SHARE = 20
 #: Distinct windows up to which the hash set is broadcast (some 300 bytes each).
 BROADCAST_WINDOWS = 200_000
 
-#: Characters that are not part of words: fixed values of the contract.
-WORD = r"[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+#: Characters that part words, and runs of those that make them: fixed values of the contract.
+GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+WORD = r"[0-9A-Za-z\x80-\x{10FFFF}]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def lowered(text: str) -> Column:
-    """A-Z lower-cased, other letters as they are; the quick way where there is nothing but ASCII."""
-    return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, _UPPER, _LOWER))
+def words(text: str) -> Column:
+    """Array of words with A-Z lower-cased, other letters as they are.
 
+    `translate` looks at every character by itself, so it is left to words that some lower-casing would
+    change, in texts that are not all ASCII.
+    """
+    def lowered(w: Column) -> Column:
+        return F.when(F.lower(w) == w, w).otherwise(F.translate(w, _UPPER, _LOWER))
 
-def words(text: str) -> Column:
-    return F.regexp_extract_all(lowered(text), F.expr(f"'{WORD}'"), F.lit(0))
+    return (F.when(F.octet_length(text) == F.char_length(text), F.array_remove(F.split(F.lower(text), GAP), ""))
+            .otherwise(F.transform(F.array_remove(F.split(text, GAP), ""), lowered)))
+
+
+def n_words(text: str) -> Column:
+    return F.coalesce(F.regexp_count(text, F.lit(WORD)).cast("long"), F.lit(0).cast("long"))
 
 
 def digest(text: str) -> Column:
@@ -59,8 +68,7 @@ def hits(docs: DataFrame, grams: DataFrame, text: str = "text") -> DataFrame:
     for n, count in lengths:  # at most as many as a window has words
         side = distinct.where(F.col("n") == n).select("gram", "h")
         side = F.broadcast(side) if count <= BROADCAST_WINDOWS else side
-        part = (texts.where(f"size(w) >= {n}")
-                .withColumn("i", F.explode(F.expr(f"sequence(1, size(w) - {n - 1})")))
+        part = (texts.withColumn("i", F.explode(F.expr(f"if(size(w) >= {n}, sequence(1, size(w) - {n - 1}), array())")))
                 .withColumn("at", F.expr(f"slice(w, i, {n})"))
                 .withColumn("h", F.xxhash64("at"))
                 .join(side, "h").where("at = gram")
@@ -100,9 +108,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, sha
     grams = windows(benchmark, width, item, text="text")
     summary = hit_summary(hits(own, grams, text), grams)
     rows = own.select(key, *[c for c in carry if c != key], digest(text).alias("text_key"),
-                      F.coalesce(F.size(words(text)), F.lit(0)).cast("long").alias("n_words"))
-    return (rows.withColumn("n_words", F.greatest("n_words", F.lit(0).cast("long")))
-            .join(summary, "text_key", "left")
+                      n_words(text).alias("n_words"))
+    return (rows.join(summary, "text_key", "left")
             .withColumn("n_hit", F.coalesce(F.col("n_hit").cast("long"), F.lit(0).cast("long")))
             .withColumn("items", F.coalesce("items", F.array().cast("array<string>")))
             .withColumn("spans", F.coalesce("spans", F.array().cast("array<struct<start:int,end:int>>")))
@@ -112,6 +119,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, sha
 
 def without_spans(text: str, spans: str) -> Column:
     """The text without the words of the spans and what parts them from the next word."""
-    pieces = F.regexp_extract_all(F.col(text), F.expr(r"'(^[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+)?[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]*'"), F.lit(0))
+    gap = GAP[:-1]
+    pieces = F.regexp_extract_all(F.col(text), F.lit(f"(^{gap}+)?{WORD}{gap}*"), F.lit(0))
     kept = F.filter(pieces, lambda x, i: ~F.exists(F.col(spans), lambda s: (s["start"] <= i) & (i < s["end"])))
     return F.when(F.size(spans) == 0, F.col(text)).otherwise(F.array_join(kept, ""))
