@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import decontaminate as dc, html_text as ht, mixing as mx, quality_rules as qr, secret_scan as ss, simhash as sh
-from . import token_count as tc, url_filter as uf
+from . import token_count as tc, url_filter as uf, weak_label as wl
 from .common import table
 
 
@@ -18,6 +18,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return qr.quality_rules(table(spark, sf_dir, "documents"), with_text=False)
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wl.classify(table(spark, sf_dir, "documents"))
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = dc.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
@@ -53,6 +57,6 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_token_counts, op2_quality_rules, op4_decontaminate, op5_simhash, op6_secret_scan, op7_html_text,
+    op1_token_counts, op2_quality_rules, op3_quality_classifier, op4_decontaminate, op5_simhash, op6_secret_scan, op7_html_text,
     op8_mixing, op9_url_filter,
 )}
