@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
 
 #: Rows and bytes of one Arrow batch handed to a Python worker.  Texts differ
 #: in length by orders of magnitude, so the byte limit is the one that holds.
@@ -30,6 +34,28 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def map_texts(rows: DataFrame, keep: tuple[str, ...], text: str, out: str,
+              make: Callable[[], Callable[[list[str | None]], list[list]]]) -> DataFrame:
+    """`keep`, unchanged, beside what a function makes of the texts of each Arrow batch.
+
+    `make` is called once a task and gives that function: from a list of texts to one list for each
+    column of `out` (DDL).  Kept columns stay Arrow arrays, so nulls and large integers survive.
+    """
+    small_batches(rows.sparkSession)
+    made = StructType.fromDDL(out)
+    schema = StructType([rows.schema[c] for c in keep] + made.fields)
+    names, types = schema.fieldNames(), [to_arrow_type(f.dataType) for f in made.fields]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = make()
+        for b in batches:
+            columns = work(b.column(text).to_pylist())
+            yield pa.RecordBatch.from_arrays(
+                [b.column(c) for c in keep] + [pa.array(x, type=t) for x, t in zip(columns, types)], names=names)
+
+    return rows.mapInArrow(run, schema)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

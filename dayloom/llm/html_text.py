@@ -14,13 +14,11 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections.abc import Iterator
 from typing import NamedTuple
 
-import pandas as pd
 from pyspark.sql import DataFrame
 
-from .common import pick, small_batches
+from .common import map_texts, pick
 
 #: Share of a block's characters inside links above which it is bad, outside and inside an article.
 MAX_LINKS, MAX_LINKS_ARTICLE = 0.33, 0.5
@@ -222,15 +220,8 @@ def extract(pages: DataFrame, key: str = "page_id", page: str = "html", carry: t
     Repeated rows and null keys are kept; an empty table gives an empty result;
     other columns are not looked at.
     """
-    small_batches(pages.sparkSession)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            out = b[[key, *carry]].copy()
-            out["text"] = [main_text(h) for h in b[page]]
-            out["n_chars"] = [len(t) for t in out["text"]]
-            yield out
-
-    rows = pick(pages, key, *carry, page)
-    kinds = [f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in (key, *carry)]
-    return rows.mapInPandas(run, ", ".join([*kinds, "text string", "n_chars long"]))
+    def run(texts: list[str | None]) -> list[list]:
+        found = [main_text(t) for t in texts]
+        return [found, [len(t) for t in found]]
+
+    return map_texts(pick(pages, key, *carry, page), (key, *carry), page, "text string, n_chars long", lambda: run)

@@ -33,9 +33,10 @@ WEIGHTS = (5.0, 2.0, 1.0)
 CAP = 3
 BLOCKS = 4096
 SHARDS = 64
+PIECES = 16
 SEED = 42
 MAX_SOURCES = 100_000
-#: Rows of the (source, shard) table up to which it is broadcast (under 50 bytes each).
+#: Rows of the tables by source, shard or block up to which they are broadcast (under 200 bytes each).
 BROADCAST_ROWS = 500_000
 
 WORD = r"[^\\x20\\x09-\\x0D]+"
@@ -184,6 +185,8 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: int = CAP, s
     by_block = (drawn.join(ranges, "_source").where("low <= draw and draw < high")
                 .groupBy("_source", "_block")
                 .agg(F.sort_array(F.collect_list(F.struct("epoch", "shard", "cut"))).alias("takes"), F.max("cut").alias("cut")))
+    if sum(counts.values()) <= BROADCAST_ROWS:  # one row for each block, so texts that are carried stay where they are
+        by_block = F.broadcast(by_block)
 
     rows = (measured.select(key, *[c for c in carry if c != key], "_source", "_block", "size") if carry else narrow)
     rows = rows.join(by_block, ["_source", "_block"], "left")
@@ -204,8 +207,9 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: int = CAP, s
 def shuffled(mixed: DataFrame, key: str = "doc_id", seed: int = SEED) -> DataFrame:
     """The mix itself: a row for each draw (epoch, shard, words), shard by shard, in random order within a shard.
 
-    Shards are dealt to partitions by range, so a large shard is split rather than sent to one task.
+    A shard is dealt over `PIECES` partitions, so that it need not fit into one task.
     """
     drawn = mixed.withColumn("draw", F.explode("draws")).drop("draws").select("*", "draw.epoch", "draw.shard", "draw.words").drop("draw")
     return (drawn.withColumn("_order", F.xxhash64(F.lit(seed + 2), F.col("shard"), F.col("epoch"), F.col(key)))
-            .repartitionByRange("shard", "_order").sortWithinPartitions("shard", "_order").drop("_order"))
+            .withColumn("_piece", F.pmod("_order", F.lit(PIECES)))
+            .repartition("shard", "_piece").sortWithinPartitions("shard", "_order").drop("_order", "_piece"))

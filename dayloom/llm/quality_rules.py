@@ -19,15 +19,13 @@ Scale: a narrow map, one pass over the text, no shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from operator import eq
 
 import numpy as np
-import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 
-from .common import pick, small_batches
+from .common import map_texts, pick
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
@@ -142,18 +140,14 @@ def quality_rules(docs: DataFrame, key: str = "doc_id", text: str = "text", carr
     empty result.  Columns other than key, text and `carry` are not looked at;
     a carried column must not have the name of an output.
     """
-    small_batches(docs.sparkSession)
-    longs = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    names = [*longs, "base_failed", "n_bad_lines", "n_kept_words", "kept", "clean_text"]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            out = pd.DataFrame([judge(t) for t in b[text]], columns=names)
-            for c in (key, *carry):
-                out[c] = b[c].values if len(b) else pd.Series(dtype=b[c].dtype)
-            yield out[[key, *carry, *(names if with_text else names[:-1])]]
-
-    rows = pick(docs, key, *carry, text)
-    kinds = {n: "long" for n in names} | {"base_failed": "boolean", "kept": "boolean", "clean_text": "string"}
-    kinds |= {c: rows.schema[c].dataType.simpleString() for c in (key, *carry)}
-    return rows.mapInPandas(run, ", ".join(f"`{c}` {kinds[c]}" for c in [key, *carry, *(names if with_text else names[:-1])]))
+    out = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, "
+           "n_bad_lines long, n_kept_words long, kept boolean")
+    return map_texts(pick(docs, key, *carry, text), (key, *carry), text, out + ", clean_text string" * with_text, lambda: columns(with_text))
+
+
+def columns(with_text: bool):
+    """From texts to the columns of `judge`."""
+    def run(texts: list[str | None]) -> list[list]:
+        found = [list(c) for c in zip(*map(judge, texts))] or [[]] * 10
+        return found if with_text else found[:-1]
+    return run

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate as dc, html_text as ht, mixing as mx, quality_rules as qr, secret_scan as ss, simhash as sh
+from . import decontaminate as dc, html_text as ht, mixing as mx, quality_rules as qr, secret_scan as ss, simhash as sh, suffix_dedup as sd
 from . import token_count as tc, url_filter as uf, weak_label as wl
 from .common import table
 
@@ -56,7 +56,11 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return uf.url_verdicts(table(spark, sf_dir, "pages"), uf.rules_table(spark))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sd.remove_repeats(table(spark, sf_dir, "documents"), with_kept=False)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_quality_rules, op3_quality_classifier, op4_decontaminate, op5_simhash, op6_secret_scan, op7_html_text,
-    op8_mixing, op9_url_filter,
+    op8_mixing, op9_url_filter, op10_suffix_dedup,
 )}

@@ -19,15 +19,13 @@ true for rules in either case.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 from itertools import product
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import pick, small_batches
+from .common import map_texts, pick
 
 
 class Rule(NamedTuple):
@@ -224,24 +222,19 @@ def secret_spans(docs: DataFrame, rules: list[Rule] | None = None, key: str = "d
     no spans and a null redacted text.  Repeated rows and null keys are kept; an
     empty table gives an empty result; other columns are not looked at.
     """
-    small_batches(docs.sparkSession)
     rules = [r._replace(pattern=_FAST_HEX) if r == BASE[2] else r for r in (RULES if rules is None else rules)]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make():
         scanner = Scanner(rules)
-        for b in batches:
-            texts = [t or "" for t in b[text]]
-            spans = scanner.scan(texts)
-            out = b[[key, *carry]].copy()
-            out["spans"] = [[{"kind": k, "start": s, "end": e} for k, s, e in x] for x in spans]
-            if with_text:
-                out["redacted_text"] = [None if raw is None else redact(raw, x) for raw, x in zip(b[text], spans)]
-            yield out
-
-    rows = pick(docs, key, *carry, text)
-    kinds = [f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in (key, *carry)]
-    kinds += ["spans array<struct<kind:string,start:int,end:int>>", *(["redacted_text string"] if with_text else [])]
-    return rows.mapInPandas(run, ", ".join(kinds))
+
+        def run(texts: list[str | None]) -> list[list]:
+            found = scanner.scan([t or "" for t in texts])
+            spans = [[{"kind": k, "start": s, "end": e} for k, s, e in x] for x in found]
+            return [spans, [None if t is None else redact(t, x) for t, x in zip(texts, found)]][: 1 + with_text]
+        return run
+
+    out = "spans array<struct<kind:string,start:int,end:int>>" + ", redacted_text string" * with_text
+    return map_texts(pick(docs, key, *carry, text), (key, *carry), text, out, make)
 
 
 def joined_spans(spans: str, kinds: list[str] | None = None) -> Column:

@@ -20,15 +20,13 @@ links, checkpointed in the shared folder; nothing is collected.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import pick, shared_dir, small_batches, written
+from .common import map_texts, pick, shared_dir, written
 
 SHINGLE = 3
 MAX_BITS = 3
@@ -55,16 +53,15 @@ def fingerprint(text: str | None, width: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, width: int = SHINGLE, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """key, fp (the fingerprint as a signed long), one row per row of `docs`."""
-    small_batches(docs.sparkSession)
+    """key, digest (of the text), fp (the fingerprint as a signed long), one row per row of `docs`."""
+    def run(texts: list[str | None]) -> list[list]:
+        return [np.array([fingerprint(t, width) for t in texts], dtype=np.uint64).view(np.int64)]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            found = np.array([fingerprint(t, width) for t in b[text]], dtype=np.uint64)
-            yield pd.DataFrame({key: b[key], "fp": found.view(np.int64)})
+    return map_texts(pick(docs, key, text).withColumn("digest", _digest(text)), (key, "digest"), text, "fp long", lambda: run)
 
-    rows = pick(docs, key, text)
-    return rows.mapInPandas(run, f"`{key}` {rows.schema[key].dataType.simpleString()}, fp long")
+
+def _digest(text: str) -> Column:
+    return F.unhex(F.md5(F.coalesce(F.col(text), F.lit(""))))
 
 
 def budgets(segments: int, most: int) -> list[int]:
@@ -151,6 +148,15 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
+def classes(found: DataFrame, most: int) -> DataFrame:
+    """fp, root: the component of each distinct fingerprint in `found`, named by one of its fingerprints."""
+    nodes = found.select("fp").distinct()
+    if most <= 0:
+        return nodes.withColumn("root", F.col("fp"))
+    joined = components(links(nodes, most))
+    return nodes.join(joined, nodes["fp"] == joined["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, width: int = SHINGLE, most: int = MAX_BITS, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of `docs`: key, fp, component_id (smallest key reachable over links of up to `most` bits).
 
@@ -161,15 +167,31 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, most: int = MAX_BITS,
     empty result; other columns are not looked at.
     """
     found = written(fingerprints(docs, width, key, text), "simhash")
-    nodes = found.groupBy("fp").agg(F.min(key).alias("least"))
-    if most > 0:
-        joined = components(links(nodes.select("fp"), most))
-        labelled = nodes.join(joined, nodes["fp"] == joined["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-        roots = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
-        classes = labelled.join(roots, "root").select("fp", "component_id")
-    else:
-        classes = nodes.select("fp", F.col("least").alias("component_id"))
-    return found.join(classes, "fp").select(key, "fp", "component_id")
+    least = found.groupBy("fp").agg(F.min(key).alias("least"))
+    labelled = classes(found, most).join(least, "fp")
+    roots = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
+    return found.join(labelled.join(roots, "root").select("fp", "component_id"), "fp").select(key, "fp", "component_id")
+
+
+def one_of_each(docs: DataFrame, width: int = SHINGLE, most: int = MAX_BITS, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of `docs`, all columns, that stay when each component keeps one document.
+
+    The smallest key stays (null keys only where there is no other), of its texts the one with the least digest, of
+    equal rows any one.  Texts travel once, by key and digest, so no group of copies meets in a task.
+    """
+    found = written(fingerprints(docs, width, key, text), "simhash")
+    first = F.min(F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), "digest")).alias("first")
+    by_fp = found.groupBy("fp").agg(first)
+    stay = (classes(found, most).join(by_fp, "fp").groupBy("root").agg(F.min("first").alias("first"))
+            .select(_named(F.col("first.key")).alias("_key"), F.col("first.digest").alias("_digest")))
+    columns = docs.columns
+    return (docs.withColumn("_key", _named(F.col(key))).withColumn("_digest", _digest(text))
+            .join(stay, ["_key", "_digest"]).dropDuplicates(["_key", "_digest"]).select(*columns))
+
+
+def _named(key: Column) -> Column:
+    """A key that is never null."""
+    return F.coalesce(F.concat(F.lit("="), key.cast("string")), F.lit(""))
 
 
 def hex_fingerprint(fp: str) -> Column:

@@ -16,13 +16,11 @@ from __future__ import annotations
 import heapq
 import json
 import unicodedata
-from collections.abc import Iterator
 
-import pandas as pd
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from .common import pick, small_batches
+from .common import map_texts, pick
 
 #: Default of `max_tokens`: documents above it are flagged.
 MAX_TOKENS = 2048
@@ -141,19 +139,15 @@ def token_counts(docs: DataFrame, vocabulary: str, max_tokens: int = MAX_TOKENS,
     empty result; columns other than key and text are not looked at.  The
     vocabulary is read on the driver and sent with the task (under 2 MB).
     """
-    small_batches(docs.sparkSession)
     with open(vocabulary, encoding="utf-8") as f:
         spec = json.load(f)
     spec = {k: spec[k] for k in ("pre_tokenizer", "added_tokens")} | {
         "model": {k: spec["model"].get(k) for k in ("merges", "end_of_word_suffix")}}
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make():
         counter = MergeCounter(spec)
-        for b in batches:
-            yield pd.DataFrame({key: b[key], "n_bytes": b["n_bytes"],
-                                "n_tokens": [counter.text(t) for t in b[text]]})
+        return lambda texts: [[counter.text(t) for t in texts]]
 
     rows = pick(docs, key, text).withColumn("n_bytes", F.coalesce(F.octet_length(text), F.lit(0)).cast("long"))
-    kind = rows.schema[key].dataType.simpleString()
-    return (rows.mapInPandas(count, f"`{key}` {kind}, n_bytes long, n_tokens long")
+    return (map_texts(rows, (key, "n_bytes"), text, "n_tokens long", make)
             .withColumn("over_limit", F.col("n_tokens") > max_tokens))

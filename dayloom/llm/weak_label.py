@@ -17,14 +17,13 @@ from __future__ import annotations
 import math
 import zlib
 from collections import Counter
-from collections.abc import Iterator
 from operator import eq
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from .common import pick, small_batches
+from .common import map_texts, pick
 from .html_text import STOP_WORDS
 from .quality_rules import SEPARATORS, repeated_words
 
@@ -207,26 +206,20 @@ def classify(docs: DataFrame, train_rows: int = TRAIN_ROWS, threshold: float = T
     columns are not looked at.  Equal texts get equal scores.
     """
     spark = docs.sparkSession
-    small_batches(spark)
     rows = pick(docs, key, text)
-    kind = f"`{key}` {rows.schema[key].dataType.simpleString()}"
-
-    def cast_votes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            yield pd.DataFrame({"votes": [votes(t) for t in b[text]]})
-
-    cast = rows.select(text).mapInPandas(cast_votes, "votes string").groupBy("votes").count()
+    cast = (map_texts(rows.select(text), (), text, "votes string", lambda: lambda texts: [[votes(t) for t in texts]])
+            .groupBy("votes").count())
     counts = {r["votes"]: r["count"] for r in cast.collect()}  # at most 3 ** labellers rows
     _, _, posteriors = fit_labellers({v: n for v, n in counts.items() if v.strip("0")})
-    weights = fit(docs, sum(counts.values()), posteriors, key, text, train_rows)
-    shipped = spark.sparkContext.broadcast(weights.astype(np.float32))
+    shipped = spark.sparkContext.broadcast(fit(docs, sum(counts.values()), posteriors, key, text, train_rows).astype(np.float32))
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make():
         scorer = Scorer(shipped.value)
-        for b in batches:
-            cast_ = [votes(t) for t in b[text]]
-            yield pd.DataFrame({key: b[key], "votes": cast_, "posterior": [posteriors.get(v) for v in cast_],
-                                "score": [scorer.score(t) for t in b[text]]})
 
-    return (rows.mapInPandas(score, f"{kind}, votes string, posterior double, score double")
+        def run(texts: list[str | None]) -> list[list]:
+            cast_ = [votes(t) for t in texts]
+            return [cast_, [posteriors.get(v) for v in cast_], [scorer.score(t) for t in texts]]
+        return run
+
+    return (map_texts(rows, (key,), text, "votes string, posterior double, score double", make)
             .withColumn("kept", F.col("score") >= threshold))
