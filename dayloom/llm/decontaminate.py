@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import pick
+from .common import pick, written
 
 WIDTH = 13
 #: A document is contaminated if hit words times this reach its words.
@@ -60,34 +60,36 @@ def windows(benchmark: DataFrame, width: int = WIDTH, item: str = "item_id", tex
 
 
 def hits(docs: DataFrame, grams: DataFrame, text: str = "text") -> DataFrame:
-    """text_key, i (1-based), n, h: verified occurrences of the distinct windows in the distinct texts."""
-    distinct = grams.groupBy("gram").agg(F.first(F.lit(1)).alias("one")).select("gram", F.size("gram").alias("n"), F.xxhash64("gram").alias("h"))
+    """text_key, total (words), i (1-based), n, gram: verified occurrences of the distinct windows in the distinct texts."""
+    distinct = grams.select("gram").distinct().select("gram", F.size("gram").alias("n"), F.xxhash64("gram").alias("h"))
     lengths = [(r["n"], r["m"]) for r in distinct.groupBy("n").agg(F.count(F.lit(1)).alias("m")).orderBy("n").collect()]
     texts = docs.select(digest(text).alias("text_key"), words(text).alias("w"))
     found = None
     for n, count in lengths:  # at most as many as a window has words
         side = distinct.where(F.col("n") == n).select("gram", "h")
         side = F.broadcast(side) if count <= BROADCAST_WINDOWS else side
+        # the hash alone is the join's key (one long); the comparison names both sides in one term, so that it
+        # stays a condition, and has no lambda, so that positions, hashes and look-ups stay one generated stage
         part = (texts.withColumn("i", F.explode(F.expr(f"if(size(w) >= {n}, sequence(1, size(w) - {n - 1}), array())")))
-                .withColumn("at", F.expr(f"slice(w, i, {n})"))
+                .select("text_key", F.size("w").alias("total"), "i", F.expr(f"slice(w, i, {n})").alias("at"))
                 .withColumn("h", F.xxhash64("at"))
-                .join(side, "h").where("at = gram")
-                .select("text_key", "i", F.lit(n).alias("n"), "gram"))
+                .join(side, "h").where(f"slice(concat(at, gram), 1, {n}) = gram")
+                .select("text_key", "total", "i", F.lit(n).alias("n"), "gram"))
         found = part if found is None else found.unionByName(part)
     if found is None:
-        return texts.select("text_key", F.lit(0).alias("i"), F.lit(0).alias("n"), "w").where("false").toDF("text_key", "i", "n", "gram")
-    return found.distinct()
+        return texts.select("text_key", *(F.lit(0).alias(c) for c in ("total", "i", "n")), F.col("w").alias("gram")).where("false")
+    return written(found.distinct(), "hits")
 
 
 def hit_summary(found: DataFrame, grams: DataFrame) -> DataFrame:
-    """text_key, n_hit (covered words), items (sorted ids), spans (array of [first word, end), 0-based, disjoint)."""
+    """text_key, total (words), n_hit (covered words), items (sorted ids), spans (array of [first word, end), 0-based, disjoint)."""
     order = Window.partitionBy("text_key").orderBy("i", "n")
-    ends = (found.groupBy("text_key", "i").agg(F.max("n").alias("n"))
+    ends = (found.groupBy("text_key", "total", "i").agg(F.max("n").alias("n"))
             .withColumn("reach", F.max(F.col("i") + F.col("n")).over(order.rowsBetween(Window.unboundedPreceding, -1)))
             .withColumn("fresh", F.expr("greatest(0, i + n - greatest(i, coalesce(reach, 0)))")))
     runs = (ends.withColumn("run", F.sum(F.expr("if(reach is null or i > reach, 1, 0)")).over(order))
-            .groupBy("text_key", "run").agg(F.min("i").alias("a"), F.max(F.col("i") + F.col("n")).alias("b"), F.sum("fresh").alias("fresh"))
-            .groupBy("text_key").agg(F.sum("fresh").alias("n_hit"),
+            .groupBy("text_key", "total", "run").agg(F.min("i").alias("a"), F.max(F.col("i") + F.col("n")).alias("b"), F.sum("fresh").alias("fresh"))
+            .groupBy("text_key", "total").agg(F.sum("fresh").alias("n_hit"),
                                      F.sort_array(F.collect_list(F.struct((F.col("a") - 1).alias("start"), (F.col("b") - 1).alias("end")))).alias("spans")))
     items = (found.select("text_key", "gram").distinct().join(grams, "gram")
              .groupBy("text_key").agg(F.sort_array(F.collect_set("item")).alias("items")))
@@ -117,9 +119,26 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, sha
             .select(key, *[c for c in carry if c != key], "n_words", "n_hit", "items", "spans", "contaminated"))
 
 
+def clean(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, share: int = SHARE, spans: bool = False, text: str = "text") -> DataFrame:
+    """The rows of `docs`, all columns, without contaminated documents; with `spans`, the others without their hit words.
+
+    Only the digests of texts with hits are joined to the documents, and those are few unless the corpus is the benchmark.
+    """
+    columns = docs.columns
+    grams = windows(benchmark, width)
+    found = hit_summary(hits(pick(docs, text), grams, text), grams).withColumnRenamed("text_key", "_text_key")
+    docs = docs.withColumn("_text_key", digest(text))
+    bad = found.where(f"{share} * n_hit >= total").select("_text_key")
+    docs = docs.join(bad, "_text_key", "left_anti")
+    if spans:
+        docs = docs.join(found.select("_text_key", F.col("spans").alias("_spans")), "_text_key", "left")
+        docs = docs.withColumn(text, without_spans(text, "_spans"))
+    return docs.select(*columns)
+
+
 def without_spans(text: str, spans: str) -> Column:
     """The text without the words of the spans and what parts them from the next word."""
     gap = GAP[:-1]
     pieces = F.regexp_extract_all(F.col(text), F.lit(f"(^{gap}+)?{WORD}{gap}*"), F.lit(0))
     kept = F.filter(pieces, lambda x, i: ~F.exists(F.col(spans), lambda s: (s["start"] <= i) & (i < s["end"])))
-    return F.when(F.size(spans) == 0, F.col(text)).otherwise(F.array_join(kept, ""))
+    return F.when(F.coalesce(F.size(spans), F.lit(0)) <= 0, F.col(text)).otherwise(F.array_join(kept, ""))
