@@ -65,8 +65,7 @@ def cmd_features(args) -> None:
 
 
 def _table(spark, path):
-    # read once, cut lineage: the learner scans the table many times
-    return sinks.read_feature_table(spark, path).checkpoint(eager=True)
+    return sinks.read_feature_table(spark, path)
 
 
 def cmd_train(args) -> None:

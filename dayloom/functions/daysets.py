@@ -83,10 +83,6 @@ def any_day(mask: str, lo: int, hi: int) -> Column:
     return F.expr(f"({restrict(mask, lo, hi)} <> 0)")
 
 
-def has_day(mask: str, day: int) -> Column:
-    return F.expr(_has(mask, day))
-
-
 def is_empty(mask: str) -> Column:
     return F.expr(f"({mask} = 0)")
 
@@ -101,11 +97,6 @@ def first_day(mask: str) -> Column:
     return F.expr(_first(mask))
 
 
-def day_list(mask: str) -> Column:
-    """Ascending array of the set feature days."""
-    return F.expr(_day_list(mask))
-
-
 def gaps(mask: str) -> Column:
     """Differences between consecutive set days (empty for < 2 days)."""
     return F.expr(_gaps(mask))

@@ -37,13 +37,22 @@ def daily_counts() -> list[Column]:
         F.count_if(F.col(c) == v).alias(category_name(c, v)) for c, v in CATEGORIES]
 
 
-def activity_day_grain(activity: DataFrame, windows: Sequence[FeatureWindow]) -> DataFrame:
+def activity_day_grain(activity: DataFrame, windows: Sequence[FeatureWindow],
+                       with_label_days: bool = False) -> DataFrame:
     """``(window_id, user_id, wday, n, page0..4, action_type0..5)``.
 
     Counted per (user, log day) -- each raw row once, map-side combined --
     then fanned out to the windows containing the day."""
-    per_day = activity.where(in_span(windows)).groupBy("user_id", "day").agg(*daily_counts())
-    return assign_windows(per_day, windows)
+    per_day = (activity.where(in_span(windows, with_label_days))
+               .groupBy("user_id", "day").agg(*daily_counts()))
+    return assign_windows(per_day, windows, with_label_days)
+
+
+def _median(counts: str, field: str) -> str:
+    """Exact median of a field's positive counts in a list of at most 16 days (SQL text)."""
+    ordered = f"array_sort(filter(transform({counts}, md_x -> md_x.{field}), md_y -> md_y > 0))"
+    return (f"transform(array({ordered}), md_s -> CASE WHEN size(md_s) > 0 THEN "
+            f"(md_s[size(md_s) div 2] + md_s[(size(md_s) - 1) div 2]) / 2D END)[0]")
 
 
 def _day_stats(n: str, prefix: str, with_min: bool) -> list[str]:
@@ -54,7 +63,6 @@ def _day_stats(n: str, prefix: str, with_min: bool) -> list[str]:
         f"bit_or(CASE WHEN {n} > 0 THEN shiftleft(1L, wday) END) AS {prefix}_days",
         f"max_by({n}, CASE WHEN {n} > 0 THEN wday END) AS {prefix}_latest_n",
         f"max({on}) AS {prefix}_max",
-        f"median({on}) AS {prefix}_median",
         f"var_samp({on}) AS {prefix}_var",   # std = sqrt(var), as stddev_samp
     ]
     if with_min:
@@ -65,8 +73,17 @@ def _day_stats(n: str, prefix: str, with_min: bool) -> list[str]:
 def activity_block(activity: DataFrame, windows: Sequence[FeatureWindow],
                    mode: str = AS_COMPUTED) -> DataFrame:
     """Per (window, user): total and per-category day statistics, plus the
-    horizon sums; one aggregate over the day grain."""
-    grain = activity_day_grain(activity, windows)
+    horizon sums; one aggregate over the day grain.  The medians come from one
+    list of the (at most 16) days' counts, not from a buffer for each of them.
+    With the ``intended`` mode ``label_activity`` is 1 with rows on a label day
+    (those days count for nothing else)."""
+    names = ["n"] + [category_name(c, v) for c, v in CATEGORIES]
+    grain = activity_day_grain(activity, windows, mode == INTENDED)
+    labels = []
+    if mode == INTENDED:
+        labels = [f"max(CAST(wday > {FEATURE_DAYS} AS INT)) AS label_activity"]
+        grain = grain.selectExpr("window_id", "user_id", "wday",
+                                 *[f"CASE WHEN wday <= {FEATURE_DAYS} THEN {c} END AS {c}" for c in names])
     w = step_weight_sql("wday")
     aggs = _day_stats("n", "act", with_min=True)
     aggs.append(f"sum({w} * n) AS act_weighted_rows")
@@ -77,7 +94,12 @@ def activity_block(activity: DataFrame, windows: Sequence[FeatureWindow],
     for c, v in CATEGORIES:
         name = category_name(c, v)
         aggs += _day_stats(name, f"cat_{name}", with_min=(mode == INTENDED))
-    return grain.groupBy("window_id", "user_id").agg(*[F.expr(a) for a in aggs])
+    fields = ", ".join(f"'{c}', {c}" for c in names)
+    aggs.append(f"collect_list(CASE WHEN n IS NOT NULL THEN named_struct({fields}) END) AS day_counts")
+    block = grain.groupBy("window_id", "user_id").agg(*[F.expr(a) for a in aggs + labels])
+    medians = [_median("day_counts", c) + f" AS {p}_median"
+               for c, p in zip(names, ["act"] + [f"cat_{c}" for c in names[1:]])]
+    return block.selectExpr(*[c for c in block.columns if c != "day_counts"], *medians)
 
 
 def raw_row_gaps_sql(days: str, rows: str, max_per_day: str) -> tuple[str, str, str]:

@@ -33,23 +33,27 @@ def day_grain(log: DataFrame, windows: Sequence[FeatureWindow],
     return assign_windows(per_day, windows, with_label_days=with_label_days)
 
 
-def creation_block(create: DataFrame, windows: Sequence[FeatureWindow]) -> DataFrame:
-    """Per (window, user): day bitmap and count statistics of the day grain."""
+def creation_block(create: DataFrame, windows: Sequence[FeatureWindow], with_label: bool = False) -> DataFrame:
+    """Per (window, user): day bitmap and count statistics of the day grain; ``with_label`` adds
+    ``label_create``, 1 with rows on a label day (those days count for nothing else)."""
     w = step_weight_sql("wday")
     aggs = [
-        "bit_or(shiftleft(1L, wday)) AS create_days",
+        "bit_or(CASE WHEN n IS NOT NULL THEN shiftleft(1L, wday) END) AS create_days",
         "sum(n) AS create_rows",
         f"sum({w} * n) AS create_weighted_rows",
         "max(n) AS create_day_max",
         "min(n) AS create_day_min",
-        "max_by(n, wday) AS create_latest_n",
+        "max_by(n, CASE WHEN n IS NOT NULL THEN wday END) AS create_latest_n",
     ]
     for i in HORIZONS:
         h = f"wday >= {CURRENT_DAY - i}"
         aggs.append(f"sum(CASE WHEN {h} THEN n ELSE 0 END) AS create_rows_{i}")
         aggs.append(f"sum(CASE WHEN {h} THEN {w} * n ELSE 0D END) AS create_weighted_rows_{i}")
-    return (day_grain(create, windows).groupBy("window_id", "user_id")
-            .agg(*[F.expr(a) for a in aggs]))
+    grain = day_grain(create, windows, with_label)
+    if with_label:
+        aggs.append(f"max(CAST(wday > {FEATURE_DAYS} AS INT)) AS label_create")
+        grain = grain.selectExpr("window_id", "user_id", "wday", f"CASE WHEN wday <= {FEATURE_DAYS} THEN n END AS n")
+    return grain.groupBy("window_id", "user_id").agg(*[F.expr(a) for a in aggs])
 
 
 def creation_features(mode: str = AS_COMPUTED) -> list[tuple[str, str]]:

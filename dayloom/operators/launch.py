@@ -16,7 +16,7 @@ from ..functions import daysets as ds
 from ..functions.weights import (AGE_WEIGHT, CURRENT_DAY, FEATURE_DAYS, HORIZONS, LABEL_DAYS,
                                  age_cap_sql, missing_distance_sql, rate_sql, weight_cap_sql,
                                  zero_sql)
-from .windows import FeatureWindow, bit_base, fan_out_mask, in_span
+from .windows import FeatureWindow, fan_out_masks, in_span, window_masks
 
 AS_COMPUTED = "as_computed"
 INTENDED = "intended"
@@ -26,15 +26,12 @@ def launch_day_sets(launch: DataFrame, windows: Sequence[FeatureWindow],
                     with_label_days: bool = True) -> DataFrame:
     """``(window_id, user_id, launch_days)``; bit d = launched on window day d.
 
-    One aggregate keyed by the user alone builds a bitmap over absolute days;
-    every window's bitmap is a shift of it, so raw rows are neither
-    duplicated per window nor shuffled more than once.
+    One aggregate keyed by the user alone builds every window's bitmap, so raw
+    rows are neither duplicated per window nor shuffled more than once.
     """
-    base = bit_base(windows)
     per_user = (launch.where(in_span(windows, with_label_days))
-                .groupBy("user_id")
-                .agg(F.bit_or(ds.day_bit(F.col("day") - base)).alias("launch_days")))
-    return fan_out_mask(per_user, windows, "launch_days", with_label_days)
+                .groupBy("user_id").agg(*window_masks(windows, with_label_days)))
+    return fan_out_masks(per_user, windows, "launch_days", ["user_id"])
 
 
 def _feature_days() -> str:

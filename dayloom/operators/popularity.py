@@ -19,8 +19,8 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.weights import TOP_AUTHORS
-from .affinity import item_day_sets, max_item_affinity
+from ..functions.weights import HORIZONS, TOP_AUTHORS
+from .affinity import AUTHOR, VIDEO, item_day_sets, item_sets, item_weights, max_item_affinity
 from .windows import FeatureWindow, in_span
 
 
@@ -67,6 +67,31 @@ def author_block(activity: DataFrame, windows: Sequence[FeatureWindow],
                              "user_view_same_author_{i}_weight", extra_aggs=[share])
 
 
+def grain_views(grain: DataFrame, windows: Sequence[FeatureWindow]) -> DataFrame:
+    """``author_views`` from the item grain.  Videos fall into the null group, with no views, and drop out;
+    neither they nor null authors are filtered by a key, as that would move below the grain's aggregate and split it."""
+    views = [F.expr(f"sum(CASE WHEN kind = '{AUTHOR}' AND item IS NOT NULL AND m{w.window_id} IS NOT NULL "
+                    f"THEN c{w.window_id} ELSE 0 END) AS v{w.window_id}") for w in windows]
+    rows = ", ".join(f"named_struct('window_id', {w.window_id}, 'views', v{w.window_id})" for w in windows)
+    author = f"CASE WHEN kind = '{AUTHOR}' THEN item END"
+    return (grain.groupBy(F.expr(author).alias("author")).agg(F.max(F.expr(author)).alias("author_id"), *views)
+            .selectExpr("author_id", f"inline(array({rows}))").where("views > 0")
+            .select("window_id", "author_id", "views"))
+
+
+def item_block(grain: DataFrame, windows: Sequence[FeatureWindow], views: DataFrame, k: int = TOP_AUTHORS) -> DataFrame:
+    """Video and author affinity and the top-k attraction share, one aggregate per (window, user)."""
+    top = top_author_flags(top_authors(views, k)).withColumnRenamed("author_id", "item").withColumn("kind", F.lit(AUTHOR))
+    weights = item_sets(grain, windows).join(top, ["window_id", "kind", "item"], "left").selectExpr("*", *item_weights())
+    aggs = []
+    for kind, full, horizon in ((VIDEO, "weight_user_view_video_weight", "weight_user_view_video_{i}_weight"),
+                                (AUTHOR, "user_view_same_author_weight", "user_view_same_author_{i}_weight")):
+        aggs.append(f"max(CASE WHEN kind = '{kind}' THEN w_all END) AS {full}")
+        aggs += [f"max(CASE WHEN kind = '{kind}' AND w_{i} > 0 THEN w_{i} END) AS {horizon.format(i=i)}" for i in HORIZONS]
+    aggs.append(f"count(is_top) / {float(k)!r}D AS author_atttractive_force")
+    return weights.groupBy("window_id", "user_id").agg(*[F.expr(a) for a in aggs])
+
+
 def author_flags(views: DataFrame) -> DataFrame:
     """``(window_id, user_id, user_is_author)``: the user was viewed as an author
     in the window.  Keyed like the feature blocks; joined, never broadcast

@@ -14,21 +14,19 @@ from __future__ import annotations
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from ..functions import daysets as ds
 from ..functions.weights import FEATURE_DAYS
 from .launch import AS_COMPUTED, INTENDED
-from .windows import FeatureWindow, bit_base, fan_out_mask, in_span
+from .windows import FeatureWindow, fan_out_masks, in_span, window_masks
 
 
 def day_sets(log: DataFrame, windows: Sequence[FeatureWindow],
              with_label_days: bool = False) -> DataFrame:
     """``(window_id, user_id, days)`` for any log with ``user_id, day``."""
-    base = bit_base(windows)
     per_user = (log.where(in_span(windows, with_label_days)).groupBy("user_id")
-                .agg(F.bit_or(ds.day_bit(F.col("day") - base)).alias("days")))
-    return fan_out_mask(per_user, windows, "days", with_label_days)
+                .agg(*window_masks(windows, with_label_days)))
+    return fan_out_masks(per_user, windows, "days", ["user_id"])
 
 
 def cycle_flag(days: str, mode: str = AS_COMPUTED) -> Column:

@@ -9,32 +9,26 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.weights import cumulative_weight
 from .windows import FeatureWindow, spine_windows
 
-# A one-hot encoding becomes one column per category; beyond this the wide
-# table stops making sense and a hashed / indexed encoding should be used.
-MAX_ONE_HOT = 1024
-
-
-def register_type_categories(register: DataFrame) -> list[int]:
+def register_type_categories(register: DataFrame) -> list:
     """Categories of ``register_type`` over the whole registration log,
     ordered as strings ("10" sorts before "2"), as the one-hot columns are
-    named by that ordinal.  One small aggregate; the domain is a code list.
+    named by that ordinal; null is none.  Each category is a column of the
+    result, so the list is as long as the table is wide; a caller with a code
+    table passes that list instead.
     """
-    values = [r[0] for r in register.select("register_type").distinct()
-              .limit(MAX_ONE_HOT + 1).collect()]
-    if len(values) > MAX_ONE_HOT:
-        raise ValueError("register_type has too many categories for a one-hot encoding")
-    return sorted(values, key=str)
+    rows = register.select("register_type").where(F.col("register_type").isNotNull()).distinct().collect()
+    return sorted((r[0] for r in rows), key=str)
 
 
-def one_hot(value: str, categories: Sequence, prefix: str) -> list[str]:
-    """One 0/1 column per category, named by the category's ordinal (SQL)."""
-    return [f"CAST(CASE WHEN {value} = {v!r} THEN 1 ELSE 0 END AS INT) AS {prefix}{i}"
+def one_hot(value: str, categories: Sequence, prefix: str) -> list[Column]:
+    """One 0/1 column per category, named by the category's ordinal; a null value is 0 in all."""
+    return [F.col(value).eqNullSafe(F.lit(v)).cast("int").alias(f"{prefix}{i}")
             for i, v in enumerate(categories)]
 
 
@@ -43,7 +37,7 @@ def user_spine(register: DataFrame, windows: Sequence[FeatureWindow],
     tagged = spine_windows(register, windows)
     return tagged.select(
         "window_id", "user_id", "register_day_distance", "device_type",
-        *[F.expr(c) for c in one_hot("register_type", categories, "register_type")],
+        *one_hot("register_type", categories, "register_type"),
         cumulative_weight(F.col("register_day_distance")).alias("register_day_count"),
     )
 

@@ -12,8 +12,8 @@ raw rows are never duplicated:
 * ``assign_windows``: tag a row carrying a log ``day`` with every window the
   day falls in (``explode`` over a literal array of at most ``len(windows)``
   candidates) -- used on (user, day) count grains;
-* ``fan_out_mask``: split a bitmap over absolute days into per-window
-  bitmaps of window days (one right shift per window).
+* ``window_masks`` / ``fan_out_masks``: one bitmap of window days per window
+  as aggregate columns, then one row per window.
 
 The union of the windows' day ranges (``in_span``) is a plain range
 predicate that reaches the parquet scan (or prunes ``day=`` partitions).
@@ -88,43 +88,26 @@ def in_span(windows: Sequence[FeatureWindow], with_label_days: bool = False,
     return F.col(day_col).between(lo, hi)
 
 
-MAX_MASK_DAYS = 62   # days one signed 64-bit bitmap can hold
+def window_masks(windows: Sequence[FeatureWindow], with_label_days: bool = False) -> list[Column]:
+    """One aggregate per window over a log's ``day``: the bitmap ``m<id>`` of the
+    window days present (bits 1..16, plus 17..23 with label days), NULL for none.
 
-
-def bit_base(windows: Sequence[FeatureWindow]) -> int:
-    """Offset of absolute-day bitmaps: log day ``d`` is bit ``d - base``.
-
-    Any window's bitmap in window days is then a right shift of it
-    (``slide - base``), so one per-user aggregate serves every window.
+    23 bits always fit, however many windows there are and however far apart
+    they lie; ``bit_or`` is combined map-side, so the shuffle carries one long
+    per key and window, never the raw rows.
     """
-    base = min(w.feat_begin for w in windows) - 1
-    if max(w.label_end for w in windows) - base > MAX_MASK_DAYS:
-        raise ValueError("windows span more days than one 64-bit day bitmap holds")
-    return base
+    return [F.expr(f"bit_or(CASE WHEN day BETWEEN {w.feat_begin} AND {_last_day(w, with_label_days)} "
+                   f"THEN shiftleft(1L, CAST(day - {w.slide} AS INT)) END) AS m{w.window_id}")
+            for w in windows]
 
 
-def fan_out_mask(df: DataFrame, windows: Sequence[FeatureWindow], mask_col: str,
-                 with_label_days: bool = False, out_col: str | None = None) -> DataFrame:
-    """Turn an absolute-day bitmap into one row per window the bitmap touches.
-
-    ``df`` holds ``mask_col`` built with ``day_bit(day - bit_base(windows))``;
-    the output replaces it by ``window_id`` and ``out_col`` (window-day bitmap,
-    bits 1..16, plus 17..23 with label days).  Narrow: no shuffle.
-    """
-    out_col = out_col or mask_col
-    base = bit_base(windows)
-    mask = F.col(mask_col)
-    candidates = F.array(*[
-        F.struct(F.lit(w.window_id).alias("window_id"),
-                 F.shiftright(mask, w.slide - base)
-                 .bitwiseAND(F.lit(sum(1 << d for d in range(
-                     1, _last_day(w, with_label_days) - w.slide + 1))))
-                 .alias(out_col))
-        for w in windows
-    ])
-    keep = [c for c in df.columns if c != mask_col]
-    return (df.select(*keep, F.inline(candidates))
-            .where(F.col(out_col) != 0))
+def fan_out_masks(df: DataFrame, windows: Sequence[FeatureWindow], out_col: str,
+                  keep: Sequence[str]) -> DataFrame:
+    """Rows with ``window_masks`` columns as one row per window that has days:
+    ``window_id``, ``out_col`` and the ``keep`` columns.  Narrow: no shuffle."""
+    rows = ", ".join(f"named_struct('window_id', {w.window_id}, '{out_col}', m{w.window_id})" for w in windows)
+    return (df.selectExpr(*keep, f"inline(array({rows}))")
+            .where(F.col(out_col).isNotNull()))
 
 
 def assign_windows(df: DataFrame, windows: Sequence[FeatureWindow],
@@ -169,10 +152,6 @@ def labelled_ids(windows: Sequence[FeatureWindow]) -> list[int]:
     return [w.window_id for w in windows if w.labelled]
 
 
-def is_labelled(window_id: Column, windows: Sequence[FeatureWindow]) -> Column:
-    return window_id.isin(labelled_ids(windows))
-
-
 def assign_label_days(df: DataFrame, windows: Sequence[FeatureWindow],
                       day_col: str = "day") -> DataFrame:
     """Rows that fall on a label day of a labelled window: ``user_id, window_id``."""

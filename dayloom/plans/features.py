@@ -1,19 +1,20 @@
 """The wide per-user feature table, all windows in one job.
 
 Plan shape.  No raw log row is duplicated per window: every log is first
-aggregated without the window key -- a bitmap over absolute days per user
-(or per user and item), or counts per (user, log day) -- and the fan-out to
-the (at most 3) windows happens on those aggregated rows, by a bit shift or
-an ``explode`` over a literal array.
+aggregated without the window key -- one bitmap per window for each user
+(or user and item), or counts per (user, log day) -- and the fan-out to
+the windows happens on those aggregated rows, by ``inline`` or ``explode``
+over a literal array.
 
 * spine           register -> explode windows                     (1 exchange)
-* launch          bit_or per user -> shift per window             (1 exchange)
+* launch          bitmaps per user -> rows per window             (1 exchange)
 * creation        counts per (user, day) -> per (w, u)            (2 exchanges)
 * activity        counts per (user, day) -> per (w, u)            (2 exchanges)
-* video affinity  bit_or per (user, video) -> shift -> max (w, u) (2 exchanges)
-* author block    bit_or per (user, author) -> shift
-                  + broadcast top-k authors -> max / share (w, u) (2 exchanges)
-* author views    conditional counts per author -> rows per window (1 exchange)
+* items           bitmaps and counts per (user, video | author), one read and
+                  one exchange for the three uses below:
+    affinity      + broadcast top-k authors -> max / share (w, u) (1 exchange)
+    views         sums per author -> rows per window              (1 exchange)
+    top k         group limit per window over the views           (1 exchange)
 
 Every block ends keyed by ``(window_id, user_id)`` and is left-joined onto the
 spine (sort-merge joins; AQE turns the small ones into broadcast joins from
@@ -31,11 +32,10 @@ from pyspark.sql import DataFrame
 
 from ..functions.weights import HORIZONS, rate_sql, weight_cap_sql, zero_sql
 from ..operators.activity import CATEGORIES, activity_block, activity_features, category_name
-from ..operators.affinity import video_affinity
+from ..operators.affinity import item_grain
 from ..operators.creation import creation_block, creation_features
-from ..operators.label import any_log_labels
 from ..operators.launch import AS_COMPUTED, INTENDED, launch_block, launch_features
-from ..operators.popularity import author_block, author_flags, author_views
+from ..operators.popularity import author_flags, grain_views, item_block
 from ..operators.spine import register_type_categories, user_spine
 from ..operators.windows import STANDARD_WINDOWS, FeatureWindow, labelled_ids
 from ..sources.logs import Logs
@@ -96,39 +96,62 @@ def feature_columns(mode: str = AS_COMPUTED) -> list[tuple[str, str]]:
     return launch_features(mode) + creation_features(mode) + _activity_columns(mode)
 
 
+_LAUNCH, _CREATION, _ACTIVITY, _ITEMS, _FLAGS = "launch", "creation", "activity", "items", "flags"
+
+
+def _block_of(feature: str) -> str:
+    """The block that a feature column comes from (either mode)."""
+    if feature == "user_is_author":
+        return _FLAGS
+    if feature.startswith(("weight_user_view_video", "user_view_same_author", "author_atttractive")):
+        return _ITEMS
+    for block, features in ((_LAUNCH, launch_features), (_CREATION, creation_features)):
+        if any(feature == name for mode in (AS_COMPUTED, INTENDED) for name, _ in features(mode)):
+            return block
+    return _ACTIVITY
+
+
+def _blocks(logs: Logs, windows: Sequence[FeatureWindow], mode: str, wanted: set[str], label: bool) -> list[DataFrame]:
+    """The wanted blocks, keyed by window and user; the label is a column of the launch block (and,
+    in intended mode, of the other logs' blocks)."""
+    grain = item_grain(logs.activity, windows)
+    views = grain_views(grain, windows)
+    logs_label = label and mode == INTENDED
+    makers = {
+        _LAUNCH: (label, lambda: launch_block(logs.launch, windows, mode)),
+        _CREATION: (logs_label, lambda: creation_block(logs.create, windows, logs_label)),
+        _ACTIVITY: (logs_label, lambda: activity_block(logs.activity, windows, mode)),
+        _ITEMS: (False, lambda: item_block(grain, windows, views)),
+        _FLAGS: (False, lambda: author_flags(views)),
+    }
+    return [make() for name, (needed, make) in makers.items() if needed or name in wanted]
+
+
 def feature_table(logs: Logs, windows: Sequence[FeatureWindow] = STANDARD_WINDOWS,
                   mode: str = AS_COMPUTED, categories: Sequence[int] | None = None,
-                  ) -> DataFrame:
+                  columns: Sequence[str] | None = None) -> DataFrame:
     """One row per (window, registered user); ``label`` is NULL for windows
-    without label days.  Feature columns are doubles, spine columns ints."""
+    without label days.  Feature columns are doubles, spine columns ints.
+    ``columns`` limits the features (and leaves out the label); only the blocks
+    that they come from are built."""
     if mode not in (AS_COMPUTED, INTENDED):
         raise ValueError(f"unknown mode {mode!r}")
     if categories is None:
         categories = register_type_categories(logs.register)
     spine = user_spine(logs.register, windows, categories)
-    views = author_views(logs.activity, windows)
-    blocks = [
-        launch_block(logs.launch, windows, mode),
-        creation_block(logs.create, windows),
-        activity_block(logs.activity, windows, mode),
-        video_affinity(logs.activity, windows),
-        author_block(logs.activity, windows, views=views),
-        author_flags(views),
-    ]
-    if mode == INTENDED:
-        blocks.append(any_log_labels(logs, windows).withColumnRenamed("label", "label_any"))
+    wanted = [(name, expr) for name, expr in feature_columns(mode) if columns is None or name in set(columns)]
     joined = spine
-    for block in blocks:
+    for block in _blocks(logs, windows, mode, {_block_of(name) for name, _ in wanted}, columns is None):
         joined = joined.join(block, KEYS, "left")
 
     # the ~220 output expressions go in as SQL text: one parse on the JVM
     # instead of thousands of Python->JVM calls to build Column objects
     spine_cols = ["window_id", "user_id", "register_day_distance", "device_type"] + \
         [f"register_type{i}" for i in range(len(categories))]
-    feats = [f"CAST({expr} AS DOUBLE) AS {name}" for name, expr in feature_columns(mode)]
+    feats = [f"CAST({expr} AS DOUBLE) AS {name}" for name, expr in wanted]
     ids = labelled_ids(windows)
-    if ids:
-        raw = "label_any" if mode == INTENDED else "label_launch"
+    if ids and columns is None:
+        raw = "greatest(label_launch, label_create, label_activity)" if mode == INTENDED else "label_launch"
         feats.append(f"CAST(CASE WHEN window_id IN ({', '.join(map(str, ids))}) "
                      f"THEN coalesce({raw}, 0) END AS INT) AS label")
     return joined.selectExpr(*spine_cols, *feats)

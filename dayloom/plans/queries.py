@@ -32,16 +32,17 @@ W = STANDARD_WINDOWS
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Doubles rounded half-up to ``digits`` decimals with plain double
-    arithmetic, ``floor(x * 10^d + 0.5) / 10^d``: codegen'd, and the SQL
-    oracle applies the same IEEE operations, so both engines agree bit for
-    bit on equal inputs (a decimal round trip costs far more per value)."""
+    """Doubles rounded half-even to ``digits`` decimals with plain double
+    arithmetic, ``rint(x * 10^d) / 10^d``: codegen'd, doubles throughout (no
+    long in between, so large values and NaN survive), and the SQL oracle
+    applies the same IEEE operations, so both engines agree bit for bit on
+    equal inputs (a decimal round trip costs far more per value)."""
     scale = f"{float(10 ** digits)!r}D"
     cols = []
     for f in df.schema.fields:
         name = f"`{f.name}`"
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            cols.append(f"floor({name} * {scale} + 0.5D) / {scale} AS {name}")
+            cols.append(f"rint({name} * {scale}) / {scale} AS {name}")
         else:
             cols.append(name)
     return df.selectExpr(*cols)
@@ -258,18 +259,13 @@ def feature_matrix_intended(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def normalized_horizons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = feature_table(_logs(spark, sf_dir), W)
+    table = feature_table(_logs(spark, sf_dir), W, columns=HORIZON_FEATURES)
     return rounded(table.select(*KEYS, *HORIZON_FEATURES))
 
 
 def training_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Windows 1 and 2 computed as separate jobs and stacked (must equal the
-    same windows of the all-windows job)."""
-    logs = _logs(spark, sf_dir)
-    cats = register_type_categories(logs.register)
-    w1 = feature_table(logs, [window(W, 1)], categories=cats)
-    w2 = feature_table(logs, [window(W, 2)], categories=cats)
-    return rounded(w1.unionByName(w2))
+    """The labelled windows, which the final model is trained on, in one job."""
+    return rounded(feature_table(_logs(spark, sf_dir), [window(W, 1), window(W, 2)]))
 
 
 def feature_profile(spark: SparkSession, sf_dir: str) -> DataFrame:

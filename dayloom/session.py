@@ -52,24 +52,27 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def apply_engine_conf(spark: SparkSession) -> None:
+    """The settings above (all of them runtime settings); what the platform has set stays."""
+    platform = dict(spark.sparkContext.getConf().getAll())
     for k, v in ENGINE_CONF.items():
-        try:
+        if k not in platform:
             spark.conf.set(k, v)
-        except Exception:  # static conf on a shared session: keep the platform's
-            pass
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """The checkpoint folder that driver and executors share.
 
-    The cluster's setting wins.  Only when it is unset (tests, local runs)
-    a scratch folder is created and registered.
+    ``spark.checkpoint.dir`` wins, then a folder given to ``setCheckpointDir``.
+    Without either a local session gets a scratch folder; on a cluster a folder
+    of the driver's machine would lose what executors write, so that is an error.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not current:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="dayloom-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(current)
     return current

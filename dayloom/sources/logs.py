@@ -70,19 +70,28 @@ def write_parquet_logs(logs: Logs, root: str, mode: str = "overwrite") -> None:
 #                register_day = 1 + (c_custkey * 7) % 30,
 #                register_type = c_nationkey % 12,
 #                device_type = (c_custkey * 13) % 97
-#   launch    <- events with event_type 'view'     (day = day of month of ts)
+#   launch    <- events with event_type 'view'
 #   create    <- events with event_type 'purchase'
 #   activity  <- all events; page from event_type
 #                (click 0, error 1, purchase 2, signup 3, anything else 4),
 #                video_id = props.k, author_id = video_id % 50,
 #                action_type = video_id % 6
+#   all logs  <- the 30 days from FIRST_DAY on; day = days since then, from 1
 
 PAGE_OF_EVENT = {"click": 0, "error": 1, "purchase": 2, "signup": 3}
 OTHER_PAGE = 4
+FIRST_DAY, N_DAYS = "2024-01-01", 30
 
 
 def _day_of(ts: Column) -> Column:
-    return F.dayofmonth(ts).cast("int")
+    return (F.datediff(ts, F.lit(FIRST_DAY).cast("date")) + 1).cast("int")
+
+
+def month(events: DataFrame) -> DataFrame:
+    """Events of the logs' days; a plain range on ``ts``, which reaches the scan."""
+    kind = events.schema["ts"].dataType
+    end = F.date_add(F.lit(FIRST_DAY).cast("date"), N_DAYS)
+    return events.where((F.col("ts") >= F.lit(FIRST_DAY).cast(kind)) & (F.col("ts") < end.cast(kind)))
 
 
 def _page_of(event_type: Column) -> Column:
@@ -132,9 +141,9 @@ def fixture_logs(spark: SparkSession, sf_dir: str) -> Logs:
     events = spark.read.parquet(os.path.join(sf_dir, "events.parquet"))
     return Logs(
         register=fixture_register(customer),
-        launch=fixture_launch(events),
-        create=fixture_create(events),
-        activity=fixture_activity(events),
+        launch=fixture_launch(month(events)),
+        create=fixture_create(month(events)),
+        activity=fixture_activity(month(events)),
     )
 
 

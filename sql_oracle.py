@@ -35,18 +35,21 @@ VIEWS_SQL = """user_register AS (
          CAST(c_nationkey % 12 AS INT) AS register_type,
          CAST((c_custkey * 13) % 97 AS INT) AS device_type
   FROM customer),
+month AS (
+  SELECT *, CAST(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) + 1 AS INT) AS day
+  FROM events WHERE ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2024-01-31'),
 app_launch AS (
-  SELECT user_id, CAST(dayofmonth(ts) AS INT) AS day FROM events WHERE event_type = 'view'),
+  SELECT user_id, day FROM month WHERE event_type = 'view'),
 video_create AS (
-  SELECT user_id, CAST(dayofmonth(ts) AS INT) AS day FROM events WHERE event_type = 'purchase'),
+  SELECT user_id, day FROM month WHERE event_type = 'purchase'),
 user_activity AS (
-  SELECT user_id, CAST(dayofmonth(ts) AS INT) AS day,
+  SELECT user_id, day,
          CAST(CASE event_type WHEN 'click' THEN 0 WHEN 'error' THEN 1 WHEN 'purchase' THEN 2
                               WHEN 'signup' THEN 3 ELSE 4 END AS INT) AS page,
          CAST(json_extract_string(props, '$.k') AS BIGINT) AS video_id,
          CAST(json_extract_string(props, '$.k') AS BIGINT) % 50 AS author_id,
          CAST(CAST(json_extract_string(props, '$.k') AS BIGINT) % 6 AS INT) AS action_type
-  FROM events)"""
+  FROM month)"""
 
 
 def _h(alias: str, expr: str, agg: str = "SUM") -> str:
@@ -205,9 +208,9 @@ isa AS (SELECT DISTINCT window_id, author_id AS user_id FROM ac)"""
 
 
 def r6(expr: str) -> str:
-    # half-up rounding to 6 decimals with the same double operations the
-    # Spark side uses: floor(x * 1e6 + 0.5) / 1e6
-    return (f"(FLOOR(CAST({expr} AS DOUBLE) * CAST(1000000 AS DOUBLE) + CAST(0.5 AS DOUBLE))"
+    # half-even rounding to 6 decimals with the same double operations the
+    # Spark side uses: rint(x * 1e6) / 1e6
+    return (f"(ROUND_EVEN(CAST({expr} AS DOUBLE) * CAST(1000000 AS DOUBLE), 0)"
             f" / CAST(1000000 AS DOUBLE))")
 
 
