@@ -44,6 +44,9 @@ _ENDS = (b".", b"!", b"?", b":", "。".encode(), "！".encode(), "？".encode(),
 #: Bytes as shape classes: upper and lower case, digits, above ASCII as lower case; others stand for themselves.
 _SHAPE = bytes(65 if 65 <= b <= 90 else 97 if 97 <= b <= 122 or b >= 128 else 48 if 48 <= b <= 57 else b for b in range(256))
 
+_UPPERS, _LOWERS = bytes(range(65, 91)), bytes(range(97, 123))
+_MARKS_TO_BLANKS = bytes.maketrans(b".,;:!?", b"      ")
+
 LABELLERS = ("symbols", "shouting", "stutter", "stop words", "menu", "sentences", "windows", "variety")
 
 
@@ -60,14 +63,12 @@ def votes(text: str | None) -> str:
         return "-" if bad else "+" if good else "0"
 
     litter = chars - len(raw.translate(None, _SYMBOLS)) + len(raw) - chars
-    upper = sum(map(raw.count, (bytes([c]) for c in range(65, 91))))
-    lower = sum(map(raw.count, (bytes([c]) for c in range(97, 123))))
+    upper, lower = len(raw) - len(raw.translate(None, _UPPERS)), len(raw) - len(raw.translate(None, _LOWERS))
     found = [vote(litter * 10 > chars, litter * 50 <= chars), vote(2 * upper > upper + lower, 5 * upper <= upper + lower)]
     if n < 10:
         return "".join(found) + "0" * (len(LABELLERS) - 2)
     again = sum(map(eq, words, words[1:]))
-    low = [w.strip(b".,;:!?").lower() for w in words]
-    stop = sum(map(_STOP.__contains__, low))
+    stop = sum(map(_STOP.__contains__, raw.lower().translate(_MARKS_TO_BLANKS).split()))
     parted = sum(map(words.count, SEPARATORS))
     ends = sum(w.endswith(_ENDS) for w in words)
     window = repeated_words(words)
