@@ -72,7 +72,7 @@ def cmd_train(args) -> None:
     spark = _session(args)
     table = _table(spark, args.features)
     cfg = replace(m.TUNING, max_iter=args.rounds) if args.rounds else m.TUNING
-    model = m.fit(table, [1], cfg, valid_window=2)
+    model = m.fit_with_patience(table, [1], 2, cfg)
     aucs = {r.window_id: r.auc for r in m.evaluate(model, table, [1, 2]).collect()}
     print(json.dumps({"auc": aucs}))
     sinks.write_importances(m.split_importances(model), args.importances)

@@ -129,11 +129,12 @@ def _blocks(logs: Logs, windows: Sequence[FeatureWindow], mode: str, wanted: set
 
 def feature_table(logs: Logs, windows: Sequence[FeatureWindow] = STANDARD_WINDOWS,
                   mode: str = AS_COMPUTED, categories: Sequence[int] | None = None,
-                  columns: Sequence[str] | None = None) -> DataFrame:
+                  columns: Sequence[str] | None = None, label: bool | None = None) -> DataFrame:
     """One row per (window, registered user); ``label`` is NULL for windows
     without label days.  Feature columns are doubles, spine columns ints.
-    ``columns`` limits the features (and leaves out the label); only the blocks
-    that they come from are built."""
+    ``columns`` limits the features (and leaves out the label, unless ``label``);
+    only the blocks that they come from are built."""
+    label = columns is None if label is None else label
     if mode not in (AS_COMPUTED, INTENDED):
         raise ValueError(f"unknown mode {mode!r}")
     if categories is None:
@@ -141,7 +142,7 @@ def feature_table(logs: Logs, windows: Sequence[FeatureWindow] = STANDARD_WINDOW
     spine = user_spine(logs.register, windows, categories)
     wanted = [(name, expr) for name, expr in feature_columns(mode) if columns is None or name in set(columns)]
     joined = spine
-    for block in _blocks(logs, windows, mode, {_block_of(name) for name, _ in wanted}, columns is None):
+    for block in _blocks(logs, windows, mode, {_block_of(name) for name, _ in wanted}, label):
         joined = joined.join(block, KEYS, "left")
 
     # the ~220 output expressions go in as SQL text: one parse on the JVM
@@ -150,7 +151,7 @@ def feature_table(logs: Logs, windows: Sequence[FeatureWindow] = STANDARD_WINDOW
         [f"register_type{i}" for i in range(len(categories))]
     feats = [f"CAST({expr} AS DOUBLE) AS {name}" for name, expr in wanted]
     ids = labelled_ids(windows)
-    if ids and columns is None:
+    if ids and label:
         raw = "greatest(label_launch, label_create, label_activity)" if mode == INTENDED else "label_launch"
         feats.append(f"CAST(CASE WHEN window_id IN ({', '.join(map(str, ids))}) "
                      f"THEN coalesce({raw}, 0) END AS INT) AS label")

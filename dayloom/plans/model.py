@@ -6,10 +6,11 @@ minimum gain and round budget map one to one; leaf count and L1/L2 terms have
 no counterpart.  Validation is temporal -- fit on earlier windows, evaluate on
 a later one -- never a random split.
 
-``device_type`` is a code, not a quantity: it is indexed with
-``StringIndexer`` so that the assembled vector carries nominal metadata for
-that slot and the trees split on category sets; ``maxBins`` is raised to the
-number of device codes.
+``device_type`` is a code, not a quantity, and may have any number of values:
+it is replaced by its smoothed mean label on the training windows (a small
+table joined to the rows, global mean for codes unseen there), the ordering by
+which a boosted tree would sort a categorical split's values.  ``maxBins`` stays fixed, so
+node statistics do not grow with the number of codes.
 """
 
 from __future__ import annotations
@@ -19,10 +20,9 @@ import uuid
 from dataclasses import dataclass, field, replace
 from typing import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,7 +30,11 @@ from pyspark.sql import functions as F
 from ..session import checkpoint_path
 from .features import feature_names
 
-CATEGORICAL = ("device_type",)
+CATEGORICAL = "device_type"
+MAX_BINS = 64
+#: Rows of the overall mean that a code's mean is smoothed with.
+SMOOTHING = 10.0
+FEATURES = "features"
 
 
 @dataclass(frozen=True)
@@ -42,119 +46,136 @@ class GBTConfig:
     feature_subset: str = "0.75"
     min_info_gain: float = 0.0
     min_instances_per_node: int = 1
-    validation_tol: float | None = None   # early stopping on a validation set
+    patience: int | None = None   # rounds without a better validation loss that end the training
     seed: int = 7
     extra: dict = field(default_factory=dict)
 
 
-# Reference budgets: tuning run (<= 20000 rounds, stop when the validation
-# window stops improving) and the final model (1200 rounds).
-TUNING = GBTConfig(max_iter=20000, step_size=0.1, max_depth=5, min_info_gain=0.001,
-                   validation_tol=0.01)
+# The budgets of the tuning run (up to 20000 rounds, ended by 100
+# rounds without improvement on the validation window) and of the final model.
+TUNING = GBTConfig(max_iter=20000, step_size=0.1, max_depth=5, min_info_gain=0.001, patience=100)
 FINAL = GBTConfig(max_iter=1200, step_size=0.01, max_depth=7, min_info_gain=0.01)
 
 
-def _stages(data: DataFrame, cfg: GBTConfig, features: Sequence[str],
-            validation_col: str | None = None):
-    indexed = [f"{c}_idx" for c in CATEGORICAL]
-    indexer = StringIndexer(inputCols=list(CATEGORICAL), outputCols=indexed,
-                            handleInvalid="keep", stringOrderType="alphabetAsc").fit(data)
-    # every code, plus the bucket for codes unseen at fit time
-    n_codes = max([len(labels) + 1 for labels in indexer.labelsArray] + [32])
-    stages = []
-    train_rows = data.where(~F.col(validation_col)) if validation_col else data
-    if n_codes <= train_rows.count():
-        stages.append(indexer)
-        inputs = [indexed[CATEGORICAL.index(c)] if c in CATEGORICAL else c for c in features]
-    else:
-        # Spark caps the bins at the number of rows; a code list longer than
-        # the training set cannot be categorical, so it stays numeric
-        n_codes, inputs = 32, list(features)
-    assembler = VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep")
-    early = {}
-    if validation_col is not None and cfg.validation_tol is not None:
-        early = {"validationIndicatorCol": validation_col, "validationTol": cfg.validation_tol}
-    gbt = GBTClassifier(
-        labelCol="label", featuresCol="features", maxIter=cfg.max_iter,
+@dataclass(frozen=True)
+class Model:
+    """A fitted learner with what turns table rows into its input."""
+    gbt: GBTClassificationModel
+    codes: DataFrame        # device_type, code_mean
+    overall: float          # for codes not among them
+    features: tuple[str, ...]
+
+    def vectors(self, table: DataFrame) -> DataFrame:
+        return _vectors(table, self.codes, self.overall, self.features)
+
+
+def _code_means(rows: DataFrame) -> tuple[DataFrame, float]:
+    """Smoothed mean label of each code, and of all rows."""
+    total = rows.agg(F.avg(F.col("label").cast("double"))).first()[0] or 0.0
+    y = F.col("label").cast("double")
+    codes = rows.groupBy(CATEGORICAL).agg(
+        ((F.sum(y) + SMOOTHING * total) / (F.count("*") + SMOOTHING)).alias("code_mean"))
+    return codes, float(total)
+
+
+def _vectors(table: DataFrame, codes: DataFrame, overall: float, features: Sequence[str]) -> DataFrame:
+    inputs = ["code_mean" if f == CATEGORICAL else f for f in features]
+    rows = (table.join(codes, CATEGORICAL, "left")
+            .withColumn("code_mean", F.coalesce("code_mean", F.lit(overall))))
+    rows = VectorAssembler(inputCols=inputs, outputCol=FEATURES, handleInvalid="keep").transform(rows)
+    label = F.col("label").cast("double") if "label" in table.columns else F.lit(None).cast("double")
+    return rows.select("window_id", "user_id", label.alias("label"), FEATURES)
+
+
+def _learner(cfg: GBTConfig, rounds: int) -> GBTClassifier:
+    return GBTClassifier(
+        labelCol="label", featuresCol=FEATURES, maxIter=rounds,
         stepSize=cfg.step_size, maxDepth=cfg.max_depth, subsamplingRate=cfg.subsampling_rate,
         featureSubsetStrategy=cfg.feature_subset, minInfoGain=cfg.min_info_gain,
-        minInstancesPerNode=cfg.min_instances_per_node, maxBins=n_codes, seed=cfg.seed,
-        **early, **cfg.extra)
-    return stages + [assembler, gbt]
-
-
-def _prepare(table: DataFrame) -> DataFrame:
-    return table.withColumn("label", F.col("label").cast("double"))
-
-
-def fit(table: DataFrame, train_windows: Sequence[int], cfg: GBTConfig,
-        valid_window: int | None = None) -> PipelineModel:
-    """Fit on ``train_windows``; with ``valid_window`` and ``cfg.validation_tol``
-    the next window drives early stopping."""
-    feats = feature_names(table)
-    use = list(train_windows) + ([valid_window] if valid_window is not None else [])
-    data = _prepare(table.where(F.col("window_id").isin(use)))
-    vcol = None
-    if valid_window is not None and cfg.validation_tol is not None:
-        vcol = "is_validation"
-        data = data.withColumn(vcol, F.col("window_id") == valid_window)
-    else:
-        data = data.where(F.col("window_id").isin(list(train_windows)))
-    pipeline = Pipeline(stages=_stages(data, cfg, feats, vcol))
-    return pipeline.fit(data)
-
-
-def evaluate(model: PipelineModel, table: DataFrame, windows: Sequence[int]) -> DataFrame:
-    """``(window_id, auc)`` -- area under ROC per labelled window."""
-    ev = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction",
-                                       metricName="areaUnderROC")
-    spark = table.sparkSession
+        minInstancesPerNode=cfg.min_instances_per_node, maxBins=MAX_BINS, seed=cfg.seed, **cfg.extra)
+
+
+def _training(table: DataFrame, windows: Sequence[int]):
+    features = tuple(feature_names(table))
+    rows = table.where(F.col("window_id").isin(list(windows)))
+    codes, overall = _code_means(rows)
+    codes = codes.checkpoint()
+    return features, codes, overall, _vectors(rows, codes, overall, features).checkpoint()
+
+
+def fit(table: DataFrame, train_windows: Sequence[int], cfg: GBTConfig) -> Model:
+    """Fit on ``train_windows`` with the whole budget."""
+    features, codes, overall, data = _training(table, train_windows)
+    return Model(_learner(cfg, cfg.max_iter).fit(data), codes, overall, features)
+
+
+def best_round(losses: Sequence[float]) -> int:
+    """The first round (from 1) with the least loss."""
+    return min(range(len(losses)), key=losses.__getitem__) + 1
+
+
+def fit_with_patience(table: DataFrame, train_windows: Sequence[int], valid_window: int, cfg: GBTConfig) -> Model:
+    """Fit on ``train_windows``; the validation window's loss after each round says where to stop.
+
+    A fit of more rounds begins with the same trees, so the budget doubles until
+    the best round lies ``cfg.patience`` rounds back (or ``cfg.max_iter`` is reached);
+    the model is the fit of that many rounds.
+    """
+    features, codes, overall, data = _training(table, train_windows)
+    valid = _vectors(table.where(F.col("window_id") == valid_window), codes, overall, features).checkpoint()
+    rounds = min(cfg.max_iter, (cfg.patience or cfg.max_iter) + 50)
+    while True:
+        gbt = _learner(cfg, rounds).fit(data)
+        best = best_round(gbt.evaluateEachIteration(valid))
+        if rounds >= cfg.max_iter or rounds - best >= cfg.patience:
+            return Model(gbt if best == rounds else _learner(cfg, best).fit(data), codes, overall, features)
+        rounds = min(cfg.max_iter, 2 * rounds)
+
+
+def auc(scored: DataFrame, score_col: str, windows: Sequence[int]) -> DataFrame:
+    """``(window_id, auc)``: exact area under ROC (every distinct score is a point of the curve)."""
+    ev = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol=score_col,
+                                       metricName="areaUnderROC", numBins=0)
     rows = []
     for w in windows:
-        scored = model.transform(_prepare(table.where(F.col("window_id") == w)))
-        rows.append((int(w), float(ev.evaluate(scored))))
-    return spark.createDataFrame(rows, "window_id int, auc double")
+        part = scored.where(F.col("window_id") == w).withColumn("label", F.col("label").cast("double"))
+        rows.append((int(w), float(ev.evaluate(part))))
+    return scored.sparkSession.createDataFrame(rows, "window_id int, auc double")
+
+
+def evaluate(model: Model, table: DataFrame, windows: Sequence[int]) -> DataFrame:
+    """``(window_id, auc)`` of the model per labelled window."""
+    rows = model.vectors(table.where(F.col("window_id").isin(list(windows))))
+    return auc(model.gbt.transform(rows), "rawPrediction", windows)
 
 
-def score(model: PipelineModel, table: DataFrame, window_id: int) -> DataFrame:
+def score(model: Model, table: DataFrame, window_id: int) -> DataFrame:
     """``(user_id, predicted_score)``: probability of activity next week."""
-    data = table.where(F.col("window_id") == window_id)
-    if "label" not in data.columns:
-        data = data.withColumn("label", F.lit(None).cast("double"))
-    out = model.transform(_prepare(data))
+    out = model.gbt.transform(model.vectors(table.where(F.col("window_id") == window_id)))
     return out.select("user_id",
                       vector_to_array(F.col("probability"))[1].alias("predicted_score"))
 
 
-def _gbt(model: PipelineModel):
-    return model.stages[-1]
-
-
-def _input_names(model: PipelineModel) -> list[str]:
-    names = list(model.stages[-2].getInputCols())
-    return [n[:-4] if n.endswith("_idx") and n[:-4] in CATEGORICAL else n for n in names]
-
-
-def gain_importances(model: PipelineModel) -> DataFrame:
+def gain_importances(model: Model) -> DataFrame:
     """``(feature, score)`` from Spark's normalised gain importance."""
     spark = SparkSession.getActiveSession()
-    imp = _gbt(model).featureImportances.toArray()
-    rows = [(n, float(v)) for n, v in zip(_input_names(model), imp)]
+    imp = model.gbt.featureImportances.toArray()
+    rows = [(n, float(v)) for n, v in zip(model.features, imp)]
     return spark.createDataFrame(rows, "feature string, score double")
 
 
-def split_importances(model: PipelineModel) -> DataFrame:
+def split_importances(model: Model) -> DataFrame:
     """``(feature, score)`` = number of splits on the feature over all trees
     (the boosting library's default importance).  Read from the saved model's
     node table with a Spark aggregate; features never split on score 0."""
     spark = SparkSession.getActiveSession()
     path = checkpoint_path(spark, f"gbt_model_{uuid.uuid4().hex}")
-    _gbt(model).write().overwrite().save(path)
+    model.gbt.write().overwrite().save(path)
     nodes = spark.read.parquet(f"{path}/data")
     splits = (nodes.where(F.col("nodeData.split.featureIndex") >= 0)
               .groupBy(F.col("nodeData.split.featureIndex").alias("idx"))
               .agg(F.count("*").cast("double").alias("score")))
-    names = spark.createDataFrame(list(enumerate(_input_names(model))),
+    names = spark.createDataFrame(list(enumerate(model.features)),
                                   "idx int, feature string")
     return (names.join(F.broadcast(splits), "idx", "left")
             .select("feature", F.coalesce("score", F.lit(0.0)).alias("score")))

@@ -6,6 +6,7 @@ rounded to 6 decimals so results compare across engines.
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,10 +23,11 @@ from ..operators.affinity import video_affinity
 from ..operators.label import any_log_labels, launch_labels
 from ..operators.recurrence import flagged_users
 from ..operators.spine import duplicate_users, register_type_categories, user_spine
-from ..operators.windows import STANDARD_WINDOWS, assign_windows, in_span, window
+from ..operators.windows import STANDARD_WINDOWS, FeatureWindow, assign_windows, in_span, window
 from ..session import checkpoint_path
-from ..sources.logs import fixture_logs
-from ..sources.sinks import read_feature_csv, write_feature_csv, profile
+from ..sources.logs import fixture_logs, read_tsv_logs, write_tsv_logs
+from ..sources.sinks import (profile, read_feature_csv, read_feature_table, read_importances, read_scores,
+                             write_feature_csv, write_feature_table, write_importances, write_scores)
 from .features import KEYS, feature_table
 
 W = STANDARD_WINDOWS
@@ -60,7 +62,9 @@ def register_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def register_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return duplicate_users(_logs(spark, sf_dir).register)
+    """The uniqueness check on a log that fails it: one registration per order."""
+    orders = spark.read.parquet(os.path.join(sf_dir, "orders.parquet"))
+    return duplicate_users(orders.select(F.col("o_custkey").cast("long").alias("user_id")))
 
 
 # --- launch ------------------------------------------------------------------
@@ -272,6 +276,26 @@ def feature_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(profile(feature_table(_logs(spark, sf_dir), W), exclude=KEYS))
 
 
+def weekly_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight windows a week apart, over more days than one 64-bit bitmap holds."""
+    weekly = [FeatureWindow(k + 1, 1 + 7 * k, 16 + 7 * k, True) for k in range(8)]
+    return rounded(feature_table(_logs(spark, sf_dir), weekly))
+
+
+def tsv_feature_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Window 1 from the logs' raw form: header-less tab-separated files in the shared folder."""
+    paths = write_tsv_logs(_logs(spark, sf_dir), checkpoint_path(spark, f"tsv_{uuid.uuid4().hex}"))
+    return rounded(feature_table(read_tsv_logs(spark, **paths), [window(W, 1)]))
+
+
+def windows_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature table stored with a folder per window and read back."""
+    path = checkpoint_path(spark, f"features_{uuid.uuid4().hex}")
+    table = feature_table(_logs(spark, sf_dir), W)
+    write_feature_table(table, path)
+    return rounded(read_feature_table(spark, path).select(*table.columns))
+
+
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feature table written as CSV with a header (the interchange format of
     the training scripts) into the shared checkpoint folder, then read back."""
@@ -281,45 +305,66 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(read_feature_csv(spark, path, table.schema))
 
 
-# --- model jobs (no SQL equivalent: rows-only checks) -------------------------
-#
-# The registered checks use a 40-round budget so one check stays within a
-# minute at sf0.01; ``model.TUNING`` / ``model.FINAL`` carry the full budgets
-# used by the training and scoring jobs (``python -m dayloom``).
+# --- model jobs -----------------------------------------------------------------
 
-CHECK_ROUNDS = 40
+def auc_of_feature(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact AUC of one fixed column against the label, per labelled window."""
+    from . import model as m
+    table = feature_table(_logs(spark, sf_dir), W, columns=["video_operate_times"], label=True)
+    return rounded(m.auc(table.where("label IS NOT NULL"), "video_operate_times", [1, 2]))
 
 
 def _materialized_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The feature table, checkpointed into the shared checkpoint folder: the
-    learner scans it many times and must not re-run the log aggregations."""
-    from ..session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(spark)
-    return feature_table(_logs(spark, sf_dir), W).checkpoint(eager=True)
+    """The feature table, written to the shared checkpoint folder: the learner
+    scans it many times and must not re-run the log aggregations."""
+    path = checkpoint_path(spark, f"features_{uuid.uuid4().hex}")
+    write_feature_table(feature_table(_logs(spark, sf_dir), W), path)
+    return read_feature_table(spark, path)
 
 
-def _tuned_model(spark, sf_dir):
-    from dataclasses import replace
+def _tuned(spark: SparkSession, sf_dir: str):
+    """The table and the model of the tuning job, full budget; one fit serves this session's queries on a folder."""
     from . import model as m
-    table = _materialized_table(spark, sf_dir)
-    return table, m.fit(table, [1], replace(m.TUNING, max_iter=CHECK_ROUNDS), valid_window=2)
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _fits:
+        table = _materialized_table(spark, sf_dir)
+        _fits.clear()
+        _fits[key] = table, m.fit_with_patience(table, [1], 2, m.TUNING)
+    return _fits[key]
+
+
+_fits: dict = {}
 
 
 def gbt_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import model as m
-    table, mdl = _tuned_model(spark, sf_dir)
-    return rounded(m.evaluate(mdl, table, [1, 2]))
+    table, model = _tuned(spark, sf_dir)
+    return rounded(m.evaluate(model, table, [1, 2]))
 
 
 def gbt_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Split counts of the tuned model, through their sink."""
     from . import model as m
-    _, mdl = _tuned_model(spark, sf_dir)
-    return m.split_importances(mdl).orderBy(F.desc("score"), F.asc("feature"))
+    _, model = _tuned(spark, sf_dir)
+    path = checkpoint_path(spark, f"importances_{uuid.uuid4().hex}")
+    write_importances(m.split_importances(model), path)
+    return read_importances(spark, path)
 
 
 def gbt_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from dataclasses import replace
+    """Scores of window 3 by the tuned model, through their sink."""
     from . import model as m
-    table = _materialized_table(spark, sf_dir)
-    mdl = m.fit(table, [1, 2], replace(m.FINAL, max_iter=CHECK_ROUNDS))
-    return m.score(mdl, table, 3)
+    table, model = _tuned(spark, sf_dir)
+    path = checkpoint_path(spark, f"scores_{uuid.uuid4().hex}")
+    write_scores(m.score(model, table, 3), path)
+    return read_scores(spark, path)
+
+
+def importance_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every feature once in the importances, none with a negative score."""
+    return gbt_importance(spark, sf_dir).select("feature", (F.col("score") >= 0).alias("valid"))
+
+
+def score_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One score for every user of window 3, each between 0 and 1."""
+    return gbt_scores(spark, sf_dir).select("user_id", F.col("predicted_score").between(0, 1).alias("valid"))

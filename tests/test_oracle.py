@@ -26,7 +26,7 @@ def test_query_matches_oracle(spark, con, name):
 def test_every_query_has_an_oracle_or_is_a_model_job():
     no_sql = set(entry.queries()) - set(SQL)
     no_sql = {n for n in no_sql if n != "pipeline" and not n.startswith("op")}  # tested in tests/llm
-    assert no_sql <= {"gbt_auc", "gbt_importance", "gbt_scores"}
+    assert no_sql <= {"gbt_auc", "gbt_importance", "gbt_scores"}  # their properties have: auc_of_feature, importance_check, score_check
 
 
 def test_entry_smoke(spark):

@@ -2,10 +2,13 @@
 
 import re
 
+import pytest
+
 from dayloom.operators.popularity import author_block
 from dayloom.operators.windows import STANDARD_WINDOWS
 from dayloom.plans.features import feature_table
 from dayloom.sources.logs import fixture_logs
+from dayloom.sources.sinks import profile
 
 from conftest import SF_SMALL
 
@@ -25,11 +28,50 @@ def test_feature_table_plan(spark):
     for bad in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct",
                 "BroadcastNestedLoopJoin", "PythonUDF"):
         assert bad not in plan, bad
-    # 1 spine + 1 launch + 2 creation + 2 activity + 2 video + 2 author
-    # + 1 top-k + 1 author views  (+ AQE may add none) -- bounded, no per-feature joins
-    assert plan.count("Exchange hashpartitioning") <= 15
-    # day-range predicates reach the parquet scans
-    assert "PushedFilters: [IsNotNull(ts)" in plan or "PushedFilters" in plan
+
+
+def final_plan(spark, df) -> str:
+    """The plan that ran, with no side small enough to broadcast by itself."""
+    old = {k: spark.conf.get(k, None) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    for k in old:
+        spark.conf.set(k, "-1")
+    try:
+        df.write.format("noop").mode("overwrite").save()
+        df.collect()
+        plan = _plan(df)
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    return plan.split("== Initial Plan ==")[0]
+
+
+@pytest.mark.parametrize("mode", ["as_computed", "intended"])
+def test_feature_table_reads_and_exchanges(spark, mode):
+    """Four reads of the events (launch, creation, activity by day, items) and at most 13 exchanges."""
+    plan = final_plan(spark, feature_table(fixture_logs(spark, SF_SMALL), STANDARD_WINDOWS, mode=mode, categories=list(range(12))))
+    assert plan.count("events.parquet") == 4
+    assert len(re.findall(r"(?<!, )Exchange hashpartitioning", plan.replace("ReusedExchange", "Reused"))) <= 13
+    assert "median" not in plan
+
+
+def test_only_the_wanted_blocks_are_built(spark):
+    table = feature_table(fixture_logs(spark, SF_SMALL), STANDARD_WINDOWS, categories=[], columns=["video_create_avg"])
+    assert _plan(table).count("events.parquet") == 1 and "label" not in table.columns
+
+
+def test_day_range_reaches_the_scans(spark):
+    logs = fixture_logs(spark, SF_SMALL)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    for log in (logs.launch, logs.create, logs.activity):
+        pushed = re.search(r"PushedFilters: \[([^\]]*)\]", _plan(log.groupBy("user_id").count()))[1]
+        assert "GreaterThanOrEqual(ts,2024-01-01T00:00)" in pushed and "LessThan(ts,2024-01-31T00:00)" in pushed
+
+
+def test_profile_is_one_pass(spark):
+    table = spark.range(10).selectExpr("id", "CAST(id AS DOUBLE) / 3 AS x")
+    plan = _optimized(profile(table))
+    assert plan.count("Range (") == 1 and "Expand" not in plan
+    assert [tuple(r)[:4] for r in profile(table, ["id"]).collect()] == [("x", "double", 10, 10)]
 
 
 def test_scans_read_only_needed_columns(spark):
