@@ -110,10 +110,11 @@ def links(nodes: DataFrame, most: int = MAX_BITS) -> DataFrame:
 
     plain = nodes.select(F.col("fp").alias("a"), keyed([0]).alias("x")).select("a", F.col("x.k").alias("k"), F.col("x.s").alias("s"))
     varied = nodes.select(F.col("fp").alias("b"), keyed(masks).alias("x")).select("b", F.col("x.k").alias("k"), F.col("x.s").alias("t"))
+    # hinted: the optimizer takes a side's size from before its rows are multiplied, and would broadcast it
     differ = "(a ^ b)"
     turned = f"(shiftleft({differ}, {width} * s) | if(s = 0, 0L, shiftrightunsigned({differ}, 64 - {width} * s)))"
     chain = " and ".join(f"bit_count(shiftrightunsigned({turned}, {64 - width * (i + 1)})) <= {allowed[i]}" for i in range(m - 1))
-    return (plain.alias("p").join(varied.alias("v"), F.expr(
+    return (plain.alias("p").join(varied.hint("merge").alias("v"), F.expr(
                 f"p.k = v.k and s = t and a <> b and {chain} and bit_count({differ}) <= {most}"))
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
