@@ -2,8 +2,8 @@
 
 Several heuristic labellers look at each text and vote good (+), bad (-) or abstain
 (0).  Expectation-maximisation estimates, without any true label, how often each
-labeller votes what on good and on bad documents; the posterior of a vote
-pattern is its probability of being good; abstaining tells nothing.  A hashed linear scorer learns these posteriors as soft
+labeller votes what on good documents and on the kinds of bad ones; the posterior of a vote
+pattern is its probability of being good.  A hashed linear scorer learns these posteriors as soft
 targets, and its score decides: it sees words and word shapes that no labeller asks for.
 
 Scale: votes and scores are narrow maps over whole texts.  EM works on the counts of vote
@@ -32,7 +32,7 @@ TRAIN_ROWS, PARTS = 12_000, 8
 BUCKETS = 1 << 16
 EPOCHS, RATE, DECAY = 12, 0.5, 1e-6
 EM_ROUNDS = 60
-PRIOR = 0.01
+PRIOR = 1.0
 THRESHOLD = 0.5
 #: Weight of a repeated word beside that of any word.
 REPEAT_SCALE = 4
@@ -85,28 +85,37 @@ def votes(text: str | None) -> str:
 
 
 def fit_labellers(patterns: dict[str, int], rounds: int = EM_ROUNDS) -> tuple[float, np.ndarray, dict[str, float]]:
-    """Share of good documents, P(+ | class, voted) [labeller, class 0 bad and 1 good], P(good | pattern).
+    """Share of good documents, P(+ | class, voted) [labeller, 0 bad and 1 good], P(good | pattern).
 
-    Abstaining tells nothing.  A labeller says - for its own kind of junk only and + for everything
-    else, so the start counts a - as much more than a +; each labeller has `PRIOR` imagined right votes in either class,
-    as a share of all documents.
+    Junk is of several kinds, and a labeller votes + on junk that is not of its kind.  So there is one
+    good class and a bad one for each labeller; given the class, votes are independent, and
+    abstaining tells nothing.  The start gives patterns without a - to the good class and others to the classes of those who
+    say -.  Imagined right votes keep the classes what they are: `PRIOR` for the good class (1: as many as there
+    are documents, so that a - counts as an error only if other votes say so), 0.01 for a kind's own labeller.
     """
+    k = len(LABELLERS)
     names = sorted(patterns)
     if not names:
-        return 0.5, np.full((len(LABELLERS), 2), 0.5), {}
+        return 0.5, np.full((k, 2), 0.5), {}
     cast = np.array([["-0+".index(v) - 1 for v in p] for p in names])
     counts = np.array([patterns[p] for p in names], dtype=float)
     counts /= counts.sum()
     plus, minus = (cast == 1).astype(float), (cast == -1).astype(float)
-    good = 1 / (1 + np.exp(8.0 * minus.sum(axis=1) - 0.5 * plus.sum(axis=1) - 1))
+    blamed = minus.sum(axis=1, keepdims=True)
+    belongs = np.hstack([np.where(blamed > 0, 0.02, 0.98), np.where(blamed > 0, 0.98 * minus / np.maximum(blamed, 1), 0.02 / k)]).T
+    right_plus = np.vstack([np.full(k, PRIOR), np.zeros((k, k))])
+    right_minus = np.vstack([np.zeros(k), 0.01 * np.eye(k)])
     for _ in range(rounds):
-        weight = np.stack([counts * (1 - good), counts * good])
+        weight = belongs * counts
         share = weight.sum(axis=1)
-        says = np.stack([weight @ plus, weight @ minus]) + PRIOR * np.array([[[0.5], [1.0]], [[0.5], [0.0]]]) + 1e-6
-        rates = (says[0] / says.sum(axis=0)).T
-        log = np.log(np.maximum(share, 1e-9))[:, None] + np.log(rates.T) @ plus.T + np.log(1 - rates.T) @ minus.T
-        good = 1 / (1 + np.exp(np.clip(log[0] - log[1], -500, 500)))
-    return float(share[1]), rates, dict(zip(names, map(float, good)))
+        yes, no = weight @ plus + right_plus + 1e-6, weight @ minus + right_minus + 1e-6
+        rate = yes / (yes + no)
+        log = np.log(np.maximum(share, 1e-9))[:, None] + np.log(rate) @ plus.T + np.log(1 - rate) @ minus.T
+        belongs = np.exp(log - log.max(axis=0))
+        belongs /= belongs.sum(axis=0)
+    weight = belongs[1:] * counts
+    bad = (weight.sum(axis=0) @ plus + 1e-9) / (weight.sum(axis=0) @ (plus + minus) + 2e-9)
+    return float(share[0]), np.stack([bad, rate[0]], axis=1), dict(zip(names, map(float, belongs[0])))
 
 
 def shape(word: bytes) -> bytes:
