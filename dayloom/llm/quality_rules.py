@@ -88,8 +88,11 @@ def repeated_words(words: list[bytes], width: int = WINDOW) -> int:
     n = len(words) - width + 1
     if n < 2:
         return 0
-    number: dict[bytes, int] = {}
-    at = np.array([number.setdefault(w, len(number)) for w in words], dtype=np.int64)
+    kinds = dict.fromkeys(words)
+    if len(kinds) == len(words):
+        return 0
+    number = dict(zip(kinds, range(len(kinds))))
+    at = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
     size = 1  # names of windows of 1, 2, 4, ... words: equal name, equal words
     while size < width:
         step = min(size, width - size)

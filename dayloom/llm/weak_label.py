@@ -40,7 +40,8 @@ SEED = 42
 
 _STOP = frozenset(w.encode() for w in STOP_WORDS)
 _SYMBOLS = b"#*$%&|<>{}[]\\^~_=+"
-_ENDS = (b".", b"!", b"?", b":", "。".encode(), "！".encode(), "？".encode(), "؟".encode(), "।".encode(), "…".encode())
+#: Marks that end a sentence, each with the blank after it.
+_ENDS = tuple(f"{mark} ".encode() for mark in ".!?:。！？؟।…")
 #: Bytes as shape classes: upper and lower case, digits, above ASCII as lower case; others stand for themselves.
 _SHAPE = bytes(65 if 65 <= b <= 90 else 97 if 97 <= b <= 122 or b >= 128 else 48 if 48 <= b <= 57 else b for b in range(256))
 
@@ -70,7 +71,8 @@ def votes(text: str | None) -> str:
     again = sum(map(eq, words, words[1:]))
     stop = sum(map(_STOP.__contains__, raw.lower().translate(_MARKS_TO_BLANKS).split()))
     parted = sum(map(words.count, SEPARATORS))
-    ends = sum(w.endswith(_ENDS) for w in words)
+    spaced = b" ".join(words) + b" "
+    ends = sum(map(spaced.count, _ENDS))
     window = repeated_words(words)
     kinds = len(set(words))
     return "".join([

@@ -161,11 +161,10 @@ def test_native_plans(spark, name):
     assert not re.search("Python|Pandas|Arrow", text), text
 
 
-def test_hits_are_looked_up_by_one_long(spark):
-    grams = decontaminate.windows(common.table(spark, SF_SMALL, "benchmark"))
-    docs = common.table(spark, SF_SMALL, "documents")
-    texts = docs.select(decontaminate.digest("text").alias("text_key"))
-    assert "text" in docs.columns and texts.columns == ["text_key"] and "gram" in grams.columns
+def test_links_are_never_broadcast(spark):
+    """The size that the optimizer sees is from before the rows are multiplied."""
+    found = simhash.links(spark.createDataFrame([(k,) for k in range(50)], "fp long"))
+    assert "SortMergeJoin" in plan(found) and "BroadcastHashJoin" not in plan(found)
 
 
 # --- SimHash ------------------------------------------------------------------
