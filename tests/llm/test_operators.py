@@ -379,6 +379,17 @@ def test_construction_orders_all_suffixes():
         assert [strings[i][-k - 1] if k < len(strings[i]) else 255 for _, i, k in suffixes] == bwt.tolist()
 
 
+def test_minimizers_fill_their_range():
+    """Minimizers are the least of hashes; the buckets must not be."""
+    text = cases.sentences(5, 40_000, 4000).encode()
+    data = np.frombuffer(text + bytes(24), dtype=np.uint8)
+    first, windows, hashes, places = suffix_dedup.runs(data, np.arange(len(text)) <= len(text) - 50)
+    assert windows.sum() == len(text) - 49 and (first[1:] == first[:-1] + windows[:-1]).all()
+    assert ((places >= first + windows - 1) & (places + suffix_dedup.KMER <= first + 50)).all()
+    filled = np.bincount(suffix_dedup.by_range(hashes, 16), minlength=16)
+    assert filled.max() < 1.2 * filled.mean()
+
+
 def brute_repeats(rows, length=50):
     first, out = {}, []
     rows = [(i, (1 << 63) - 1 if i is None else i, (t or "").encode()) for i, t in rows]
