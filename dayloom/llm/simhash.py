@@ -98,24 +98,23 @@ def links(nodes: DataFrame, most: int = MAX_BITS) -> DataFrame:
     while length > 1 and len(key_masks(m, most, length)) > 64:
         length -= 1
     masks = key_masks(m, most, length)
-    # the key: the start's number above the chain's bits, which leave room for it
     room = 64 - width * length
-    start = lambda s: F.lit(s).cast("long") if room < 6 else F.shiftleft(F.lit(s).cast("long"), 64 - room)
 
     def keyed(flips: list[int]) -> Column:
-        return F.explode(F.array(*(
+        """A row for each start s of the ring and each flip: the bits k of the chain from there."""
+        return F.inline(F.array(*(
             F.struct(F.lit(s).alias("s"),
-                     F.shiftrightunsigned(_rotated(F.col("fp"), width * s).bitwiseXOR(F.lit(_signed(f))), room)
-                     .bitwiseOR(start(s)).alias("k")) for s in range(m) for f in flips)))
+                     F.shiftrightunsigned(_rotated(F.col("fp"), width * s).bitwiseXOR(F.lit(_signed(f))), room).alias("k"))
+            for s in range(m) for f in flips)))
 
-    plain = nodes.select(F.col("fp").alias("a"), keyed([0]).alias("x")).select("a", F.col("x.k").alias("k"), F.col("x.s").alias("s"))
-    varied = nodes.select(F.col("fp").alias("b"), keyed(masks).alias("x")).select("b", F.col("x.k").alias("k"), F.col("x.s").alias("t"))
+    plain = nodes.select(F.col("fp").alias("a"), keyed([0]))
+    varied = nodes.select(F.col("fp").alias("b"), keyed(masks))
     # hinted: the optimizer takes a side's size from before its rows are multiplied, and would broadcast it
     differ = "(a ^ b)"
     turned = f"(shiftleft({differ}, {width} * s) | if(s = 0, 0L, shiftrightunsigned({differ}, 64 - {width} * s)))"
     chain = " and ".join(f"bit_count(shiftrightunsigned({turned}, {64 - width * (i + 1)})) <= {allowed[i]}" for i in range(m - 1))
-    return (plain.alias("p").join(varied.hint("merge").alias("v"), F.expr(
-                f"p.k = v.k and s = t and a <> b and {chain} and bit_count({differ}) <= {most}"))
+    return (plain.join(varied.hint("merge"), ["s", "k"])
+            .where(f"a <> b and {chain} and bit_count({differ}) <= {most}")
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
 
