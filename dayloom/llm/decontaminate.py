@@ -93,7 +93,8 @@ def hit_summary(found: DataFrame, grams: DataFrame) -> DataFrame:
                                      F.sort_array(F.collect_list(F.struct((F.col("a") - 1).alias("start"), (F.col("b") - 1).alias("end")))).alias("spans")))
     items = (found.select("text_key", "gram").distinct().join(grams, "gram")
              .groupBy("text_key").agg(F.sort_array(F.collect_set("item")).alias("items")))
-    return runs.join(items, "text_key")
+    # written, so that a join with the documents deals out both sides afresh and Spark can split a text with many copies
+    return written(runs.join(items, "text_key"), "hit-summary")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, share: int = SHARE, key: str = "doc_id", text: str = "text",
