@@ -3,7 +3,9 @@
 A page is cut into blocks at block-level tags; every block has its text, the
 share of it inside links, the share of stop words among its words, and the kind of
 element that holds it.  Pass one decides what is clear: blocks in page furniture or with
-many links are bad, long blocks with many stop words are good.  Pass two gives each
+many links are bad, long blocks with many stop words are good.  Long blocks with few of them
+outside an article are good on a page in a language without stop words here; on a page with
+them they are ambiguous if they are code, a table or sentences, else bad.  Pass two gives each
 ambiguous block (short, or few stop words inside an article) the label of
 the nearest decided neighbours of its article, or of the page outside one.
 
@@ -26,6 +28,12 @@ MAX_LINKS, MAX_LINKS_ARTICLE = 0.33, 0.5
 LENGTH = 70
 STOP_HIGH, STOP_LOW = 0.15, 0.05
 
+#: Letters that stand for a syllable or a word count as so many characters more.
+_WIDE, WIDE = re.compile("[\u2e80-\u9fff\uac00-\ud7af\uf900-\ufaff\U00020000-\U0003ffff]"), 2
+#: Elements whose text has few stop words in any language.
+DATA = frozenset(("pre", "table"))
+SENTENCE_ENDS = ".!?…。！？:"
+
 #: The most frequent words of four languages.
 STOP_WORDS = frozenset(
     "a an and are as at be but by for from has have he her his i in is it its not of on or she that the their they this to was we were which will with you "
@@ -72,6 +80,7 @@ class Block(NamedTuple):
     furniture: bool
     article: int
     heading: bool
+    data: bool = False
 
 
 def _furniture(tag: str, attrs: str, in_article: bool) -> bool:
@@ -102,7 +111,8 @@ def blocks(page: str) -> list[Block]:
             if text:
                 linked = sum(len("".join(p.split())) for p, inside in parts if inside)
                 _, furniture, article = open_tags[-1] if open_tags else ("", False, 0)
-                found.append(Block(text, linked / max(1, len(text.replace(" ", ""))), furniture, article, heading))
+                found.append(Block(text, linked / max(1, len(text.replace(" ", ""))), furniture, article, heading,
+                                   any(t in DATA for t, *_ in open_tags)))
             parts.clear()
 
     last = page.rfind(">")
@@ -155,17 +165,39 @@ def blocks(page: str) -> list[Block]:
     return found
 
 
-def first_pass(block: Block) -> bool | None:
-    """True: good, False: bad, None: ambiguous."""
+def _length(text: str) -> int:
+    return len(text) if text.isascii() else len(text) + WIDE * len(_WIDE.findall(text))
+
+
+def _stop_share(text: str) -> float:
+    words = _WORD.findall(text.lower())
+    return sum(w in STOP_WORDS for w in words) / max(1, len(words))
+
+
+def covered(found: list[Block]) -> bool:
+    """Whether half of the page's long text, at least, is in a language with stop words here."""
+    known = total = 0
+    for b in found:
+        if not b.furniture and b.links <= MAX_LINKS and (n := _length(b.text)) >= LENGTH:
+            total += n
+            known += n * (_stop_share(b.text) >= STOP_LOW)
+    return known * 2 >= total
+
+
+def first_pass(block: Block, known: bool = True) -> bool | None:
+    """True: good, False: bad, None: ambiguous.  `known`: whether the page's language has stop words here."""
     if block.furniture or block.links > (MAX_LINKS_ARTICLE if block.article else MAX_LINKS):
         return False
-    if len(block.text) < LENGTH:
+    if _length(block.text) < LENGTH:
         return False if not block.article and _COPYRIGHT.search(block.text) else None
-    words = _WORD.findall(block.text.lower())
-    share = sum(w in STOP_WORDS for w in words) / max(1, len(words))
+    share = _stop_share(block.text)
     if share >= STOP_HIGH:
         return True
-    return None if block.article or share >= STOP_LOW else False
+    if block.article or share >= STOP_LOW:
+        return None
+    if not known:
+        return True
+    return None if block.data or block.text[-1] in SENTENCE_ENDS else False
 
 
 def second_pass(found: list[Block], labels: list[bool | None]) -> list[bool]:
@@ -188,7 +220,7 @@ def second_pass(found: list[Block], labels: list[bool | None]) -> list[bool]:
         if label is None:
             a, b = before.get(block.article), after[i]
             if a is None and b is None:
-                label = block.article > 0 or block.text[-1] in ".!?…。！？:"
+                label = block.article > 0 or block.text[-1] in SENTENCE_ENDS
             elif block.article and block.heading:
                 label = bool(a and a[1] or b and b[1])
             elif a is None or b is None or a[1] == b[1]:
@@ -210,7 +242,8 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     found = blocks(page)
-    return "\n".join(b.text for b, good in zip(found, second_pass(found, [first_pass(b) for b in found])) if good)
+    known = all(b.article or b.furniture for b in found) or covered(found)  # only blocks outside an article depend on it
+    return "\n".join(b.text for b, good in zip(found, second_pass(found, [first_pass(b, known) for b in found])) if good)
 
 
 def extract(pages: DataFrame, key: str = "page_id", page: str = "html", carry: tuple[str, ...] = ("url",)) -> DataFrame:
