@@ -49,8 +49,10 @@ VOID = frozenset("area base br col embed frame hr img input link meta param sour
 #: Elements whose text never belongs to the article.
 FURNITURE = frozenset("aside button dialog fieldset footer form head menu nav option select title".split())
 ARTICLE = frozenset(("article", "main"))
-#: Elements whose content is not text.
-RAW = "script|style|noscript|template|textarea|iframe|object|svg|math|canvas|audio|video|map"
+#: Elements whose content is not text; of a formula only its annotations, which repeat it in another notation.
+RAW = "script|style|noscript|template|textarea|iframe|object|svg|annotation-xml|annotation|canvas|audio|video|map"
+#: Those of them that a tag may close itself.
+EMPTY = "svg|annotation-xml|annotation"
 
 #: Words in `class`, `id` or `role` that mark furniture.
 _HINT = re.compile(
@@ -66,6 +68,7 @@ _UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECAS
 _TOKEN = re.compile(
     r"(?P<text>[^<]+)"
     r"|<!--.*?(?:-->|\Z)"
+    r"|<(?:" + EMPTY + r")(?=[\s/>])(?:\"[^\"]*\"|'[^']*'|[^>\"'])*+(?<=/)>"
     r"|<(?P<raw>" + RAW + r")(?=[\s/>])(?:\"[^\"]*\"|'[^']*'|[^>\"'])*+>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*+)>"
     r"|<[a-z/!?][^>]*>"
@@ -127,8 +130,8 @@ def blocks(page: str) -> list[Block]:
             continue
         else:
             tag = m["tag"].lower()
-            if tag == "br" or tag == "wbr":
-                parts.append((" " if tag == "br" else "", links > 0))
+            if tag in ("br", "wbr", "mtd"):
+                parts.append(("" if tag == "wbr" else " ", links > 0))
                 continue
             if tag == "a":
                 links = max(0, links - 1) if m["end"] else 1

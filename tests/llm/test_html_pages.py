@@ -33,3 +33,10 @@ def test_code_and_tables_between_prose():
         html = f"<div><p>{ENGLISH}</p>{tags.format(text)}<p>{ENGLISH}</p></div>"
         assert main_text(html) == f"{ENGLISH}\n{text}\n{ENGLISH}"
     assert main_text(f"<p>{ENGLISH}</p><p>{ENGLISH}</p><div>{words}</div>") == f"{ENGLISH}\n{ENGLISH}"  # key words stay out
+
+
+def test_icons_and_formulas():
+    assert main_text('<article><p>One <svg class="i"/> two</p><p>three</p></article>') == "One two\nthree"
+    assert main_text('<article><p>One <svg><title>x</title><path d="M0 0"/></svg> two <svg /></p><p>3 <svg a="/">y</svg></p></article>') == "One two\n3"
+    assert main_text('<article><p>So <math/> <math><semantics><mrow><mi>x</mi><mo>=</mo><mn>2</mn></mrow>'
+                     '<annotation encoding="application/x-tex">x=2</annotation></semantics></math> holds.</p><p>End.</p></article>') == "So x=2 holds.\nEnd."
