@@ -62,6 +62,8 @@ _HINT = re.compile(
     r"disclaimer|complementary|contentinfo|skip|hidden)(?:$|[\s_-])", re.IGNORECASE)
 #: Also these, unless the element lies in an article.
 _HINT_OUTSIDE = re.compile(r"(?:^|[\s_-])(?:header|topbar|top|bottom|side)(?:$|[\s_-])", re.IGNORECASE)
+#: What names a state or a whole page, not the element: no hint.
+_STATE = re.compile(r"(?<![^\s_-])(?:has|no|with|without)[_-]\S*|\S+[_-](?:page|layout|template)(?!\S)", re.IGNORECASE)
 _ATTR = re.compile(r"""(?:^|\s)(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.IGNORECASE)
 _UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 
@@ -86,24 +88,32 @@ class Block(NamedTuple):
     data: bool = False
 
 
-def _furniture(tag: str, attrs: str, in_article: bool) -> bool:
+#: Furniture by class, id or role alone, and by its element or because it is not shown.
+HINTED, CERTAIN = 1, 2
+
+
+def _furniture(tag: str, attrs: str, in_article: bool) -> int:
     if tag in FURNITURE or tag == "header" and not in_article:
-        return True
+        return CERTAIN
     if not attrs or tag in ARTICLE or tag in ("html", "body"):
-        return False
+        return 0
+    found = 0
     for name, value in _ATTR.findall(attrs):
         name, value = name.lower(), value.strip("\"'")
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and _UNSEEN.search(value):
-            return True
-        if name in ("class", "id", "role") and (_HINT.search(value) or not in_article and _HINT_OUTSIDE.search(value)):
-            return True
-    return False
+            return CERTAIN
+        if name in ("class", "id", "role") and not found:
+            hints = (_HINT,) if in_article else (_HINT, _HINT_OUTSIDE)
+            if any(h.search(value) and h.search(_STATE.sub(" ", value)) for h in hints):
+                found = HINTED
+    return found
 
 
 def blocks(page: str) -> list[Block]:
     """The page's blocks that have text, in page order."""
     found: list[Block] = []
-    open_tags: list[tuple[str, bool, int]] = []  # tag, furniture, article (0: none)
+    open_tags: list[tuple[str, int, int]] = []  # tag, furniture, article (0: none)
+    doubtful: set[int] = set()  # articles in furniture by hint: comments and teasers, unless the page has no other article
     parts: list[tuple[str, bool]] = []  # text, inside a link
     links = articles = 0
     heading = False
@@ -113,8 +123,8 @@ def blocks(page: str) -> list[Block]:
             text = " ".join("".join(p for p, _ in parts).split())
             if text:
                 linked = sum(len("".join(p.split())) for p, inside in parts if inside)
-                _, furniture, article = open_tags[-1] if open_tags else ("", False, 0)
-                found.append(Block(text, linked / max(1, len(text.replace(" ", ""))), furniture, article, heading,
+                _, furniture, article = open_tags[-1] if open_tags else ("", 0, 0)
+                found.append(Block(text, linked / max(1, len(text.replace(" ", ""))), furniture > 0, article, heading,
                                    any(t in DATA for t, *_ in open_tags)))
             parts.clear()
 
@@ -137,10 +147,10 @@ def blocks(page: str) -> list[Block]:
                 links = max(0, links - 1) if m["end"] else 1
             if tag not in BLOCKS:
                 if not m["end"] and tag not in VOID and not m["attrs"].rstrip().endswith("/"):
-                    own = open_tags[-1] if open_tags else ("", False, 0)
-                    if not own[1] and _furniture(tag, m["attrs"], own[2] > 0):  # an inline element that is furniture is cut off
+                    own = open_tags[-1] if open_tags else ("", 0, 0)
+                    if not own[1] and (kind := _furniture(tag, m["attrs"], own[2] > 0)):  # an inline element that is furniture is cut off
                         flush()
-                        open_tags.append((tag, True, own[2]))
+                        open_tags.append((tag, kind, own[2]))
                 elif m["end"] and open_tags and open_tags[-1][0] == tag:
                     flush()
                     open_tags.pop()
@@ -159,12 +169,19 @@ def blocks(page: str) -> list[Block]:
             # an open paragraph ends where the next block starts; a list entry ends at the next one
             while open_tags and (open_tags[-1][0] == "p" or open_tags[-1][0] == tag and tag in ("li", "dt", "dd", "option", "tr", "td", "th")):
                 open_tags.pop()
-            _, furniture, article = open_tags[-1] if open_tags else ("", False, 0)
-            if tag in ARTICLE and not article and not furniture:
+            _, furniture, article = open_tags[-1] if open_tags else ("", 0, 0)
+            if tag in ARTICLE and (furniture == HINTED or not article and not furniture):
                 articles += 1
                 article = articles
-            open_tags.append((tag, furniture or _furniture(tag, m["attrs"], article > 0), article))
+                if furniture and tag != "main":
+                    doubtful.add(article)
+                furniture = 0
+            if furniture != CERTAIN:
+                furniture = max(furniture, _furniture(tag, m["attrs"], article > 0))
+            open_tags.append((tag, furniture, article))
     flush()
+    if doubtful and any(b.article and b.article not in doubtful and not b.furniture and _length(b.text) >= LENGTH for b in found):
+        found = [b._replace(furniture=True) if b.article in doubtful else b for b in found]
     return found
 
 

@@ -40,3 +40,20 @@ def test_icons_and_formulas():
     assert main_text('<article><p>One <svg><title>x</title><path d="M0 0"/></svg> two <svg /></p><p>3 <svg a="/">y</svg></p></article>') == "One two\n3"
     assert main_text('<article><p>So <math/> <math><semantics><mrow><mi>x</mi><mo>=</mo><mn>2</mn></mrow>'
                      '<annotation encoding="application/x-tex">x=2</annotation></semantics></math> holds.</p><p>End.</p></article>') == "So x=2 holds.\nEnd."
+
+
+def test_wrappers_that_are_no_furniture():
+    text = f"{ENGLISH}\n{ENGLISH}"
+    for attr in ('class="has-sidebar"', 'class="no-sidebar"', 'class="wide no-comments"', 'class="page-with-left-sidebar"', 'id="search-page"',
+                 'class="without-menu"'):
+        assert main_text(page(ENGLISH, ENGLISH, body=f"<div {attr}><article>{{}}</article></div>")) == text
+        assert main_text(page(ENGLISH, ENGLISH, body=f"<div {attr}>{{}}</div>")) == text
+    for attr in ('class="widget"', 'id="overlay"', 'class="search"'):  # a hint alone
+        assert main_text(page(ENGLISH, ENGLISH, body=f"<div {attr}><article>{{}}</article></div>")) == text
+        assert main_text(page(ENGLISH, ENGLISH, body=f"<div {attr}><div><main>{{}}</main></div></div>")) == text
+    for attr in ("hidden", 'style="display: none"'):
+        assert main_text(page(ENGLISH, body=f"<div {attr}><article>{{}}</article></div>")) == ""
+    assert main_text(page(ENGLISH, body='<div class="sidebar no-padding">{}</div>')) == ""
+    # comments and teasers are articles too
+    assert main_text(f'<article><p>{ENGLISH}</p></article><div id="comments"><article><p>{OTHERS[1]}</p></article></div>') == ENGLISH
+    assert main_text(f'<main><p>{ENGLISH}</p><div class="related"><article><p>{OTHERS[1]}</p></article></div></main>') == ENGLISH
