@@ -43,15 +43,16 @@ BASE = [
     Rule("access", r"AKIA[A-Z0-9]+", False, 0, 18),
     Rule("hex", r"[0-9a-f]+", False, 0, 16),
 ]
-#: Further public token formats.
+_KEY = r"(?:[A-Z]+ ){0,3}PRIVATE KEY-----"
+#: Further public token formats.  A key goes to its END line whatever it holds but the BEGIN line of another key.
 MORE = [
-    Rule("private_key", r"-----BEGIN (?:[A-Z]+ ){0,3}PRIVATE KEY-----(?:[^-]*-----END (?:[A-Z]+ ){0,3}PRIVATE KEY-----)?"),
+    Rule("private_key", f"-----BEGIN {_KEY}(?:(?:[^-]+|-(?!----(?:BEGIN|END) {_KEY}))*+-----END {_KEY})?"),
     Rule("git_token", r"gh[pousr]_[A-Za-z0-9]+", False, 0, 40),
     Rule("chat_token", r"xox[abprs]-[A-Za-z0-9-]+", False, 0, 20),
     Rule("cloud_key", r"AIza[A-Za-z0-9_-]+", False, 0, 39),
     Rule("pay_key", r"[sr]k_(?:live|test)_[A-Za-z0-9]+", False, 0, 24),
     Rule("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
-    Rule("url_login", r"://[^\s/:@]{1,64}:[^\s/:@]{3,64}@"),
+    Rule("url_login", r"://[^\s/:@]+:[^\s/:@]{3,}@"),
 ]
 RULES = BASE + MORE
 REDACTED = "[REDACTED]"
