@@ -23,7 +23,7 @@ from ..operators.affinity import video_affinity
 from ..operators.label import any_log_labels, launch_labels
 from ..operators.recurrence import flagged_users
 from ..operators.spine import duplicate_users, register_type_categories, user_spine
-from ..operators.windows import STANDARD_WINDOWS, FeatureWindow, assign_windows, in_span, window
+from ..operators.windows import STANDARD_WINDOWS, FeatureWindow, assign_windows, day_span, in_span, window
 from ..session import checkpoint_path
 from ..sources.logs import fixture_logs, read_tsv_logs, write_tsv_logs
 from ..sources.sinks import (profile, read_feature_csv, read_feature_table, read_importances, read_scores,
@@ -277,9 +277,11 @@ def feature_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def weekly_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Eight windows a week apart, over more days than one 64-bit bitmap holds."""
+    """Eight windows a week apart, over more days than one 64-bit bitmap holds; the logs hold all of
+    them (65 feature days, 72 with the last label days)."""
     weekly = [FeatureWindow(k + 1, 1 + 7 * k, 16 + 7 * k, True) for k in range(8)]
-    return rounded(feature_table(_logs(spark, sf_dir), weekly))
+    days = day_span(weekly, with_label_days=True)[1]
+    return rounded(feature_table(fixture_logs(spark, sf_dir, days), weekly))
 
 
 def tsv_feature_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:

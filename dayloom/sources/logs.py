@@ -84,7 +84,8 @@ def write_parquet_logs(logs: Logs, root: str, mode: str = "overwrite") -> None:
 #                (click 0, error 1, purchase 2, signup 3, anything else 4),
 #                video_id = props.k, author_id = video_id % 50,
 #                action_type = video_id % 6
-#   all logs  <- the 30 days from FIRST_DAY on; day = days since then, from 1
+#   all logs  <- the first days from FIRST_DAY on, 30 unless a query wants more;
+#                day = days since then, from 1
 
 PAGE_OF_EVENT = {"click": 0, "error": 1, "purchase": 2, "signup": 3}
 OTHER_PAGE = 4
@@ -95,10 +96,10 @@ def _day_of(ts: Column) -> Column:
     return (F.datediff(ts, F.lit(FIRST_DAY).cast("date")) + 1).cast("int")
 
 
-def month(events: DataFrame) -> DataFrame:
-    """Events of the logs' days; a plain range on ``ts``, which reaches the scan."""
+def month(events: DataFrame, days: int = N_DAYS) -> DataFrame:
+    """Events of the logs' days, 1 to ``days``; a plain range on ``ts``, which reaches the scan."""
     kind = events.schema["ts"].dataType
-    end = F.date_add(F.lit(FIRST_DAY).cast("date"), N_DAYS)
+    end = F.date_add(F.lit(FIRST_DAY).cast("date"), days)
     return events.where((F.col("ts") >= F.lit(FIRST_DAY).cast(kind)) & (F.col("ts") < end.cast(kind)))
 
 
@@ -144,14 +145,14 @@ def fixture_activity(events: DataFrame) -> DataFrame:
                     (F.col("video_id") % 6).cast("int").alias("action_type")))
 
 
-def fixture_logs(spark: SparkSession, sf_dir: str) -> Logs:
+def fixture_logs(spark: SparkSession, sf_dir: str, days: int = N_DAYS) -> Logs:
     customer = spark.read.parquet(os.path.join(sf_dir, "customer.parquet"))
     events = spark.read.parquet(os.path.join(sf_dir, "events.parquet"))
     return Logs(
         register=fixture_register(customer),
-        launch=fixture_launch(month(events)),
-        create=fixture_create(month(events)),
-        activity=fixture_activity(month(events)),
+        launch=fixture_launch(month(events, days)),
+        create=fixture_create(month(events, days)),
+        activity=fixture_activity(month(events, days)),
     )
 
 
