@@ -17,7 +17,9 @@ Scale: one pass measures the documents; what is written for reuse is one narrow
 row per document.  Sums go source block by source block, combined
 map-side, so a source with a third of all rows is 4096 keys.  Windows run over one source's
 blocks (at most `BLOCKS` rows an epoch) and over the one block that the target cuts.
-The driver sees totals by source only: sources are catalogue entries, at most `MAX_SOURCES`.
+Up to `MAX_SOURCES` sources the driver plans with one row per source.  Beyond (host names, say) it sees sums
+by weight, which give the same targets, and draws by group of sources: the tree splits the draws of `GROUPS`
+groups, then a task for each group splits what every shard got among its sources, by the same samples.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from __future__ import annotations
 import math
 import random
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import pick, written
@@ -36,6 +39,7 @@ SHARDS = 64
 PIECES = 16
 SEED = 42
 MAX_SOURCES = 100_000
+GROUPS = 4096
 #: Rows of the tables by source, shard or block up to which they are broadcast (under 200 bytes each).
 BROADCAST_ROWS = 500_000
 
@@ -95,17 +99,89 @@ def split_quotas(quotas: list[int], shards: int, seed: int) -> list[list[int]]:
     if shards == 1:
         return [quotas]
     half = shards // 2
-    rng = random.Random(f"{seed}/{shards}")
-    total = sum(quotas)
-    room = total * half // shards
-    left, rest = [], total
+    left, right = _halves(quotas, sum(quotas) * half // shards, f"{seed}/{shards}")
+    return split_quotas(left, half, seed * 2 + 1) + split_quotas(right, shards - half, seed * 2 + 2)
+
+
+def split_within(quotas: list[int], totals: list[int], seed: int) -> list[list[int]]:
+    """The same where the draws of each shard, which sum up to those of the quotas, are given."""
+    if len(totals) == 1:
+        return [quotas]
+    half = len(totals) // 2
+    left, right = _halves(quotas, sum(totals[:half]), f"{seed}/{len(totals)}")
+    return split_within(left, totals[:half], seed * 2 + 1) + split_within(right, totals[half:], seed * 2 + 2)
+
+
+def _halves(quotas: list[int], room: int, seed: str) -> tuple[list[int], list[int]]:
+    """`room` of all draws go left, by source; the others go right."""
+    rng = random.Random(seed)
+    left, rest = [], sum(quotas)
     for quota in quotas:  # a multivariate sample is a chain of conditional ones
         taken = hypergeometric(rng, quota, rest - quota, room)
         left.append(taken)
         rest -= quota
         room -= taken
-    right = [q - t for q, t in zip(quotas, left)]
-    return split_quotas(left, half, seed * 2 + 1) + split_quotas(right, shards - half, seed * 2 + 2)
+    return left, [q - t for q, t in zip(quotas, left)]
+
+
+def _many_goals(totals: DataFrame, weights: tuple[float, ...], cap: float) -> DataFrame:
+    """The goals of any number of sources: their order by range, their shares by sums for each weight."""
+    first = [F.col("_source") == "", F.col("_source")]
+    placed = written(totals.orderBy(*first).withColumn("part", F.spark_partition_id()), "mix-sources")
+    offsets, n = [], 0
+    for r in sorted(placed.groupBy("part").count().collect()):
+        offsets.append((r["part"], n))
+        n += r["count"]
+    offsets = F.broadcast(placed.sparkSession.createDataFrame(offsets, "part int, offset long"))
+    place = F.col("offset") + F.row_number().over(Window.partitionBy("part").orderBy(*first)) - 1
+    weighed = placed.join(offsets, "part").withColumn(
+        "weight", F.element_at(F.array(*(F.lit(float(w)) for w in weights)), (place % len(weights) + 1).cast("int")))
+    weighed = written(weighed.select("_source", "words", "blocks", "weight"), "mix-weights")
+
+    def over(share: float) -> Column:
+        return F.col("weight") * F.lit(share) > F.col("words") * F.lit(cap)
+
+    def sums(rows: DataFrame) -> dict[float, tuple[int, int]]:
+        return {r["weight"]: (r["n"], r["words"]) for r in rows.groupBy("weight").agg(F.count(F.lit(1)).alias("n"), F.sum("words").alias("words")).collect()}
+
+    every = sums(weighed)
+    total = sum(words for _, words in every.values())
+    capped: dict[float, tuple[int, int]] = {}
+    limit = 0.0  # the share above which sources are capped; shares only grow
+    while True:
+        free = sum(w * (n - capped.get(w, (0, 0))[0]) for w, (n, _) in every.items())
+        share = (total - cap * sum(words for _, words in capped.values())) / free if free else 0.0
+        more = sums(weighed.where(over(share))) if share > limit else {}
+        if sum(n for n, _ in more.values()) <= sum(n for n, _ in capped.values()):
+            break
+        capped, limit = more, share
+    most = F.col("words") * F.lit(cap)
+    return (weighed.withColumn("target", F.when(over(limit), most.cast("double")).otherwise(F.col("weight") * F.lit(share)))
+            .withColumn("wanted", F.least(most, F.floor(F.col("target") + 0.5)).cast("long"))
+            .selectExpr("_source", "words as source_size", "target", "if(words > 0, wanted div words, 0L) as whole",
+                        "if(words > 0, wanted % words, 0L) as rest", "blocks"))
+
+
+def _many_ranges(drawn: DataFrame, shards: int, seed: int) -> DataFrame:
+    """For each source and shard the places of its draws, low..high - 1, with one row a group at the driver."""
+    group = F.pmod(F.xxhash64(F.lit(seed), F.col("_source")), F.lit(GROUPS)).cast("int")
+    counts = written(drawn.groupBy("_source").agg(F.count(F.lit(1)).alias("n")).withColumn("_grp", group), "mix-counts")
+    groups = sorted((r["_grp"], r["n"]) for r in counts.groupBy("_grp").agg(F.sum("n").alias("n")).collect())
+    split = split_quotas([n for _, n in groups], shards, seed)
+    totals = drawn.sparkSession.createDataFrame([(g, [row[i] for row in split]) for i, (g, _) in enumerate(groups)], "_grp int, totals array<long>")
+
+    def ranges(own: pa.Table, total: pa.Table) -> pa.Table:
+        rows = sorted(zip(own.column("_source").to_pylist(), own.column("n").to_pylist()), key=lambda r: r[0].encode("utf-8", "surrogatepass"))
+        found, first = [], [0] * len(rows)
+        leaves = split_within([n for _, n in rows], total.column("totals")[0].as_py(), (seed << 32) + total.column("_grp")[0].as_py() + 1) if rows else []
+        for shard, row in enumerate(leaves):
+            found += [(name, shard, a, a + n) for (name, _), a, n in zip(rows, first, row) if n]
+            first = [a + n for a, n in zip(first, row)]
+        columns = list(zip(*found)) or [()] * 4
+        types = [pa.string(), pa.int32(), pa.int64(), pa.int64()]
+        return pa.table([pa.array(c, t) for c, t in zip(columns, types)], names=["_source", "shard", "low", "high"])
+
+    return counts.groupBy("_grp").cogroup(totals.groupBy("_grp")).applyInArrow(ranges, "_source string, shard int, low long, high long")
 
 
 def _block(key: str, seed: int) -> Column:
@@ -119,6 +195,33 @@ def _measured(docs: DataFrame, key: str, text: str, source: str, seed: int) -> D
             .withColumn("_block", _block(key, seed)))
 
 
+def _plan(totals: list, weights: tuple[float, ...], cap: float) -> list[tuple] | None:
+    """The goals of the sources, or None if they are too many."""
+    if len(totals) > MAX_SOURCES:
+        return None
+    # "=..." in UTF-8 byte order is code point order; the null source, "", comes last
+    totals.sort(key=lambda r: (r["_source"] == "", r["_source"].encode("utf-8", "surrogatepass")))
+    sizes = [r["words"] for r in totals]
+    wanted = targets(sizes, [weights[i % len(weights)] for i in range(len(sizes))], cap)
+    plan = []
+    for r, size, target in zip(totals, sizes, wanted):
+        words = min(cap * size, math.floor(target + 0.5))
+        whole, rest = divmod(words, size) if size else (0, 0)
+        plan.append((r["_source"], size, target, whole, rest, r["blocks"]))
+    return plan
+
+
+def _ranges(drawn: DataFrame, plan: list[tuple], shards: int, seed: int) -> tuple[DataFrame, int]:
+    """For each source and shard the places of its draws, low..high - 1; and the number of all draws."""
+    counts = {r["_source"]: r["n"] for r in drawn.groupBy("_source").agg(F.count(F.lit(1)).alias("n")).collect()}
+    leaves, first = [], [0] * len(plan)
+    for shard, row in enumerate(split_quotas([counts.get(p[0], 0) for p in plan], shards, seed)):
+        leaves += [(p[0], shard, a, a + n) for p, a, n in zip(plan, first, row) if n]
+        first = [a + n for a, n in zip(first, row)]
+    ranges = drawn.sparkSession.createDataFrame(leaves, "_source string, shard int, low long, high long")
+    return F.broadcast(ranges) if len(leaves) <= BROADCAST_ROWS else ranges, sum(counts.values())
+
+
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: int = CAP, shards: int = SHARDS, seed: int = SEED,
         key: str = "doc_id", text: str = "text", source: str = "source", carry: tuple[str, ...] = ()) -> DataFrame:
     """One row per row of `docs`: key, `carry`, size, source_size, target, taken, draws.
@@ -144,22 +247,14 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: int = CAP, s
     blocks = narrow.groupBy("_source", "_block").agg(F.sum("size").alias("words"))
     totals = (blocks.where("words > 0").groupBy("_source").agg(F.sum("words").alias("words"), F.count(F.lit(1)).alias("blocks"))
               .unionByName(narrow.select("_source").distinct().select("_source", F.lit(0).alias("words"), F.lit(0).alias("blocks")))
-              .groupBy("_source").agg(F.sum("words").alias("words"), F.sum("blocks").alias("blocks"))
-              .limit(MAX_SOURCES + 1).collect())
-    if len(totals) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources; weights are given source by source")
-    # "=..." in UTF-8 byte order is code point order; the null source, "", comes last
-    totals.sort(key=lambda r: (r["_source"] == "", r["_source"].encode("utf-8", "surrogatepass")))
-    sizes = [r["words"] for r in totals]
-    wanted = targets(sizes, [weights[i % len(weights)] for i in range(len(sizes))], cap)
-    plan = []
-    for r, size, target in zip(totals, sizes, wanted):
-        words = min(cap * size, math.floor(target + 0.5))
-        whole, rest = divmod(words, size) if size else (0, 0)
-        plan.append((r["_source"], size, target, whole, rest, r["blocks"]))
-    goals = spark.createDataFrame(plan, "_source string, source_size long, target double, whole long, rest long, blocks long")
-    if len(plan) <= BROADCAST_ROWS:
-        goals = F.broadcast(goals)
+              .groupBy("_source").agg(F.sum("words").alias("words"), F.sum("blocks").alias("blocks")))
+    plan = _plan(totals.limit(MAX_SOURCES + 1).collect(), weights, cap)
+    if plan is None:
+        goals = written(_many_goals(totals, weights, cap), "mix-goals")
+    else:
+        goals = spark.createDataFrame(plan, "_source string, source_size long, target double, whole long, rest long, blocks long")
+        if len(plan) <= BROADCAST_ROWS:
+            goals = F.broadcast(goals)
 
     # every draw of a block: whole epochs, then the first blocks of one more permutation
     order = Window.partitionBy("_source", "epoch").orderBy(
@@ -174,18 +269,17 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: int = CAP, s
              .withColumn("draw", F.expr("epoch * blocks + place")))
     drawn = written(drawn.select("_source", "_block", "epoch", "draw", "cut"), "mix-draws")
 
-    counts = {r["_source"]: r["n"] for r in drawn.groupBy("_source").agg(F.count(F.lit(1)).alias("n")).collect()}
-    leaves, first = [], [0] * len(plan)
-    for shard, row in enumerate(split_quotas([counts.get(p[0], 0) for p in plan], shards, seed)):
-        leaves += [(p[0], shard, a, a + n) for p, a, n in zip(plan, first, row) if n]
-        first = [a + n for a, n in zip(first, row)]
-    ranges = spark.createDataFrame(leaves, "_source string, shard int, low long, high long")
-    if len(leaves) <= BROADCAST_ROWS:
-        ranges = F.broadcast(ranges)
+    if plan is None:
+        ranges = written(_many_ranges(drawn, shards, seed), "mix-ranges")
+    else:
+        ranges, draws = _ranges(drawn, plan, shards, seed)
     by_block = (drawn.join(ranges, "_source").where("low <= draw and draw < high")
                 .groupBy("_source", "_block")
                 .agg(F.sort_array(F.collect_list(F.struct("epoch", "shard", "cut"))).alias("takes"), F.max("cut").alias("cut")))
-    if sum(counts.values()) <= BROADCAST_ROWS:  # one row for each block, so texts that are carried stay where they are
+    sizes = goals.select("_source", "source_size", "target")
+    if plan is None:  # with what is asked of its source in each block's row, a source with many rows meets no single key
+        by_block = blocks.select("_source", "_block").join(sizes, "_source").join(by_block, ["_source", "_block"], "left")
+    elif draws <= BROADCAST_ROWS:  # one row for each block, so texts that are carried stay where they are
         by_block = F.broadcast(by_block)
 
     rows = (measured.select(key, *[c for c in carry if c != key], "_source", "_block", "size") if carry else narrow)
@@ -197,10 +291,10 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: int = CAP, s
            .withColumn("left", F.expr("greatest(0L, least(size, left))")))
     plain = rows.where("cut is null").withColumn("left", F.lit(0).cast("long"))
     take = "transform(takes, t -> struct(t.epoch as epoch, t.shard as shard, if(t.cut is null, size, left) as words))"
-    return (plain.unionByName(cut)
+    rows = (plain.unionByName(cut)
             .withColumn("draws", F.expr(f"filter(coalesce({take}, array()), t -> t.words > 0)"))
-            .withColumn("taken", F.expr("aggregate(draws, 0L, (n, t) -> n + t.words)"))
-            .join(goals.select("_source", "source_size", "target"), "_source", "left")
+            .withColumn("taken", F.expr("aggregate(draws, 0L, (n, t) -> n + t.words)")))
+    return ((rows if plan is None else rows.join(sizes, "_source", "left"))
             .select(key, *[c for c in carry if c != key], "size", "source_size", "target", "taken", "draws"))
 
 
