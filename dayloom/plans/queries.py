@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -354,9 +355,10 @@ def gbt_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gbt_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scores of window 3 by the tuned model, through their sink."""
+    """Scores of window 3, through their sink, by a fit of the tuned number of rounds on both labelled windows."""
     from . import model as m
-    table, model = _tuned(spark, sf_dir)
+    table, tuned = _tuned(spark, sf_dir)
+    model = m.fit(table, [1, 2], replace(m.TUNING, max_iter=tuned.gbt.getNumTrees))
     path = checkpoint_path(spark, f"scores_{uuid.uuid4().hex}")
     write_scores(m.score(model, table, 3), path)
     return read_scores(spark, path)
