@@ -110,7 +110,34 @@ SELECT doc_id, coalesce(len(w), 0) AS n_words, coalesce(n_hit, 0) AS n_hit, coal
 FROM d LEFT JOIN c USING (doc_id) LEFT JOIN t USING (doc_id)
 """
 
+#: The CRC-32 runs over a list of the id's bytes, each followed by eight bit steps (-1).
+OP11 = r"""
+WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) - 1 AS pos
+           FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, conv_id - conv_id % 5 AS base,
+             xor(list_reduce(flatten([[ascii(x), -1, -1, -1, -1, -1, -1, -1, -1] FOR x IN string_split(conv_id::VARCHAR, '')]),
+                             lambda a, x: CASE WHEN x >= 0 THEN xor(a, x::BIGINT) WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, 4294967295::BIGINT),
+                 4294967295::BIGINT) % 9 AS h
+      FROM (SELECT DISTINCT conv_id FROM t)),
+r AS (SELECT c.conv_id, t.pos, t.role, t.text FROM c JOIN t ON t.conv_id = c.base AND t.pos < c.h
+      UNION ALL SELECT c.conv_id, t.pos, t.role, t.text FROM c JOIN t ON t.conv_id = c.conv_id AND t.pos >= c.h),
+s AS (SELECT c.conv_id, coalesce(list({'role': r.role, 'text': r.text} ORDER BY r.pos) FILTER (r.pos IS NOT NULL), []) AS said
+      FROM c LEFT JOIN r USING (conv_id) GROUP BY c.conv_id),
+p AS (SELECT conv_id, said, unnest(range(0, len(said) + 1)) AS d FROM s),
+n AS (SELECT said[1:d] AS path, d AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+             sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(said) = d), '')) AS ends_sha256
+      FROM p GROUP BY ALL),
+k AS (SELECT path[1:depth - 1] AS path, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY ALL),
+f AS (SELECT n.*, coalesce(n_children, 0) AS n_children, CASE WHEN depth > 0 THEN (n_convs - 1) * strlen(n.path[depth].text) ELSE 0 END AS own
+      FROM n LEFT JOIN k ON k.path = n.path),
+u AS (SELECT path[1:i] AS path, count(*) FILTER (n_children = 0) AS n_leaves, sum(own) AS saved_tokens
+      FROM (SELECT path, n_children, own, unnest(range(0, depth + 1)) AS i FROM f) GROUP BY ALL)
+SELECT f.conv_id, f.depth, b.conv_id AS parent_conv_id, f.n_convs, f.n_children, u.n_leaves, u.saved_tokens::BIGINT AS saved_tokens, f.ends_sha256
+FROM f JOIN u ON u.path = f.path LEFT JOIN n b ON f.depth > 0 AND b.path = f.path[1:f.depth - 1]
+"""
+
 SQL = {
+    "op11_conversation_trie": OP11,
     "op4_decontaminate": OP4,
     "op2_quality_rules": OP2,
     "op6_secret_scan": _secrets_sql(),

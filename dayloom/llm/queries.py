@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate as dc, html_text as ht, mixing as mx, quality_rules as qr, secret_scan as ss, simhash as sh, suffix_dedup as sd
-from . import token_count as tc, url_filter as uf, weak_label as wl
+from . import conversation_trie as ct, decontaminate as dc, html_text as ht, mixing as mx, quality_rules as qr, secret_scan as ss, simhash as sh, suffix_dedup as sd
+from . import token_align as ta, token_count as tc, url_filter as uf, weak_label as wl, word_table as wt
 from .common import table
 
 
@@ -60,7 +60,21 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sd.remove_repeats(table(spark, sf_dir, "documents"), with_kept=False)
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ct.prefix_trie(table(spark, sf_dir, "conversations"), openings=True)
+
+
+def op12_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    return wt.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    return ta.aligned_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_quality_rules, op3_quality_classifier, op4_decontaminate, op5_simhash, op6_secret_scan, op7_html_text,
-    op8_mixing, op9_url_filter, op10_suffix_dedup,
+    op8_mixing, op9_url_filter, op10_suffix_dedup, op11_conversation_trie, op12_bpe_round_trip, op13_token_alignment,
 )}
