@@ -1,7 +1,6 @@
 """The conversation trie against a brute-force one."""
 
 import hashlib
-import math
 import random
 import zlib
 from collections import defaultdict
@@ -29,7 +28,7 @@ def rebuilt(rows):
     own, out = ordered(rows), {}
     for c, said in own.items():
         h = zlib.crc32(str(c).encode()) % 9
-        out[c] = own.get(c - int(math.fmod(c, 5)), [])[:h] + said[h:]
+        out[c] = own.get(c - abs(c) % 5 * (1 if c > 0 else -1), [])[:h] + said[h:]
     return out
 
 
