@@ -8,8 +8,9 @@ a later one -- never a random split.
 
 ``device_type`` is a code, not a quantity, and may have any number of values:
 it is replaced by its smoothed mean label on the training windows (a small
-table joined to the rows, global mean for codes unseen there), the ordering by
-which a boosted tree would sort a categorical split's values.  ``maxBins`` stays fixed, so
+table joined to the rows, overall mean for codes unseen there), the ordering by
+which a boosted tree would sort a categorical split's values; training rows get the mean of other folds than
+their own (`codes.py`).  ``maxBins`` stays fixed, so
 node statistics do not grow with the number of codes.
 """
 
@@ -28,12 +29,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_path
+from .codes import CodeMeans, code_means, with_code_means
 from .features import feature_names
 
 CATEGORICAL = "device_type"
 MAX_BINS = 64
-#: Rows of the overall mean that a code's mean is smoothed with.
-SMOOTHING = 10.0
 FEATURES = "features"
 
 
@@ -61,27 +61,20 @@ FINAL = GBTConfig(max_iter=1200, step_size=0.01, max_depth=7, min_info_gain=0.01
 class Model:
     """A fitted learner with what turns table rows into its input."""
     gbt: GBTClassificationModel
-    codes: DataFrame        # device_type, code_mean
-    overall: float          # for codes not among them
+    means: CodeMeans
     features: tuple[str, ...]
 
-    def vectors(self, table: DataFrame) -> DataFrame:
-        return _vectors(table, self.codes, self.overall, self.features)
-
+    @property
+    def overall(self) -> float:
+        return self.means.overall
 
-def _code_means(rows: DataFrame) -> tuple[DataFrame, float]:
-    """Smoothed mean label of each code, and of all rows."""
-    total = rows.agg(F.avg(F.col("label").cast("double"))).first()[0] or 0.0
-    y = F.col("label").cast("double")
-    codes = rows.groupBy(CATEGORICAL).agg(
-        ((F.sum(y) + SMOOTHING * total) / (F.count("*") + SMOOTHING)).alias("code_mean"))
-    return codes, float(total)
+    def vectors(self, table: DataFrame) -> DataFrame:
+        return _vectors(table, self.means, self.features)
 
 
-def _vectors(table: DataFrame, codes: DataFrame, overall: float, features: Sequence[str]) -> DataFrame:
+def _vectors(table: DataFrame, means: CodeMeans, features: Sequence[str], trained_on: bool = False) -> DataFrame:
     inputs = ["code_mean" if f == CATEGORICAL else f for f in features]
-    rows = (table.join(codes, CATEGORICAL, "left")
-            .withColumn("code_mean", F.coalesce("code_mean", F.lit(overall))))
+    rows = with_code_means(table, means, F.lit(True) if trained_on else None)
     rows = VectorAssembler(inputCols=inputs, outputCol=FEATURES, handleInvalid="keep").transform(rows)
     label = F.col("label").cast("double") if "label" in table.columns else F.lit(None).cast("double")
     return rows.select("window_id", "user_id", label.alias("label"), FEATURES)
@@ -98,15 +91,14 @@ def _learner(cfg: GBTConfig, rounds: int) -> GBTClassifier:
 def _training(table: DataFrame, windows: Sequence[int]):
     features = tuple(feature_names(table))
     rows = table.where(F.col("window_id").isin(list(windows)))
-    codes, overall = _code_means(rows)
-    codes = codes.checkpoint()
-    return features, codes, overall, _vectors(rows, codes, overall, features).checkpoint()
+    means = code_means(rows, CATEGORICAL)
+    return features, means, _vectors(rows, means, features, trained_on=True).checkpoint()
 
 
 def fit(table: DataFrame, train_windows: Sequence[int], cfg: GBTConfig) -> Model:
     """Fit on ``train_windows`` with the whole budget."""
-    features, codes, overall, data = _training(table, train_windows)
-    return Model(_learner(cfg, cfg.max_iter).fit(data), codes, overall, features)
+    features, means, data = _training(table, train_windows)
+    return Model(_learner(cfg, cfg.max_iter).fit(data), means, features)
 
 
 def best_round(losses: Sequence[float]) -> int:
@@ -121,14 +113,14 @@ def fit_with_patience(table: DataFrame, train_windows: Sequence[int], valid_wind
     the best round lies ``cfg.patience`` rounds back (or ``cfg.max_iter`` is reached);
     the model is the fit of that many rounds.
     """
-    features, codes, overall, data = _training(table, train_windows)
-    valid = _vectors(table.where(F.col("window_id") == valid_window), codes, overall, features).checkpoint()
+    features, means, data = _training(table, train_windows)
+    valid = _vectors(table.where(F.col("window_id") == valid_window), means, features).checkpoint()
     rounds = min(cfg.max_iter, (cfg.patience or cfg.max_iter) + 50)
     while True:
         gbt = _learner(cfg, rounds).fit(data)
         best = best_round(gbt.evaluateEachIteration(valid))
         if rounds >= cfg.max_iter or rounds - best >= cfg.patience:
-            return Model(gbt if best == rounds else _learner(cfg, best).fit(data), codes, overall, features)
+            return Model(gbt if best == rounds else _learner(cfg, best).fit(data), means, features)
         rounds = min(cfg.max_iter, 2 * rounds)
 
 

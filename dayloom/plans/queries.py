@@ -372,3 +372,75 @@ def importance_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 def score_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One score for every user of window 3, each between 0 and 1."""
     return gbt_scores(spark, sf_dir).select("user_id", F.col("predicted_score").between(0, 1).alias("valid"))
+
+
+# --- boosted trees in blocks ------------------------------------------------------
+
+#: The combinations of the registered search, as changes to the tuning settings.
+SEARCH = {f"depth={d}, step={x}": dict(depth=d, step=x) for d in (3, 5) for x in (0.05, 0.1)}
+_boosted: dict = {}
+
+
+def _boosting(spark: SparkSession, sf_dir: str, name: str):
+    """The stored results of one boosting job; a session runs each once for a folder."""
+    from . import boosting as b
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if _boosted.get("of") != key:
+        _boosted.clear()
+        _boosted["of"] = key
+        _boosted["table"] = _materialized_table(spark, sf_dir)
+    table, folder = _boosted["table"], checkpoint_path(spark, f"boosting_{uuid.uuid4().hex}")
+    if name not in _boosted:
+        if name == "final":
+            data = b.prepared(table, [1, 2])
+            train = data.rows.where("window_id in (1, 2)")
+            fit, base = b.begin(data, train, b.FINAL, folder), b.training_blocks(train, len(data.features))
+            _boosted[name] = data, b.advance(fit, base, b.FINAL.rounds, block=100)
+            base.unpersist()
+        else:
+            data = b.prepared(table, [1])
+            _boosted[name] = data, *b.fit_with_patience(data, 1, [1, 2], b.TUNING, folder)
+    return _boosted[name]
+
+
+def final_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of window 3 by the final model: all its rounds on both labelled windows, through their sink."""
+    from . import boosting as b
+    data, fit = _boosting(spark, sf_dir, "final")
+    path = checkpoint_path(spark, f"scores_{uuid.uuid4().hex}")
+    write_scores(b.scores(fit, data.rows.where("window_id = 3")), path)
+    return read_scores(spark, path)
+
+
+def final_node_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the final model's stored trees are as many as its rounds, and their nodes add up, level by level."""
+    from . import boosting as b
+    data, fit = _boosting(spark, sf_dir, "final")
+    faults = b.node_faults(fit, data.rows.where("window_id in (1, 2)")).groupBy("fault").agg(F.count(F.lit(1)).alias("n"))
+    kinds = spark.createDataFrame([(k,) for k in ("rows", "grad", "hess", "gain", "depth", "least", "children", "value", "root")], "fault string")
+    trees = fit.node_table(spark).agg(F.countDistinct("tree").alias("trees"))
+    return (kinds.join(faults, "fault", "left").select("fault", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+            .unionByName(trees.select(F.lit("missing trees").alias("fault"), (F.lit(b.FINAL.rounds) - F.col("trees")).cast("long").alias("n"))))
+
+
+def final_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Split counts of the final model from its stored nodes, through their sink."""
+    from . import boosting as b
+    _, fit = _boosting(spark, sf_dir, "final")
+    path = checkpoint_path(spark, f"importances_{uuid.uuid4().hex}")
+    write_importances(b.split_counts(fit, spark), path)
+    return read_importances(spark, path)
+
+
+def tuning_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AUC of both labelled windows after every round of the tuning job, which ends on it."""
+    _, _, curve = _boosting(spark, sf_dir, "tuning")
+    return rounded(spark.createDataFrame(curve, "window_id int, round int, auc double"))
+
+
+def parameter_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each combination, fitted side by side on window 1 and halved by the AUC of window 2."""
+    from . import boosting as b
+    data, *_ = _boosting(spark, sf_dir, "tuning")
+    found = b.halving(data, 1, 2, {n: replace(b.TUNING, **x) for n, x in SEARCH.items()}, checkpoint_path(spark, f"search_{uuid.uuid4().hex}"))
+    return rounded(found)

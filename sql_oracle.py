@@ -559,6 +559,11 @@ def score_check_sql() -> str:
     return _with("SELECT CAST(user_id AS BIGINT) AS user_id, TRUE AS valid FROM spine WHERE window_id = 3")
 
 
+def final_node_check_sql() -> str:
+    """No fault of any kind, no tree missing."""
+    return """SELECT unnest(['rows', 'grad', 'hess', 'gain', 'depth', 'least', 'children', 'value', 'root', 'missing trees']) AS fault, 0::BIGINT AS n"""
+
+
 def all_sql() -> dict[str, str]:
     return {
         "register_spine": register_spine_sql(),
@@ -600,4 +605,5 @@ def all_sql() -> dict[str, str]:
         "auc_of_feature": auc_of_feature_sql(),
         "importance_check": importance_check_sql(),
         "score_check": score_check_sql(),
+        "final_node_check": final_node_check_sql(),
     }
