@@ -20,8 +20,10 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
@@ -38,50 +40,40 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
-def align(a: list[int], b: list[int]) -> tuple[list[int], list[int], list[int], list[int]]:
-    """Ends of the groups, as numbers of tokens, in both arrays of end offsets; and the tokens of each link, in order.
+def align(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
+    """Numbers of the tokens of each side that end inside a group, by their end offsets.
 
-    The offsets ascend and the last ones are equal.
+    The offsets ascend and the last ones are equal.  All other tokens end a group, so one-to-one runs leave nothing behind.
     """
-    ends_a, ends_b, links_a, links_b = [], [], [], []
+    inner_a, inner_b = [], []
     i = j = 0
     n = len(a)
     while i < n:
-        run, width = 0, 1
-        while a[i + run:i + run + width] == b[j + run:j + run + width] and i + run < n:
-            run += width
+        width = 1
+        while a[i:i + width] == b[j:j + width] and i < n:
+            i += width
+            j += width
             width *= 2
         while width > 1:
             width //= 2
-            if a[i + run:i + run + width] == b[j + run:j + run + width]:
-                run += width
-        run = min(run, n - i)
-        if run:
-            ends_a += range(i + 1, i + run + 1)
-            ends_b += range(j + 1, j + run + 1)
-            links_a += range(i, i + run)
-            links_b += range(j, j + run)
-            i += run
-            j += run
-            if i >= n:
-                break
+            if a[i:i + width] == b[j:j + width]:
+                i += width
+                j += width
+        if i >= n:
+            break
         x, y = a[i], b[j]
-        links_a.append(i)
-        links_b.append(j)
         while x != y:
             if x < y:
+                inner_a.append(i)
                 i += 1
                 x = a[i]
             else:
+                inner_b.append(j)
                 j += 1
                 y = b[j]
-            links_a.append(i)
-            links_b.append(j)
         i += 1
         j += 1
-        ends_a.append(i)
-        ends_b.append(j)
-    return ends_a, ends_b, links_a, links_b
+    return inner_a, inner_b
 
 
 class Tokenizers:
@@ -103,16 +95,18 @@ class Tokenizers:
                         for i in range(self.piece.get_piece_size()) if (p := self.piece.id_to_piece(i)) is not None]
         self.sizes_a = np.array([len(x) for x in self.bytes_a], np.int64)
         self.sizes_b = np.array([len(x) for x in self.bytes_b], np.int64)
-        self.names = [str(i) for i in range(max(len(self.bytes_a), len(self.bytes_b)))]
+        # an id as it is told: a token of A inside a group and at its end, one of B likewise
+        self.width = max(len(self.bytes_a), len(self.bytes_b))
+        self.names = [f"{i}{mark}" for mark in ",|,;" for i in range(self.width)]
 
-    def tokens(self, texts: list[str | None]) -> list[tuple[list[int], list[int]]]:
+    def tokens(self, texts: list[str | None]) -> list[tuple[np.ndarray, list[int]]]:
         """Ids of each text by both; none where either one's bytes are not a space and the text."""
         told = [i for i, t in enumerate(texts) if t]
-        found: list[tuple[list[int], list[int]]] = [([], [])] * len(texts)
+        found: list[tuple[np.ndarray, list[int]]] = [(np.empty(0, np.uint32), [])] * len(texts)
         for i, own in zip(told, self.piece.encode([texts[i] for i in told], num_threads=1) if told else []):
             spaced = " " + texts[i]
-            raw, other = spaced.encode("utf-8", "replace"), self.byte.encode_ordinary(spaced)
-            if b"".join(map(self.bytes_b.__getitem__, own)) == raw and b"".join(map(self.bytes_a.__getitem__, other)) == raw:
+            raw, other = spaced.encode("utf-8", "replace"), self.byte.encode_to_numpy(spaced, disallowed_special=())
+            if b"".join(map(self.bytes_b.__getitem__, own)) == raw and b"".join(map(self.bytes_a.__getitem__, other.tolist())) == raw:
                 found[i] = other, own
         return found
 
@@ -124,22 +118,27 @@ class Aligned:
         found = with_.tokens(texts)
         self.bounds_a = packed.bounds(np.array([len(a) for a, _ in found]))
         self.bounds_b = packed.bounds(np.array([len(b) for _, b in found]))
-        self.a = np.fromiter((x for a, _ in found for x in a), np.int64, self.bounds_a[-1])
-        self.b = np.fromiter((x for _, b in found for x in b), np.int64, self.bounds_b[-1])
-        ends_a, ends_b, links_a, links_b = align(np.cumsum(with_.sizes_a[self.a]).tolist(), np.cumsum(with_.sizes_b[self.b]).tolist())
-        self.ends_a, self.ends_b = [0, *ends_a], [0, *ends_b]
-        self.link_a, self.link_b = np.array(links_a, np.int64), np.array(links_b, np.int64)
-        # a text's groups and links end where its tokens do
-        self.groups = np.searchsorted(np.array(ends_a, np.int64), self.bounds_a, "right")
-        self.links = np.searchsorted(self.link_a, self.bounds_a, "left")
-
-    def told(self, names: list[str]) -> list[str]:
+        self.a = np.concatenate([a for a, _ in found]).astype(np.int64)
+        self.b = np.fromiter(chain.from_iterable(b for _, b in found), np.int64, self.bounds_b[-1])
+        self.at_a, self.at_b = np.cumsum(with_.sizes_a[self.a]), np.cumsum(with_.sizes_b[self.b])
+        inner_a, inner_b = (np.array(x, np.int64) for x in align(self.at_a.tolist(), self.at_b.tolist()))
+        self.ends_a, self.ends_b = np.ones(len(self.a), bool), np.ones(len(self.b), bool)
+        self.ends_a[inner_a], self.ends_b[inner_b] = False, False
+        # a link ends where a token of either side does; a text's groups and links end where its tokens do
+        at = np.sort(np.concatenate([self.at_a, self.at_b[inner_b]]), kind="stable")
+        self.link_a, self.link_b = np.searchsorted(self.at_a, at), np.searchsorted(self.at_b, at)
+        self.groups = packed.bounds(self.ends_a)[self.bounds_a]
+        self.links = np.searchsorted(self.link_a, self.bounds_a)
+
+    def told(self, with_: Tokenizers) -> list[str]:
         """`a1,a2|b1;a3|b2,b3` for each text."""
-        a, b = list(map(names.__getitem__, self.a.tolist())), list(map(names.__getitem__, self.b.tolist()))
-        parts = [a[i] + "|" + b[j] if e - i == 1 and f - j == 1 else ",".join(a[i:e]) + "|" + ",".join(b[j:f])
-                 for i, e, j, f in zip(self.ends_a, self.ends_a[1:], self.ends_b, self.ends_b[1:])]
-        cuts = self.groups.tolist()
-        return [";".join(parts[x:y]) for x, y in zip(cuts, cuts[1:])]
+        ends_a, ends_b = (np.flatnonzero(e) + 1 for e in (self.ends_a, self.ends_b))
+        before_a, before_b = packed.bounds(self.ends_a)[:-1], packed.bounds(self.ends_b)[:-1]  # groups before a token's own
+        order = np.empty(len(self.a) + len(self.b), np.int64)
+        order[np.arange(len(self.a)) + np.concatenate(([0], ends_b))[before_a]] = self.a + with_.width * self.ends_a
+        order[np.arange(len(self.b)) + ends_a[before_b]] = self.b + with_.width * (2 + self.ends_b)
+        parts, cuts = list(map(with_.names.__getitem__, order.tolist())), (self.bounds_a + self.bounds_b).tolist()
+        return ["".join(parts[x:y])[:-1] for x, y in zip(cuts, cuts[1:])]
 
     def pairs(self) -> np.ndarray:
         return self.a[self.link_a] << 32 | self.b[self.link_b]
@@ -173,7 +172,7 @@ class _Chunk:
             found = Aligned(with_, texts[x:y])
             facts = np.stack([np.diff(z) for z in (found.bounds_a, found.bounds_b, found.groups, found.links)])
             self.facts.append(facts)
-            self.digests += [hashlib.sha256(t.encode()).hexdigest() if t else "" for t in found.told(with_.names)]
+            self.digests += [hashlib.sha256(t.encode()).hexdigest() if t else "" for t in found.told(with_)]
             self.pairs.append(found.pairs())
         self.chars += sum(len(t or "") for t in texts)
 
@@ -181,15 +180,16 @@ class _Chunk:
         """A row of texts, and a row of pairs for each slot; pairs are numbered slot by slot."""
         facts = np.concatenate(self.facts, axis=1)
         links = np.concatenate(self.pairs)
-        kinds, which = np.unique(links, return_inverse=True)
+        which, kinds = pd.factorize(links)  # by hash: there are few kinds among many links
         slot = (kinds.astype(np.uint64) * _MIX >> np.uint64(32)).astype(np.int64) % slots
-        order = np.argsort(slot, kind="stable")
+        order = np.lexsort((kinds, slot))
         number = np.empty(len(kinds), np.int64)
         number[order] = np.arange(len(kinds))
         kinds, slot = kinds[order], slot[order]
-        doc = np.repeat(np.arange(facts.shape[1]), facts[3])
-        held, times = np.unique(doc * max(1, len(kinds)) + number[which], return_counts=True)
-        doc, held = np.divmod(held, max(1, len(kinds)))
+        width = max(1, len(kinds))
+        at, held = pd.factorize(np.repeat(np.arange(facts.shape[1]), facts[3]) * width + number[which])
+        times, order = np.bincount(at, minlength=len(held)), np.argsort(held)
+        times, (doc, held) = times[order], np.divmod(held[order], width)
         docs_with = np.bincount(held, minlength=len(kinds))
         sizes = np.bincount(doc, minlength=facts.shape[1])
         gaps = np.diff(held, prepend=0)
@@ -252,7 +252,7 @@ def alignments(docs: DataFrame, byte_vocabulary: str, piece_model: str, key: str
                 found = Aligned(with_, texts[x:y])
                 ids = [pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(flat, pa.int32()))
                        for cuts, flat in ((found.bounds_a, found.a), (found.bounds_b, found.b))]
-                yield pa.RecordBatch.from_arrays([b.column(key).slice(x, y - x), *ids, pa.array(found.told(with_.names))], schema=schema)
+                yield pa.RecordBatch.from_arrays([b.column(key).slice(x, y - x), *ids, pa.array(found.told(with_))], schema=schema)
 
     return rows.mapInArrow(run, _spark(schema))
 
