@@ -6,8 +6,9 @@ Words go to slots by hash; in a slot the same word of all chunks meets, is encod
 vocabulary's library, and its ids go back to the chunks that asked.  There the ids
 are joined to their pieces, word by word, and texts get ids and pieces by position.
 
-Scale: what is shuffled are distinct words of chunks, their ids, and packed word numbers (about half the
-size of the compressed texts); texts stay where they are read.  A word in every text is one row for each chunk.
+Scale: what is shuffled are distinct words of chunks and their ids.  Chunks are written bucketed by their number, so the packed word
+numbers (about half the size of the compressed texts) stay where they are and ids come to them; texts are read once.
+A word in every text is one row for each chunk.
 Chunks and slots have a fixed size, so there are more of them, not larger ones, when the input grows.
 The id-to-piece table is as large as the vocabulary and travels with the tasks.
 """
@@ -16,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,10 +30,10 @@ from pyspark.sql.pandas.types import from_arrow_type, to_arrow_type
 from pyspark.sql.types import StructField, StructType
 
 from . import packed
-from .common import pick, small_batches, written
+from .common import pick, shared_dir, small_batches
 
 #: Characters of the texts in a chunk; bytes of input for each slot of the word table.
-CHUNK_CHARS, SLOT_BYTES = 16 << 20, 16 << 20
+CHUNK_CHARS, SLOT_BYTES = 8 << 20, 16 << 20
 
 #: Fixed value: the white space of the vocabularies' patterns.  Python's own also has U+001C to U+001F.
 WHITE = regex.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
@@ -81,17 +83,20 @@ class _Chunk:
 
     def rows(self, chunk: int, slots: int) -> list[dict]:
         """A row of texts, and a row of words for each slot; words are numbered anew, slot by slot."""
-        slot_of = {w: xxhash.xxh64_intdigest(w.encode("utf-8", "replace")) % slots for w in self.number}
-        order = sorted(self.number, key=lambda w: (slot_of[w], w))
+        by_slot: dict[int, list[str]] = {}
+        for w in self.number:
+            by_slot.setdefault(xxhash.xxh64_intdigest(w.encode("utf-8", "replace")) % slots, []).append(w)
+        by_slot = {slot: sorted(by_slot[slot]) for slot in sorted(by_slot)}
+        order = [w for words in by_slot.values() for w in words]
         new = np.empty(len(order), np.int32)
-        new[np.fromiter((self.number[w] for w in order), np.int64, len(order))] = np.arange(len(order), dtype=np.int32)
+        new[np.fromiter(map(self.number.__getitem__, order), np.int64, len(order))] = np.arange(len(order), dtype=np.int32)
         flat = new[np.concatenate(self.positions)] if order else np.empty(0, np.int32)
         out = [{"chunk": chunk, "keys": pa.concat_arrays(self.keys), "sizes": packed.pack(np.array([len(p) for p in self.positions], np.int32)),
                 "positions": packed.pack(flat)}]
-        of = np.fromiter((slot_of[w] for w in order), np.int64, len(order))
-        cuts = np.flatnonzero(np.diff(of, prepend=-1)) if len(of) else []
-        for a, b in zip(cuts, np.append(cuts[1:], len(order)) if len(of) else []):
-            out.append({"chunk": chunk, "slot": int(of[a]), "first": int(a), "words": packed.pack_strings(order[a:b])})
+        first = 0
+        for slot, words in by_slot.items():
+            out.append({"chunk": chunk, "slot": slot, "first": first, "words": packed.pack_strings(words)})
+            first += len(words)
         return out
 
 
@@ -110,7 +115,10 @@ def _chunks(rows: DataFrame, key: str, text: str, slots: int, chunk_chars: int)
         if chunk.keys:
             yield from packed.rows(schema, chunk.rows((part << 32) + n, slots))
 
-    return written(rows.mapInArrow(run, _spark(schema)), "word-chunks")
+    spark, name = rows.sparkSession, f"word_chunks_{uuid.uuid4().hex}"
+    (rows.mapInArrow(run, _spark(schema)).write.format("parquet").bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "chunk")
+     .option("path", f"{shared_dir(spark)}/{name}").saveAsTable(name))
+    return spark.table(name)
 
 
 def encode(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "text", with_ids: bool = True,
@@ -158,11 +166,11 @@ def encode(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "t
         made += [("ids", pa.list_(pa.int32())), ("decoded", pa.string())]
     schema = pa.schema(made)
 
-    def joined(rows: pa.Table) -> pa.Table:
+    def joined(chunk: pa.Table, words: pa.Table) -> pa.Table:
         """A chunk: the ids of its words, joined to their pieces; ids and pieces of its texts, by position."""
         piece_of = pa.array(shared.value[1], pa.string())
-        texts = next(r for r in rows.to_pylist() if r["sizes"] is not None)
-        asked = sorted((r["first"], r["n_ids"], r["ids"]) for r in rows.to_pylist() if r["sizes"] is None)
+        texts = chunk.to_pylist()[0]
+        asked = sorted((r["first"], r["n_ids"], r["ids"]) for r in words.to_pylist())
         n_ids = np.concatenate([packed.unpack(n, np.int32) for _, n, _ in asked]) if asked else np.empty(0, np.int32)
         flat = np.concatenate([packed.unpack(x, np.int32) for *_, x in asked]) if asked else np.empty(0, np.int32)
         ends = packed.bounds(n_ids).tolist()
@@ -184,15 +192,12 @@ def encode(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "t
             if with_ids:
                 all_ids.append(np.concatenate([flat[ends[i]:ends[i + 1]] for i in own]) if own else np.empty(0, np.int32))
                 all_said.append(decoded)
-        keys = rows.column("keys").combine_chunks().flatten() if rows.column("keys").num_chunks else pa.array([], kind)
+        keys = chunk.column("keys").combine_chunks().flatten()
         columns = [keys, pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(said_sha, pa.string())]
         if with_ids:
             columns += [pa.array(all_ids, pa.list_(pa.int32())), pa.array(all_said, pa.string())]
         return pa.Table.from_arrays(columns, schema=schema)
 
     ids = table.where("slot is not null").select("chunk", "slot", "first", "words").groupBy("slot").applyInArrow(encoded, _spark(ids_schema))
-    nothing = {c: F.lit(None).cast(t) for c, t in (("keys", table.schema["keys"].dataType), ("sizes", "binary"), ("positions", "binary"))}
-    both = (table.where("slot is null").select("chunk", "keys", "sizes", "positions").withColumns(
-                {"first": F.lit(None).cast("int"), "n_ids": F.lit(None).cast("binary"), "ids": F.lit(None).cast("binary")})
-            .unionByName(ids.withColumns(nothing)))
-    return both.groupBy("chunk").applyInArrow(joined, _spark(schema))
+    texts = table.where("slot is null").select("chunk", "keys", "sizes", "positions")
+    return texts.groupBy("chunk").cogroup(ids.groupBy("chunk")).applyInArrow(joined, _spark(schema))
