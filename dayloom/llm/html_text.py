@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
@@ -54,25 +55,32 @@ RAW = "script|style|noscript|template|textarea|iframe|object|svg|annotation-xml|
 #: Those of them that a tag may close itself.
 EMPTY = "svg|annotation-xml|annotation"
 
-#: Words in `class`, `id` or `role` that mark furniture.
-_HINT = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert\w*|adsense|banner|sponsor\w*|promo\w*|cookies?|consent|gdpr|notices?|notification|sidebar|rail|"
-    r"comments?|commentlist|reply|replies|respond|discussion|disqus|share|sharing|social|related|recommend\w*|newsletter|subscribe|subscription|"
-    r"popup|modal|overlay|menu|nav|navbar|navigation|breadcrumbs?|footer|masthead|pagination|pager|widget|toolbar|login|signup|search|copyright|"
-    r"disclaimer|complementary|contentinfo|skip|hidden)(?:$|[\s_-])", re.IGNORECASE)
+_SURE = (r"ad|ads|advert\w*|adsense|sponsor\w*|promo\w*|cookies?|consent|gdpr|notices?|notification|comments?|commentlist|reply|replies|respond|disqus|"
+         r"newsletter|subscribe|subscription|popup|modal|overlay|menu|nav|navbar|navigation|breadcrumbs?|footer|masthead|pagination|pager|toolbar|login|signup|"
+         r"copyright|disclaimer|complementary|contentinfo|skip|hidden")
+_NAMES = r"banner|sidebar|rail|share|sharing|social|recommend\w*|widget|search"
+_PLACES = r"header|topbar|top|bottom|side"
+#: What marks furniture in `class`, `id` or `role`: these words as parts of a name, those as whole names.
+_HINT = re.compile(rf"(?:^|[\s_-])(?:{_SURE})(?:$|[\s_-])|(?:^|\s)(?:{_NAMES})(?:$|\s)", re.IGNORECASE)
+#: What marks furniture if the element is short or mostly links.
+_WEAK = re.compile(rf"(?:^|[\s_-])(?:{_NAMES}|related|discussion)(?:$|[\s_-])", re.IGNORECASE)
 #: Also these, unless the element lies in an article.
-_HINT_OUTSIDE = re.compile(r"(?:^|[\s_-])(?:header|topbar|top|bottom|side)(?:$|[\s_-])", re.IGNORECASE)
+_WEAK_OUTSIDE = re.compile(rf"(?:^|[\s_-])(?:{_PLACES})(?:$|[\s_-])", re.IGNORECASE)
+#: Long blocks from which on an element is not short.
+PROSE = 2
 #: What names a state or a whole page, not the element: no hint.
 _STATE = re.compile(r"(?<![^\s_-])(?:has|no|with|without)[_-]\S*|\S+[_-](?:page|layout|template)(?!\S)", re.IGNORECASE)
 _ATTR = re.compile(r"""(?:^|\s)(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.IGNORECASE)
 _UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 
+#: Attributes of a tag: a quote opens a value only after an equals sign.
+_ATTRS = r"(?:[^>=]+|=\s*(?:\"[^\"]*\"|'[^']*')|=)*+"
 _TOKEN = re.compile(
     r"(?P<text>[^<]+)"
-    r"|<!--.*?(?:-->|\Z)"
-    r"|<(?:" + EMPTY + r")(?=[\s/>])(?:\"[^\"]*\"|'[^']*'|[^>\"'])*+(?<=/)>"
-    r"|<(?P<raw>" + RAW + r")(?=[\s/>])(?:\"[^\"]*\"|'[^']*'|[^>\"'])*+>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*+)>"
+    r"|<!--(?:-?>|.*?(?:--!?>|\Z))"
+    r"|<(?:" + EMPTY + r")(?=[\s/>])" + _ATTRS + r"(?<=/)>"
+    r"|<(?P<raw>" + RAW + r")(?=[\s/>])" + _ATTRS + r">.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*)(?P<attrs>" + _ATTRS + r")>"
     r"|<[a-z/!?][^>]*>"
     r"|(?P<open><)", re.IGNORECASE | re.DOTALL)
 _WORD = re.compile(r"[^\W\d_]+")
@@ -86,10 +94,11 @@ class Block(NamedTuple):
     article: int
     heading: bool
     data: bool = False
+    weak: int = 0
 
 
-#: Furniture by class, id or role alone, and by its element or because it is not shown.
-HINTED, CERTAIN = 1, 2
+#: Furniture by a weak hint, by class, id or role alone, and by its element or because it is not shown.
+WEAK, HINTED, CERTAIN = 1, 2, 3
 
 
 def _furniture(tag: str, attrs: str, in_article: bool) -> int:
@@ -102,30 +111,43 @@ def _furniture(tag: str, attrs: str, in_article: bool) -> int:
         name, value = name.lower(), value.strip("\"'")
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and _UNSEEN.search(value):
             return CERTAIN
-        if name in ("class", "id", "role") and not found:
-            hints = (_HINT,) if in_article else (_HINT, _HINT_OUTSIDE)
-            if any(h.search(value) and h.search(_STATE.sub(" ", value)) for h in hints):
+        if name in ("class", "id", "role") and found < HINTED:
+            plain = _STATE.sub(" ", value)
+            if _HINT.search(value) and _HINT.search(plain):
                 found = HINTED
+            elif any(h.search(value) and h.search(plain) for h in ((_WEAK,) if in_article else (_WEAK, _WEAK_OUTSIDE))):
+                found = WEAK
     return found
 
 
 def blocks(page: str) -> list[Block]:
     """The page's blocks that have text, in page order."""
     found: list[Block] = []
-    open_tags: list[tuple[str, int, int]] = []  # tag, furniture, article (0: none)
+    open_tags: list[tuple[str, int, int, int]] = []  # tag, furniture, article, weakly hinted element (0: none)
+    depth: Counter = Counter()  # open elements by tag
     doubtful: set[int] = set()  # articles in furniture by hint: comments and teasers, unless the page has no other article
     parts: list[tuple[str, bool]] = []  # text, inside a link
-    links = articles = 0
+    links = articles = weaks = 0
     heading = False
+    outside = ("", 0, 0, 0)
+
+    def push(tag: str, furniture: int, article: int, weak: int) -> None:
+        open_tags.append((tag, furniture, article, weak))
+        depth[tag] += 1
+
+    def pop() -> str:
+        tag = open_tags.pop()[0]
+        depth[tag] -= 1
+        return tag
 
     def flush() -> None:
         if parts:
             text = " ".join("".join(p for p, _ in parts).split())
             if text:
                 linked = sum(len("".join(p.split())) for p, inside in parts if inside)
-                _, furniture, article = open_tags[-1] if open_tags else ("", 0, 0)
-                found.append(Block(text, linked / max(1, len(text.replace(" ", ""))), furniture > 0, article, heading,
-                                   any(t in DATA for t, *_ in open_tags)))
+                _, furniture, article, weak = open_tags[-1] if open_tags else outside
+                found.append(Block(text, linked / max(1, len(text.replace(" ", ""))), furniture > WEAK, article, heading,
+                                   any(depth[t] for t in DATA), weak))
             parts.clear()
 
     last = page.rfind(">")
@@ -147,13 +169,13 @@ def blocks(page: str) -> list[Block]:
                 links = max(0, links - 1) if m["end"] else 1
             if tag not in BLOCKS:
                 if not m["end"] and tag not in VOID and not m["attrs"].rstrip().endswith("/"):
-                    own = open_tags[-1] if open_tags else ("", 0, 0)
-                    if not own[1] and (kind := _furniture(tag, m["attrs"], own[2] > 0)):  # an inline element that is furniture is cut off
+                    own = open_tags[-1] if open_tags else outside
+                    if own[1] <= WEAK and (kind := _furniture(tag, m["attrs"], own[2] > 0)) > WEAK:  # an inline element that is furniture is cut off
                         flush()
-                        open_tags.append((tag, kind, own[2]))
+                        push(tag, kind, own[2], own[3])
                 elif m["end"] and open_tags and open_tags[-1][0] == tag:
                     flush()
-                    open_tags.pop()
+                    pop()
                 continue
             flush()
             links = 0
@@ -161,30 +183,48 @@ def blocks(page: str) -> list[Block]:
             if tag in VOID:
                 continue
             if m["end"]:
-                for i in range(len(open_tags) - 1, -1, -1):
-                    if open_tags[i][0] == tag:
-                        del open_tags[i:]
-                        break
+                if depth[tag]:
+                    while pop() != tag:
+                        pass
                 continue
             # an open paragraph ends where the next block starts; a list entry ends at the next one
             while open_tags and (open_tags[-1][0] == "p" or open_tags[-1][0] == tag and tag in ("li", "dt", "dd", "option", "tr", "td", "th")):
-                open_tags.pop()
-            _, furniture, article = open_tags[-1] if open_tags else ("", 0, 0)
-            if tag in ARTICLE and (furniture == HINTED or not article and not furniture):
+                pop()
+            _, furniture, article, weak = open_tags[-1] if open_tags else outside
+            if tag in ARTICLE and (furniture in (WEAK, HINTED) or not article and not furniture):
                 articles += 1
                 article = articles
                 if furniture and tag != "main":
                     doubtful.add(article)
-                furniture = 0
+                furniture = weak = 0
             if furniture != CERTAIN:
-                furniture = max(furniture, _furniture(tag, m["attrs"], article > 0))
-            open_tags.append((tag, furniture, article))
+                kind = _furniture(tag, m["attrs"], article > 0)
+                if kind == WEAK and not weak:
+                    weaks += 1
+                    weak = weaks
+                furniture = max(furniture, kind)
+            push(tag, furniture, article, weak)
     flush()
+    if weaks:
+        found = _settled(found)
     if doubtful and any(b.article and b.article not in doubtful and not b.furniture and _length(b.text) >= LENGTH for b in found):
         found = [b._replace(furniture=True) if b.article in doubtful else b for b in found]
     return found
 
 
+def _settled(found: list[Block]) -> list[Block]:
+    """Blocks of weakly hinted elements are furniture where the element has few long blocks, or its text is mostly links."""
+    prose, total, linked = Counter(), Counter(), Counter()
+    for b in found:
+        if b.weak and not b.furniture:
+            n = _length(b.text)
+            prose[b.weak] += n >= LENGTH and b.links <= MAX_LINKS
+            total[b.weak] += n
+            linked[b.weak] += n * b.links
+    bad = {w for w in total if prose[w] < PROSE or 2 * linked[w] > total[w]}
+    return [b._replace(furniture=True) if b.weak in bad else b for b in found]
+
+
 def _length(text: str) -> int:
     return len(text) if text.isascii() else len(text) + WIDE * len(_WIDE.findall(text))
 

@@ -57,3 +57,35 @@ def test_wrappers_that_are_no_furniture():
     # comments and teasers are articles too
     assert main_text(f'<article><p>{ENGLISH}</p></article><div id="comments"><article><p>{OTHERS[1]}</p></article></div>') == ENGLISH
     assert main_text(f'<main><p>{ENGLISH}</p><div class="related"><article><p>{OTHERS[1]}</p></article></div></main>') == ENGLISH
+
+
+PROSE = ("<p>The first paragraph of this text is long enough to be judged by the words that it has in it, and it is.</p>"
+         "<p>This is the second of the paragraphs, and it has as many of the words as the first one, or more.</p>")
+PLAIN = PROSE.replace("</p><p>", "\n").replace("<p>", "").replace("</p>", "")
+
+
+def test_markup_that_must_not_lose_text():
+    text = main_text
+    assert text("<article><p title=it's>Hello world</p><p>don't stop</p></article>") == "Hello world\ndon't stop"
+    assert text("<article><p>a <!--> b</p><p>c <!---> d <!-- x --!> e</p></article>") == "a b\nc d e"
+    assert text("""<article><p title="a>b" lang='>'>kept</p></article>""") == "kept"
+    for name in ('id="top"', 'class="layout-sidebar-right"', 'class="social-science"', 'class="has-sidebar"'):
+        assert text(f"<div {name}>{PROSE}</div>") == PLAIN, name
+    for name in ("related-work", "discussion"):
+        assert text(f'<article><p>Intro.</p><section id="{name}">{PROSE}</section></article>') == "Intro.\n" + PLAIN, name
+
+
+def test_furniture_by_name_still_goes():
+    text = main_text
+    for name in ("sidebar", "cookie-notice", "comments", "user-comments", "newsletter-box", "site-footer"):
+        assert text(f'<div class="{name}">{PROSE}</div><article>{PROSE}</article>') == PLAIN, name
+    assert text(f'<article>{PROSE}<div class="related"><p><a href=x>One more of these</a> <a href=y>and another one</a></p></div></article>') == PLAIN
+    assert text(f'<article>{PROSE}<div class="related-posts"><p>Read on</p></div></article>') == PLAIN
+
+
+def test_deep_pages_are_linear():
+    import time
+    for page in ("<div>hi " * 130_000, "<div>hi </p></b>" * 65_000, "<p a=\"b' " * 110_000):
+        begun = time.time()
+        main_text(page)
+        assert time.time() - begun < 10  # some seconds at most; quadratic work took minutes
