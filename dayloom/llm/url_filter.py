@@ -3,12 +3,13 @@
 A rule is (host, path, verdict): it fits its host and all subdomains, for every
 path that starts with the rule's path; of the fitting rules the longest wins.
 Each distinct (host, path) is expanded into expressions `host suffix` + `path
-prefix`, one for every label boundary of the host and every path length that
-occurs among the rules.  Expressions meet the rules in an equi-join on the
+prefix`, one for every number of host labels and every path length that
+occur among the rules.  Expressions meet the rules in an equi-join on the
 first four bytes of their SHA-256; the full digest confirms a match.
 
 Scale: a verdict depends on host and path alone, so expansion works on the
-distinct pairs (partial aggregation; a hot host collapses map-side).  The rules
+distinct pairs (partial aggregation; a hot host collapses map-side), and what they match is written
+before it meets the pages, so a pair that many pages share (broken URLs, say) can be split.  The rules
 are broadcast only while their counted rows stay under `BROADCAST_RULES`, else
 the join shuffles; the side of the rules has one row for each digest, so Spark
 can split a skewed prefix.
@@ -18,7 +19,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import pick
+from .common import pick, written
 
 #: Rules up to this number are broadcast (under 100 bytes each).
 BROADCAST_RULES = 200_000
@@ -35,7 +36,6 @@ RULES = [
 DEFAULT_VERDICT = "allow"
 
 
-
 def split_url(df: DataFrame, url: str = "url") -> DataFrame:
     """Add `host` and `path`; null or no `://`: both empty.
 
@@ -74,34 +74,38 @@ def url_verdicts(pages: DataFrame, rules: DataFrame, default: str = DEFAULT_VERD
              .withColumn("rule", F.concat("host", "path"))
              .withColumn("digest", F.sha2(_expression(F.col("host"), F.col("path")), 256))
              .withColumn("prefix", F.substring("digest", 1, 2 * PREFIX_BYTES)))
-    sizes = ruled.agg(F.count(F.lit(1)), F.collect_set(F.length("path"))).first()
-    # path lengths that occur among the rules: at most the longest rule's length
-    lengths = sorted(sizes[1]) or [0]
+    sizes = ruled.agg(F.count(F.lit(1)), F.collect_set(F.length("path")), F.collect_set(_labels("host"))).first()
+    # what occurs among the rules: at most as many path lengths and numbers of labels as the longest rule has characters
+    lengths, depths = sorted(sizes[1]) or [0], sorted(sizes[2]) or [1]
     side = ruled.select("prefix", F.col("digest").alias("rule_digest"), "rule", F.col("verdict").alias("rule_verdict"),
                         F.length("host").alias("host_chars"))
     if sizes[0] <= BROADCAST_RULES:
         side = F.broadcast(side)
 
     distinct = parts.select("host", "path").distinct()
-    labels = F.split("host", r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)),
-                           lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    suffixes = F.transform(F.filter(F.array(*(F.lit(n) for n in depths)), lambda n: n <= F.col("labels")),
+                           lambda n: F.call_function("substring_index", F.col("host"), F.lit("."), -n))
     wanted = F.filter(F.array(*(F.lit(n) for n in lengths)), lambda n: n <= F.length("path"))
     expressions = (distinct
-                   .select("host", "path", F.explode(suffixes).alias("suffix"))
+                   .withColumn("labels", _labels("host")).select("host", "path", F.explode(suffixes).alias("suffix"))
                    .select("host", "path", "suffix", F.explode(wanted).alias("n"))
                    .select("host", "path", F.sha2(_expression(F.col("suffix"), F.expr("substring(path, 1, n)")), 256)
                            .alias("digest"))
                    .withColumn("prefix", F.substring("digest", 1, 2 * PREFIX_BYTES)))
     best = (expressions.join(side, "prefix")
-            .where("digest = rule_digest")
+            .where(F.startswith("digest", "rule_digest"))  # of equal lengths; an equality would become a key of the join
             .groupBy("host", "path")
             .agg(F.max(F.struct(F.length("rule").alias("n"), "host_chars", "rule_verdict", "rule")).alias("best")))
+    best = written(best, "url-matches")
     return (parts.alias("p").join(best.alias("b"), ["host", "path"], "left")
             .select(key, "host", "path", F.col("best.rule").alias("rule"),
                     F.coalesce(F.col("best.rule_verdict"), F.lit(default)).alias("verdict")))
 
 
+def _labels(host: str) -> Column:
+    return F.length(host) - F.length(F.replace(F.col(host), F.lit("."))) + 1
+
+
 def _expression(host: Column, path: Column) -> Column:
     """Host and path with a separator that no host contains."""
     return F.concat(host, F.lit("/"), path)
