@@ -59,13 +59,15 @@ _SECRETS = [
     ("assign", r"""((?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?)([A-Za-z0-9+/_.=-]+)""", 2, 12),
     ("access", "(AKIA[A-Z0-9]+)", 1, 18),
     ("hex", "([0-9a-f]+)", 1, 16),
-    ("private_key", "(-----BEGIN (?:[A-Z]+ ){0,3}PRIVATE KEY-----(?:[^-]*-----END (?:[A-Z]+ ){0,3}PRIVATE KEY-----)?)", 1, 1),
+    # DuckDB's patterns cannot look ahead: where a key has no END line and a later one has, this takes both as one
+    ("private_key", "(-----BEGIN (?:[A-Z]+ ){0,3}PRIVATE KEY-----(?:(?s:.*?)-----END (?:[A-Z]+ ){0,3}PRIVATE KEY-----)?)", 1, 1),
     ("git_token", "(gh[pousr]_[A-Za-z0-9]+)", 1, 40),
     ("chat_token", "(xox[abprs]-[A-Za-z0-9-]+)", 1, 20),
     ("cloud_key", "(AIza[A-Za-z0-9_-]+)", 1, 39),
     ("pay_key", "([sr]k_(?:live|test)_[A-Za-z0-9]+)", 1, 24),
-    ("web_token", r"(eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,})", 1, 1),
-    ("url_login", r"(://[^\s/:@]{1,64}:[^\s/:@]{3,64}@)", 1, 1),
+    # nor back: a token right after a hyphen counts here
+    ("web_token", r"\b(eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,})", 1, 1),
+    ("url_login", r"(://[^\s/:@]+:[^\s/:@]{3,}@)", 1, 1),
 ]
 
 

@@ -51,7 +51,7 @@ MORE = [
     Rule("chat_token", r"xox[abprs]-[A-Za-z0-9-]+", False, 0, 20),
     Rule("cloud_key", r"AIza[A-Za-z0-9_-]+", False, 0, 39),
     Rule("pay_key", r"[sr]k_(?:live|test)_[A-Za-z0-9]+", False, 0, 24),
-    Rule("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+    Rule("web_token", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}"),
     Rule("url_login", r"://[^\s/:@]+:[^\s/:@]{3,}@"),
 ]
 RULES = BASE + MORE

@@ -1,5 +1,6 @@
 """Secrets that are longer, or hold more, than the usual ones."""
 
+import re
 import time
 
 from dayloom.llm.secret_scan import RULES, Scanner, redact
@@ -36,3 +37,13 @@ def test_long_logins():
         assert ("url_login", 5, 5 + len(f"://{user}:{word}@")) in scan(text)
         assert word not in redact(text, scan(text))
     assert not scan("https://u:ab@host https://host:8080/a@b")
+
+
+def test_web_tokens_in_linear_time():
+    rule = next(r for r in RULES if r.kind == "web_token")
+    token = "eyJhbGciOiJI.eyJzdWIiOiIx.abcdefgh1"
+    text = token + " " + "eyJ" * 350_000 + " " + token
+    begun = time.time()
+    found = [m.span() for m in re.finditer(rule.pattern, text)]
+    assert time.time() - begun < 2
+    assert found == [(0, len(token)), (len(text) - len(token), len(text))]
