@@ -1,13 +1,13 @@
 """Quality classifier from weak labels.
 
 Several heuristic labellers look at each text and vote good (+), bad (-) or abstain
-(0).  Expectation-maximisation estimates, without any true label, how often each
-labeller votes what on good documents and on the kinds of bad ones; the posterior of a vote
-pattern is its probability of being good.  A hashed linear scorer learns these posteriors as soft
+(0); texts too short for a labeller are not put to it (.).  Expectation-maximisation estimates, without
+any true label, how often each labeller votes what on good and on bad documents; the posterior of a vote
+pattern is its probability of being good, so a - of a labeller that is often wrong weighs little.  A hashed linear scorer learns these posteriors as soft
 targets, and its score decides: it sees words and word shapes that no labeller asks for.
 
 Scale: votes and scores are narrow maps over whole texts.  EM works on the counts of vote
-patterns (partial aggregation, at most 3 ** 8 rows, whatever the input).  The scorer is
+patterns (partial aggregation, at most 3 ** 8 + 3 ** 2 + 1 rows, whatever the input).  The scorer is
 fitted on a bounded sample, `TRAIN_ROWS` rows chosen by hash, in `PARTS` parts in
 parallel, whose weights are averaged.  Weights (2 ** 16 floats) travel with the tasks.
 """
@@ -15,6 +15,7 @@ parallel, whose weights are averaged.  Weights (2 ** 16 floats) travel with the
 from __future__ import annotations
 
 import math
+import re
 import zlib
 from collections import Counter
 from operator import eq
@@ -31,8 +32,9 @@ from .quality_rules import SEPARATORS, repeated_words
 TRAIN_ROWS, PARTS = 12_000, 8
 BUCKETS = 1 << 16
 EPOCHS, RATE, DECAY = 12, 0.5, 1e-6
-EM_ROUNDS = 60
-PRIOR = 1.0
+EM_ROUNDS = 200
+#: Imagined documents of each class and votes of each sort, beside all documents.
+PRIOR = 0.5
 THRESHOLD = 0.5
 #: Weight of a repeated word beside that of any word.
 REPEAT_SCALE = 4
@@ -45,6 +47,8 @@ _ENDS = tuple(f"{mark} ".encode() for mark in ".!?:。！？؟।…")
 #: Bytes as shape classes: upper and lower case, digits, above ASCII as lower case; others stand for themselves.
 _SHAPE = bytes(65 if 65 <= b <= 90 else 97 if 97 <= b <= 122 or b >= 128 else 48 if 48 <= b <= 57 else b for b in range(256))
 
+_RUN = re.compile(rb"(.)\1+", re.DOTALL)
+
 _UPPERS, _LOWERS = bytes(range(65, 91)), bytes(range(97, 123))
 _MARKS_TO_BLANKS = bytes.maketrans(b".,;:!?", b"      ")
 
@@ -52,12 +56,12 @@ LABELLERS = ("symbols", "shouting", "stutter", "stop words", "menu", "sentences"
 
 
 def votes(text: str | None) -> str:
-    """One of `+-0` for each labeller; texts of under ten words get no vote but for symbols and shouting."""
+    """One of `+-0` for each labeller; texts of under ten words are put to symbols and shouting alone, the rest is `.`."""
     raw = (text or "").encode("utf-8", "replace")
     words = raw.split()
     n = len(words)
     if not n:
-        return "0" * len(LABELLERS)
+        return "." * len(LABELLERS)
     chars = sum(map(len, words))
 
     def vote(bad: bool, good: bool) -> str:
@@ -67,7 +71,7 @@ def votes(text: str | None) -> str:
     upper, lower = len(raw) - len(raw.translate(None, _UPPERS)), len(raw) - len(raw.translate(None, _LOWERS))
     found = [vote(litter * 10 > chars, litter * 50 <= chars), vote(2 * upper > upper + lower, 5 * upper <= upper + lower)]
     if n < 10:
-        return "".join(found) + "0" * (len(LABELLERS) - 2)
+        return "".join(found) + "." * (len(LABELLERS) - 2)
     again = sum(map(eq, words, words[1:]))
     stop = sum(map(_STOP.__contains__, raw.lower().translate(_MARKS_TO_BLANKS).split()))
     parted = sum(map(words.count, SEPARATORS))
@@ -87,43 +91,35 @@ def votes(text: str | None) -> str:
 
 
 def fit_labellers(patterns: dict[str, int], rounds: int = EM_ROUNDS) -> tuple[float, np.ndarray, dict[str, float]]:
-    """Share of good documents, P(+ | class, voted) [labeller, 0 bad and 1 good], P(good | pattern).
+    """Share of documents more likely good than bad, P(+ | class, + or -) [labeller, 0 bad and 1 good], P(good | pattern).
 
-    Junk is of several kinds, and a labeller votes + on junk that is not of its kind.  So there is one
-    good class and a bad one for each labeller; given the class, votes are independent, and
-    abstaining tells nothing.  The start gives patterns without a - to the good class and others to the classes of those who
-    say -.  Imagined right votes keep the classes what they are: `PRIOR` for the good class (1: as many as there
-    are documents, so that a - counts as an error only if other votes say so), 0.01 for a kind's own labeller.
+    Two classes; given the class, votes are independent, and abstaining is a vote like any other (junk often leaves
+    a labeller undecided); `.` tells nothing.  The start is the majority: a pattern is as good as its share of +
+    among + and -, so a lone - does not condemn by itself, and the rounds tell whose - may be overruled.
     """
-    k = len(LABELLERS)
     names = sorted(patterns)
     if not names:
-        return 0.5, np.full((k, 2), 0.5), {}
-    cast = np.array([["-0+".index(v) - 1 for v in p] for p in names])
+        return 0.5, np.full((len(LABELLERS), 2), 0.5), {}
     counts = np.array([patterns[p] for p in names], dtype=float)
-    counts /= counts.sum()
-    plus, minus = (cast == 1).astype(float), (cast == -1).astype(float)
-    blamed = minus.sum(axis=1, keepdims=True)
-    belongs = np.hstack([np.where(blamed > 0, 0.02, 0.98), np.where(blamed > 0, 0.98 * minus / np.maximum(blamed, 1), 0.02 / k)]).T
-    right_plus = np.vstack([np.full(k, PRIOR), np.zeros((k, k))])
-    right_minus = np.vstack([np.zeros(k), 0.01 * np.eye(k)])
+    said = np.array([[[v == kind for v in p] for p in names] for kind in "+-0"], dtype=float)
+    plus, minus = said[0].sum(axis=1), said[1].sum(axis=1)
+    good = (plus + 0.5) / (plus + minus + 1)
+    belongs = np.stack([1 - good, good])
     for _ in range(rounds):
         weight = belongs * counts
-        share = weight.sum(axis=1)
-        yes, no = weight @ plus + right_plus + 1e-6, weight @ minus + right_minus + 1e-6
-        rate = yes / (yes + no)
-        log = np.log(np.maximum(share, 1e-9))[:, None] + np.log(rate) @ plus.T + np.log(1 - rate) @ minus.T
+        share = weight.sum(axis=1) + PRIOR
+        votes_of = np.stack([weight @ one for one in said]) + PRIOR
+        rate = votes_of / votes_of.sum(axis=0)
+        log = np.log(share / share.sum())[:, None] + sum(np.log(r) @ one.T for r, one in zip(rate, said))
         belongs = np.exp(log - log.max(axis=0))
         belongs /= belongs.sum(axis=0)
-    weight = belongs[1:] * counts
-    bad = (weight.sum(axis=0) @ plus + 1e-9) / (weight.sum(axis=0) @ (plus + minus) + 2e-9)
-    return float(share[0]), np.stack([bad, rate[0]], axis=1), dict(zip(names, map(float, belongs[0])))
+    likely = counts @ (belongs[1] > 0.5) / counts.sum()
+    return float(likely), (rate[0] / (rate[0] + rate[1])).T, dict(zip(names, map(float, belongs[1])))
 
 
 def shape(word: bytes) -> bytes:
-    """Runs of upper case, lower case, digits and each other character, one for each run; the first eight."""
-    kinds = word[:64].translate(_SHAPE)
-    return bytes(a for i, a in enumerate(kinds) if not i or a != kinds[i - 1])[:8]
+    """Runs of upper case, lower case, digits and each other character, one byte for each run of the whole word."""
+    return _RUN.sub(rb"\1", word.translate(_SHAPE))
 
 
 def bucket(feature: bytes) -> int:
@@ -221,8 +217,8 @@ def classify(docs: DataFrame, train_rows: int = TRAIN_ROWS, threshold: float = T
     rows = pick(docs, key, text)
     cast = (map_texts(rows.select(text), (), text, "votes string", lambda: lambda texts: [[votes(t) for t in texts]])
             .groupBy("votes").count())
-    counts = {r["votes"]: r["count"] for r in cast.collect()}  # at most 3 ** labellers rows
-    _, _, posteriors = fit_labellers({v: n for v, n in counts.items() if v.strip("0")})
+    counts = {r["votes"]: r["count"] for r in cast.collect()}  # as many rows as there are patterns
+    _, _, posteriors = fit_labellers({v: n for v, n in counts.items() if v.strip("0.")})
     shipped = spark.sparkContext.broadcast(fit(docs, sum(counts.values()), posteriors, key, text, train_rows).astype(np.float32))
 
     def make():
