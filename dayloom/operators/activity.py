@@ -37,14 +37,19 @@ def daily_counts() -> list[Column]:
         F.count_if(F.col(c) == v).alias(category_name(c, v)) for c, v in CATEGORIES]
 
 
+def activity_days(activity: DataFrame) -> DataFrame:
+    """``(user_id, day, n, page0..4, action_type0..5)``: the day grain by log day."""
+    return activity.groupBy("user_id", "day").agg(*daily_counts())
+
+
 def activity_day_grain(activity: DataFrame, windows: Sequence[FeatureWindow],
-                       with_label_days: bool = False) -> DataFrame:
+                       with_label_days: bool = False, counted: bool = False) -> DataFrame:
     """``(window_id, user_id, wday, n, page0..4, action_type0..5)``.
 
-    Counted per (user, log day) -- each raw row once, map-side combined --
-    then fanned out to the windows containing the day."""
-    per_day = (activity.where(in_span(windows, with_label_days))
-               .groupBy("user_id", "day").agg(*daily_counts()))
+    Counted per (user, log day) -- each raw row once, map-side combined, unless
+    ``counted`` already -- then fanned out to the windows containing the day."""
+    rows = activity.where(in_span(windows, with_label_days))
+    per_day = rows if counted else activity_days(rows)
     return assign_windows(per_day, windows, with_label_days)
 
 
@@ -71,14 +76,14 @@ def _day_stats(n: str, prefix: str, with_min: bool) -> list[str]:
 
 
 def activity_block(activity: DataFrame, windows: Sequence[FeatureWindow],
-                   mode: str = AS_COMPUTED) -> DataFrame:
+                   mode: str = AS_COMPUTED, counted: bool = False) -> DataFrame:
     """Per (window, user): total and per-category day statistics, plus the
     horizon sums; one aggregate over the day grain.  The medians come from one
     list of the (at most 16) days' counts, not from a buffer for each of them.
     With the ``intended`` mode ``label_activity`` is 1 with rows on a label day
     (those days count for nothing else)."""
     names = ["n"] + [category_name(c, v) for c, v in CATEGORIES]
-    grain = activity_day_grain(activity, windows, mode == INTENDED)
+    grain = activity_day_grain(activity, windows, mode == INTENDED, counted)
     labels = []
     if mode == INTENDED:
         labels = [f"max(CAST(wday > {FEATURE_DAYS} AS INT)) AS label_activity"]

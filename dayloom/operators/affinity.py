@@ -75,6 +75,19 @@ def item_grain(activity: DataFrame, windows: Sequence[FeatureWindow]) -> DataFra
             .groupBy("user_id", "kind", "item").agg(*window_masks(windows), *rows))
 
 
+def item_days(activity: DataFrame) -> DataFrame:
+    """``(user_id, kind, item, day, n)``: rows per user, video or author, and log day."""
+    return (activity.where(F.col("user_id").isNotNull())
+            .selectExpr("user_id", "day", f"stack(2, '{VIDEO}', video_id, '{AUTHOR}', author_id) AS (kind, item)")
+            .groupBy("user_id", "kind", "item", "day").agg(F.count("*").alias("n")))
+
+
+def grain_of_item_days(items: DataFrame, windows: Sequence[FeatureWindow]) -> DataFrame:
+    """``item_grain`` from ``item_days``."""
+    rows = [F.expr(f"sum(CASE WHEN day BETWEEN {w.feat_begin} AND {w.feat_end} THEN n ELSE 0 END) AS c{w.window_id}") for w in windows]
+    return items.where(in_span(windows)).groupBy("user_id", "kind", "item").agg(*window_masks(windows), *rows)
+
+
 def item_sets(grain: DataFrame, windows: Sequence[FeatureWindow]) -> DataFrame:
     """``(window_id, user_id, kind, item, days)`` of the grain's windows with days.
 

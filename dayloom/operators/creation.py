@@ -22,18 +22,24 @@ from .launch import AS_COMPUTED, INTENDED
 from .windows import FeatureWindow, assign_windows, in_span
 
 
+def user_days(log: DataFrame) -> DataFrame:
+    """``(user_id, day, n)``: rows per user and log day."""
+    return log.groupBy("user_id", "day").agg(F.count("*").alias("n"))
+
+
 def day_grain(log: DataFrame, windows: Sequence[FeatureWindow],
-              with_label_days: bool = False) -> DataFrame:
+              with_label_days: bool = False, counted: bool = False) -> DataFrame:
     """``(window_id, user_id, wday, n)``: rows per user and window day.
 
     Counted per (user, log day) first -- map-side combined, each raw row
-    once -- and only then fanned out to the windows containing the day."""
-    per_day = (log.where(in_span(windows, with_label_days))
-               .groupBy("user_id", "day").agg(F.count("*").alias("n")))
+    once, unless ``counted`` already -- and only then fanned out to the windows containing the day."""
+    rows = log.where(in_span(windows, with_label_days))
+    per_day = rows if counted else user_days(rows)
     return assign_windows(per_day, windows, with_label_days=with_label_days)
 
 
-def creation_block(create: DataFrame, windows: Sequence[FeatureWindow], with_label: bool = False) -> DataFrame:
+def creation_block(create: DataFrame, windows: Sequence[FeatureWindow], with_label: bool = False,
+                   counted: bool = False) -> DataFrame:
     """Per (window, user): day bitmap and count statistics of the day grain; ``with_label`` adds
     ``label_create``, 1 with rows on a label day (those days count for nothing else)."""
     w = step_weight_sql("wday")
@@ -49,7 +55,7 @@ def creation_block(create: DataFrame, windows: Sequence[FeatureWindow], with_lab
         h = f"wday >= {CURRENT_DAY - i}"
         aggs.append(f"sum(CASE WHEN {h} THEN n ELSE 0 END) AS create_rows_{i}")
         aggs.append(f"sum(CASE WHEN {h} THEN {w} * n ELSE 0D END) AS create_weighted_rows_{i}")
-    grain = day_grain(create, windows, with_label)
+    grain = day_grain(create, windows, with_label, counted)
     if with_label:
         aggs.append(f"max(CAST(wday > {FEATURE_DAYS} AS INT)) AS label_create")
         grain = grain.selectExpr("window_id", "user_id", "wday", f"CASE WHEN wday <= {FEATURE_DAYS} THEN n END AS n")

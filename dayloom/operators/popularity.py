@@ -23,6 +23,9 @@ from ..functions.weights import HORIZONS, TOP_AUTHORS
 from .affinity import AUTHOR, VIDEO, item_day_sets, item_sets, item_weights, max_item_affinity
 from .windows import FeatureWindow, in_span
 
+#: Authors in one list of ``user_author_chunks``, about.
+AUTHORS_IN_CHUNK = 4096
+
 
 def author_views(activity: DataFrame, windows: Sequence[FeatureWindow]) -> DataFrame:
     """``(window_id, author_id, views)`` over every activity row of the window
@@ -100,6 +103,22 @@ def author_flags(views: DataFrame) -> DataFrame:
                         F.lit(1).alias("user_is_author"))
 
 
+def user_author_chunks(activity: DataFrame, windows: Sequence[FeatureWindow], chunk: int = AUTHORS_IN_CHUNK) -> DataFrame:
+    """``(window_id, user_id, chunk, authors)``: all authors a user viewed, in sorted lists of about ``chunk``.
+
+    Authors are dealt to a user's chunks by hash, as many chunks as the user's number of authors asks for,
+    so no user, however active, needs one list or one task.  Rows without an author are left out.
+    Only users with more than ``chunk`` authors meet in the join; a hot one is split there by AQE.
+    """
+    keys = ["window_id", "user_id"]
+    pairs = item_day_sets(activity.where(F.col("author_id").isNotNull()), windows, "author_id").drop("days")
+    many = (pairs.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > chunk)
+            .select(*keys, F.ceil(F.col("n") / chunk).alias("chunks")))
+    dealt = pairs.join(many, keys, "left").withColumn(
+        "chunk", F.coalesce(F.expr("pmod(xxhash64(author_id), chunks)"), F.lit(0)).cast("int"))
+    return dealt.groupBy(*keys, "chunk").agg(F.sort_array(F.collect_list("author_id")).alias("authors"))
+
+
 def user_top_authors(activity: DataFrame, windows: Sequence[FeatureWindow],
                      k: int = TOP_AUTHORS) -> DataFrame:
     """``(window_id, user_id, top_authors_viewed)``: sorted popular authors the

@@ -33,8 +33,10 @@ def one_hot(value: str, categories: Sequence, prefix: str) -> list[Column]:
 
 
 def user_spine(register: DataFrame, windows: Sequence[FeatureWindow],
-               categories: Sequence[int]) -> DataFrame:
+               categories: Sequence[int], once: bool = False) -> DataFrame:
     tagged = spine_windows(register, windows)
+    if once:
+        tagged = registered_once(tagged)
     return tagged.select(
         "window_id", "user_id", "register_day_distance", "device_type",
         *one_hot("register_type", categories, "register_type"),
@@ -42,6 +44,22 @@ def user_spine(register: DataFrame, windows: Sequence[FeatureWindow],
     )
 
 
+def registered_once(tagged: DataFrame) -> DataFrame:
+    """One row per (window, user); the job fails with the user's id if there are two.
+
+    The check rides on an aggregate by the key that the feature blocks are joined on, so its
+    exchange is the join's and no second job runs.  It is carried by the registration
+    age: a plan that never reads that column does not check.  A null id is one user.
+    """
+    keys = ["window_id", "user_id"]
+    rest = [c for c in tagged.columns if c not in keys]
+    told = "CAST(raise_error(concat('user ', user_id, ' is registered more than once')) AS INT)"
+    return (tagged.groupBy(*keys).agg(F.count("*").alias("times"), *[F.any_value(c).alias(c) for c in rest])
+            .withColumn("register_day_distance",
+                        F.expr(f"CASE WHEN times > 1 AND user_id IS NOT NULL THEN {told} ELSE register_day_distance END"))
+            .select(*keys, *rest))
+
+
 def duplicate_users(register: DataFrame) -> DataFrame:
     """``(user_id, registrations)`` for ids registered more than once.
 

@@ -26,19 +26,19 @@ the k popular authors).
 
 from __future__ import annotations
 
-from typing import Sequence
+from typing import Callable, Sequence
 
 from pyspark.sql import DataFrame
 
 from ..functions.weights import HORIZONS, rate_sql, weight_cap_sql, zero_sql
 from ..operators.activity import CATEGORIES, activity_block, activity_features, category_name
-from ..operators.affinity import item_grain
+from ..operators.affinity import grain_of_item_days, item_grain
 from ..operators.creation import creation_block, creation_features
 from ..operators.launch import AS_COMPUTED, INTENDED, launch_block, launch_features
 from ..operators.popularity import author_flags, grain_views, item_block
 from ..operators.spine import register_type_categories, user_spine
 from ..operators.windows import STANDARD_WINDOWS, FeatureWindow, labelled_ids
-from ..sources.logs import Logs
+from ..sources.logs import DayCounts, Logs
 
 KEYS = ["window_id", "user_id"]
 
@@ -111,39 +111,42 @@ def _block_of(feature: str) -> str:
     return _ACTIVITY
 
 
-def _blocks(logs: Logs, windows: Sequence[FeatureWindow], mode: str, wanted: set[str], label: bool) -> list[DataFrame]:
-    """The wanted blocks, keyed by window and user; the label is a column of the launch block (and,
+def _blocks(logs: Logs, windows: Sequence[FeatureWindow], mode: str, wanted: set[str], label: bool) -> dict[str, DataFrame]:
+    """The wanted blocks by name, keyed by window and user; the label is a column of the launch block (and,
     in intended mode, of the other logs' blocks)."""
-    grain = item_grain(logs.activity, windows)
+    counted = isinstance(logs, DayCounts)
+    grain = grain_of_item_days(logs.items, windows) if counted else item_grain(logs.activity, windows)
     views = grain_views(grain, windows)
     logs_label = label and mode == INTENDED
     makers = {
         _LAUNCH: (label, lambda: launch_block(logs.launch, windows, mode)),
-        _CREATION: (logs_label, lambda: creation_block(logs.create, windows, logs_label)),
-        _ACTIVITY: (logs_label, lambda: activity_block(logs.activity, windows, mode)),
+        _CREATION: (logs_label, lambda: creation_block(logs.create, windows, logs_label, counted)),
+        _ACTIVITY: (logs_label, lambda: activity_block(logs.activity, windows, mode, counted)),
         _ITEMS: (False, lambda: item_block(grain, windows, views)),
         _FLAGS: (False, lambda: author_flags(views)),
     }
-    return [make() for name, (needed, make) in makers.items() if needed or name in wanted]
+    return {name: make() for name, (needed, make) in makers.items() if needed or name in wanted}
 
 
 def feature_table(logs: Logs, windows: Sequence[FeatureWindow] = STANDARD_WINDOWS,
                   mode: str = AS_COMPUTED, categories: Sequence[int] | None = None,
-                  columns: Sequence[str] | None = None, label: bool | None = None) -> DataFrame:
+                  columns: Sequence[str] | None = None, label: bool | None = None,
+                  place: Callable[[DataFrame, str], DataFrame] = lambda block, name: block) -> DataFrame:
     """One row per (window, registered user); ``label`` is NULL for windows
     without label days.  Feature columns are doubles, spine columns ints.
     ``columns`` limits the features (and leaves out the label, unless ``label``);
-    only the blocks that they come from are built."""
+    only the blocks that they come from are built.  ``place`` may store the spine and each block, by name,
+    before they are joined (``plans/rollup.py``).  A user registered more than once fails the job."""
     label = columns is None if label is None else label
     if mode not in (AS_COMPUTED, INTENDED):
         raise ValueError(f"unknown mode {mode!r}")
     if categories is None:
         categories = register_type_categories(logs.register)
-    spine = user_spine(logs.register, windows, categories)
+    spine = user_spine(logs.register, windows, categories, once=True)
     wanted = [(name, expr) for name, expr in feature_columns(mode) if columns is None or name in set(columns)]
-    joined = spine
-    for block in _blocks(logs, windows, mode, {_block_of(name) for name, _ in wanted}, label):
-        joined = joined.join(block, KEYS, "left")
+    joined = place(spine, "spine")
+    for name, block in _blocks(logs, windows, mode, {_block_of(name) for name, _ in wanted}, label).items():
+        joined = joined.join(place(block, name), KEYS, "left")
 
     # the ~220 output expressions go in as SQL text: one parse on the JVM
     # instead of thousands of Python->JVM calls to build Column objects

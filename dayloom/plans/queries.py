@@ -26,10 +26,11 @@ from ..operators.recurrence import flagged_users
 from ..operators.spine import duplicate_users, register_type_categories, user_spine
 from ..operators.windows import STANDARD_WINDOWS, FeatureWindow, assign_windows, day_span, in_span, window
 from ..session import checkpoint_path
-from ..sources.logs import fixture_logs, read_tsv_logs, write_tsv_logs
+from ..sources.logs import fixture_logs, read_parquet_logs, read_tsv_logs, write_parquet_logs, write_tsv_logs
 from ..sources.sinks import (profile, read_feature_csv, read_feature_table, read_importances, read_scores,
                              write_feature_csv, write_feature_table, write_importances, write_scores)
 from .features import KEYS, feature_table
+from .rollup import add_days, bucketed, launches_of_stored_windows, read_day_counts, store_windows
 
 W = STANDARD_WINDOWS
 
@@ -285,6 +286,36 @@ def weekly_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(feature_table(fixture_logs(spark, sf_dir, days), weekly))
 
 
+def incremental_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All windows from stored day counts: 23 days first, then the week that is new."""
+    raw, root = (checkpoint_path(spark, f"{name}_{uuid.uuid4().hex}") for name in ("logs", "days"))
+    write_parquet_logs(_logs(spark, sf_dir), raw)
+    logs = read_parquet_logs(spark, raw)
+    add_days(logs, root, 1, 23)
+    add_days(logs, root, 24, 30)
+    return rounded(feature_table(read_day_counts(spark, root), W))
+
+
+def feature_matrix_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature table with its blocks stored in buckets and joined without a shuffle."""
+    place = bucketed(spark, checkpoint_path(spark, f"blocks_{uuid.uuid4().hex}"))
+    return rounded(feature_table(_logs(spark, sf_dir), W, place=place))
+
+
+def stored_window_launches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Launch days of the labelled windows, both read from storage: logs by day, windows as a table."""
+    raw, path = (checkpoint_path(spark, f"{name}_{uuid.uuid4().hex}") for name in ("logs", "windows"))
+    write_parquet_logs(_logs(spark, sf_dir), raw)
+    store_windows(spark, W, path)
+    return launches_of_stored_windows(read_parquet_logs(spark, raw).launch, spark.read.parquet(path).where("labelled"))
+
+
+def user_author_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All authors of each user, through the chunked lists."""
+    return (pop.user_author_chunks(_logs(spark, sf_dir).activity, W)
+            .select("window_id", "user_id", F.explode("authors").alias("author_id")))
+
+
 def tsv_feature_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Window 1 from the logs' raw form: header-less tab-separated files in the shared folder."""
     paths = write_tsv_logs(_logs(spark, sf_dir), checkpoint_path(spark, f"tsv_{uuid.uuid4().hex}"))

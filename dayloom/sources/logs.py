@@ -29,6 +29,13 @@ class Logs:
     activity: DataFrame   # user_id, day, page, video_id, author_id, action_type
 
 
+@dataclass(frozen=True)
+class DayCounts(Logs):
+    """Logs counted by day already (``plans/rollup.py``): launches once per user and day, creations with
+    ``n``, activity with the day grain's counts, and ``items``: user_id, kind, item, day, n."""
+    items: DataFrame
+
+
 def read_tsv(spark: SparkSession, path: str, schema) -> DataFrame:
     return (spark.read.schema(schema)
             .option("sep", "\t").option("header", "false")

@@ -601,6 +601,10 @@ def all_sql() -> dict[str, str]:
         "csv_roundtrip": feature_matrix_sql(),
         "windows_roundtrip": feature_matrix_sql(),
         "tsv_feature_matrix": feature_matrix_sql(where="WHERE s.window_id = 1"),
+        "incremental_windows": feature_matrix_sql(),
+        "feature_matrix_bucketed": feature_matrix_sql(),
+        "stored_window_launches": _with("SELECT window_id, user_id, CAST(d AS INT) AS wday FROM la WHERE window_id IN (1, 2)"),
+        "user_author_lists": _with("SELECT DISTINCT window_id, user_id, author_id FROM ac WHERE author_id IS NOT NULL"),
         "weekly_windows": weekly_windows_sql(),
         "auc_of_feature": auc_of_feature_sql(),
         "importance_check": importance_check_sql(),
