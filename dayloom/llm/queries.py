@@ -49,7 +49,8 @@ def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mx.mix(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "size", "source_size", "target", "taken")
+    shards = F.array_join(F.transform("draws", lambda d: F.concat_ws(":", d["epoch"], d["shard"], d["words"])), ",")
+    return found.select("doc_id", "size", "source_size", "target", "taken", shards.alias("draws"))
 
 
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
