@@ -523,7 +523,9 @@ SELECT feature,
        THEN 'int' ELSE 'double' END AS dtype,
   (SELECT CAST(COUNT(*) AS BIGINT) FROM fm) AS n_rows, CAST(COUNT(value) AS BIGINT) AS non_null,
   {r6('CAST(SUM(CAST(value AS DECIMAL(38, 12))) AS DOUBLE) / COUNT(value)')} AS mean,
-  {r6('MIN(value)')} AS min, {r6('MAX(value)')} AS max
+  {r6('STDDEV_SAMP(value)')} AS std, {r6('MIN(value)')} AS min,
+  {r6('QUANTILE_DISC(value, 0.25)')} AS q25, {r6('QUANTILE_DISC(value, 0.5)')} AS median,
+  {r6('QUANTILE_DISC(value, 0.75)')} AS q75, {r6('MAX(value)')} AS max
 FROM long GROUP BY feature"""
 
 

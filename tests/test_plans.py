@@ -1,6 +1,9 @@
 """Physical-plan properties that matter at scale."""
 
+import math
 import re
+import statistics
+import sys
 
 import pytest
 
@@ -74,6 +77,36 @@ def test_profile_is_one_pass(spark):
     assert [tuple(r)[:4] for r in profile(table, ["id"]).collect()] == [("x", "double", 10, 10)]
 
 
+def test_profile_values(spark):
+    """Mean, deviation and quartiles against Python's, with nulls, ties, one value, none, and no rows."""
+    table = spark.range(0, 1000, 1, 7).selectExpr(
+        "CAST(pmod(id * 7919, 1000) AS INT) AS spread", "CASE WHEN id % 3 = 0 THEN id % 5 END AS ties",
+        "CASE WHEN id = 4 THEN 2.5D END AS single", "CAST(NULL AS DOUBLE) AS none", "1e9D + id % 2 AS far")
+    found = {r["feature"]: r for r in profile(table).collect()}
+    for c in table.columns:
+        values = sorted(r[0] for r in table.select(c).collect() if r[0] is not None)
+        r, n = found[c], len(values)
+        assert (r["n_rows"], r["non_null"], r["dtype"]) == (1000, n, dict(table.dtypes)[c])
+        assert (r["std"] is None) == (n < 2)
+        if n > 1:  # squared distances from means that are rounded to a double
+            near = sys.float_info.epsilon * abs(statistics.mean(values)) / statistics.stdev(values)
+            assert math.isclose(r["std"], statistics.stdev(values), rel_tol=max(near, 1e-12))
+        want = [values[max(math.ceil(q * n), 1) - 1] for q in (0, 0.25, 0.5, 0.75, 1)] if n else [None] * 5
+        assert [r["min"], r["q25"], r["median"], r["q75"], r["max"]] == want
+        assert r["mean"] == (math.fsum(values) / n if n else None)
+    empty = profile(table.where("spread < 0")).collect()
+    assert sorted(r["feature"] for r in empty) == sorted(table.columns)
+    assert all((r["n_rows"], r["non_null"], r["mean"], r["median"]) == (0, 0, None, None) for r in empty)
+
+
+def test_profile_quartiles_stay_within_the_stated_rank_error(spark):
+    """Skewed values over many partitions, with a coarse sketch: ranks off by at most n / accuracy."""
+    n, accuracy = 200_000, 50
+    r = profile(spark.range(0, n, 1, 16).selectExpr(f"pow(pmod(id * 7919, {n}), 3) AS x"), accuracy=accuracy).first()
+    for q, c in ((0.25, "q25"), (0.5, "median"), (0.75, "q75")):
+        assert abs(round(r[c] ** (1 / 3)) + 1 - q * n) <= n / accuracy + 1
+
+
 def test_scans_read_only_needed_columns(spark):
     logs = fixture_logs(spark, SF_SMALL)
     plan = _plan(feature_table(logs, STANDARD_WINDOWS, categories=list(range(12))))
