@@ -8,6 +8,7 @@ import re
 import tempfile
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -406,13 +407,28 @@ def brute_repeats(rows, length=50):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("group,hot", [(4 << 20, 64), (40_000, 2), (100_000, 1)])
+def test_bytes_of_a_minimizers_strings():
+    """What a group would send for each minimizer, copies once, against a plain count."""
+    texts = [cases.sentences(k, 40) for k in range(6)] + [cases.sentences(2, 40), "ab" * 200, cases.sentences(9, 12) + cases.sentences(3, 40)]
+    for length in (suffix_dedup.KMER, 50, 128):
+        group = suffix_dedup.Group(pa.table({"doc_id": range(len(texts)), "text": texts}), "doc_id", "text", length)
+        want = {}
+        for a, n, h in zip(group.first.tolist(), group.windows.tolist(), group.hash.tolist()):
+            want.setdefault(h, set()).add(group.raw[a:a + n + length - 1])
+        order = np.argsort(group.hash, kind="stable")
+        first = np.flatnonzero(np.diff(group.hash[order], prepend=~group.hash[order][:1]))
+        found = dict(zip(group.hash[order][first].tolist(), group.bytes_sent(order, first, length).tolist()))
+        assert found == {h: sum(map(len, s)) for h, s in want.items()}
+        assert length == suffix_dedup.KMER or max(map(len, want.values())) > 1
+
+
+@pytest.mark.parametrize("group,hot", [(4 << 20, suffix_dedup.HOT_BYTES), (40_000, 200), (100_000, 1)])
 def test_repeats_against_brute_force(spark, group, hot):
     rows = [(r["doc_id"], r["text"]) for r in common.table(spark, SF_SMALL, "documents").collect()]
     passage = cases.sentences(9, 30)
     rows += [(5000 + k, cases.sentences(k, 12) + " " + passage + " é " + cases.sentences(k + 50, 12)) for k in range(30)]
     rows += [(6000, "ab" * 200), (6001, "ab" * 150 + "c"), (6002, "a" * 49), (6003, "a" * 50), (6004, "a" * 51), (None, rows[3][1]), rows[4], (6005, None), (6006, "")]
-    found = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), group_bytes=group, bucket_bytes=group, hot_groups=hot)
+    found = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), group_bytes=group, bucket_bytes=group, hot_bytes=hot)
     assert cases.rows_of(found.drop("spans", "kept")) == brute_repeats(rows)
     for r in found.collect():
         assert sum(s["end"] - s["start"] for s in r["spans"]) == r["n_removed"]
