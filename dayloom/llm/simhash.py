@@ -14,8 +14,10 @@ from comparing to emitting.
 
 Scale: fingerprints are a narrow map.  Copies collapse into distinct fingerprints
 (partial aggregation) before anything is emitted or compared, so a group of copies of
-any size is one row.  Components come from rounds of large-star and small-star over the
-links, checkpointed in the shared folder; nothing is collected.
+any size is one row.  They are dealt to tasks of `FAN_ROWS` before each becomes many rows.  Components come
+from rounds of large-star and small-star over the links, checkpointed in the shared folder; nothing is collected.
+The root of a large component is one hot key: least neighbours are written before they meet the links, so that both
+sides of that join are plain exchanges, whose skewed parts Spark splits.
 """
 
 from __future__ import annotations
@@ -34,6 +36,8 @@ SEED = 42
 SPARSE = 64
 #: Shingles whose bits are counted at once.
 CHUNK = 1 << 16
+#: Distinct fingerprints of a task that emits their keys.
+FAN_ROWS = 1 << 14
 
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
@@ -107,6 +111,7 @@ def links(nodes: DataFrame, most: int = MAX_BITS) -> DataFrame:
                      F.shiftrightunsigned(_rotated(F.col("fp"), width * s).bitwiseXOR(F.lit(_signed(f))), room).alias("k"))
             for s in range(m) for f in flips)))
 
+    nodes = nodes.repartition(count // FAN_ROWS + 1, "fp")
     plain = nodes.select(F.col("fp").alias("a"), keyed([0]))
     varied = nodes.select(F.col("fp").alias("b"), keyed(masks))
     # hinted: the optimizer takes a side's size from before its rows are multiplied, and would broadcast it
@@ -122,7 +127,8 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """node, root (the component's smallest node) of all nodes in `edges` (a, b).
 
     Alternating large-star and small-star steps, O(log^2 n) rounds; each round's edges are
-    checkpointed, and a count and a checksum tell when they stay.
+    checkpointed, and a count and a checksum tell when they stay.  Edges that do not settle within `rounds`
+    rounds raise RuntimeError.
     """
     shared_dir(edges.sparkSession)
 
@@ -138,7 +144,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
             break
         before = state
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = both.join(star(both), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        large = both.join(written(star(both), "least"), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         mins = star(large)
         small = (large.join(mins, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(mins.select("u", F.col("m").alias("v")))).where("u <> v").distinct()
@@ -164,7 +170,8 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, most: int = MAX_BITS,
     link like any other.  Texts with fewer than `width` words hash whole.  Equal
     fingerprints always share a component, so exact copies and repeated rows do.  Null keys are kept and never
     chosen as component_id unless a component has no other.  An empty table gives an
-    empty result; other columns are not looked at.
+    empty result; other columns are not looked at.  Components that do not settle in 60 rounds of
+    stars raise RuntimeError.
     """
     found = written(fingerprints(docs, width, key, text), "simhash")
     least = found.groupBy("fp").agg(F.min(key).alias("least"))
