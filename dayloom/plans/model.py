@@ -1,11 +1,17 @@
 """Training, evaluation, importances and scoring on Spark ML.
 
-The boosted-tree learner is Spark's ``GBTClassifier`` (there is no
+The boosted-tree model is Spark's ``GBTClassificationModel`` (there is no
 leaf-wise learner in Spark ML): depth, step size, row / feature subsampling,
 minimum gain and round budget map one to one; leaf count and L1/L2 terms have
 no counterpart.  Validation is temporal -- fit on earlier windows, evaluate on
 a later one -- never a random split.
 
+Its trees are grown by `boosting.py` with the rule of Spark's ``GBTClassifier`` (variance of the residuals of
+the log loss, features drawn for each node, mean residuals in the leaves), which takes a job for each level of each tree
+and begins anew for more rounds.  Here a fit of more rounds goes on from the trees that there are, and rows of
+one task get a block of trees in a job.  Rows and features are drawn with other random numbers, and features of more than
+`MAX_BINS` values are cut at quantiles of all rows, so trees are not those of ``GBTClassifier`` one by one.
+
 ``device_type`` is a code, not a quantity, and may have any number of values:
 it is replaced by its smoothed mean label on the training windows (a small
 table joined to the rows, overall mean for codes unseen there), the ordering by
@@ -17,24 +23,33 @@ node statistics do not grow with the number of codes.
 from __future__ import annotations
 
 import itertools
+import json
 import uuid
+from collections.abc import Iterator
 from dataclasses import dataclass, field, replace
 from typing import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
+from pyspark import RDD
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_path
+from . import boosting
 from .codes import CodeMeans, code_means, with_code_means
 from .features import feature_names
 
 CATEGORICAL = "device_type"
 MAX_BINS = 64
 FEATURES = "features"
+#: Rounds that a fit stores at once.
+BLOCK = 200
 
 
 @dataclass(frozen=True)
@@ -80,7 +95,7 @@ def _vectors(table: DataFrame, means: CodeMeans, features: Sequence[str], traine
     return rows.select("window_id", "user_id", label.alias("label"), FEATURES)
 
 
-def _learner(cfg: GBTConfig, rounds: int) -> GBTClassifier:
+def _spark_learner(cfg: GBTConfig, rounds: int) -> GBTClassifier:
     return GBTClassifier(
         labelCol="label", featuresCol=FEATURES, maxIter=rounds,
         stepSize=cfg.step_size, maxDepth=cfg.max_depth, subsamplingRate=cfg.subsampling_rate,
@@ -88,17 +103,139 @@ def _learner(cfg: GBTConfig, rounds: int) -> GBTClassifier:
         minInstancesPerNode=cfg.min_instances_per_node, maxBins=MAX_BINS, seed=cfg.seed, **cfg.extra)
 
 
+class Training:
+    """Training rows as vectors, with the fit of them so far."""
+
+    def __init__(self, rows: DataFrame, features: tuple[str, ...]):
+        self.rows, self.features = rows, features
+        self.grown: boosting.Fit | None = None
+        self._base: RDD | None = None
+
+    def upto(self, cfg: boosting.Config) -> boosting.Fit:
+        """The fit with `cfg.rounds` trees at least; those that there are stay."""
+        if self.grown is None or replace(self.grown.cfg, rounds=cfg.rounds) != cfg:
+            odd = F.exists(vector_to_array(FEATURES), lambda x: F.isnan(x) | (F.abs(x) == float("inf")))
+            n, wrong = self.rows.agg(F.count(F.lit(1)), F.count_if(F.coalesce(odd | ~F.col("label").isin(0.0, 1.0), F.lit(True)))).first()
+            if not n or wrong:
+                raise ValueError(f"{wrong} of {n} training rows have a label other than 0 and 1 or a feature that is no finite number")
+            data = _binned(self.rows, self.features)
+            self._base = boosting.training_blocks(data.rows, len(self.features))
+            self.grown = boosting.begin(data, data.rows, cfg, checkpoint_path(self.rows.sparkSession, f"gbt_trees_{uuid.uuid4().hex}"))
+        if len(self.grown.trees) < cfg.rounds:
+            self.grown = boosting.advance(self.grown, self._base, cfg.rounds, BLOCK)
+        return self.grown
+
+    def done(self) -> None:
+        if self._base is not None:
+            self._base.unpersist()
+
+
+@dataclass(frozen=True)
+class Learner:
+    cfg: GBTConfig
+    rounds: int
+
+    def fit(self, training: Training) -> GBTClassificationModel:
+        cfg, spark_learner = self.cfg, _spark_learner(self.cfg, self.rounds)
+        share = _share(cfg.feature_subset)
+        if cfg.extra or share is None:  # settings that only Spark's learner knows
+            return spark_learner.fit(training.rows)
+        grown = training.upto(boosting.Config(
+            rounds=self.rounds, step=cfg.step_size, depth=cfg.max_depth, leaves=1 << cfg.max_depth, min_gain=cfg.min_info_gain, row_share=cfg.subsampling_rate,
+            feature_share=share, l1=0.0, l2=0.0, min_hessian=-1.0, min_rows=cfg.min_instances_per_node, seed=cfg.seed, means=True))
+        return _spark_model(grown, spark_learner)
+
+
+def _share(subset: str) -> float | None:
+    """The fraction of features that `subset` names, if it names one."""
+    try:
+        return 1.0 if subset == "all" else float(subset) if 0 < float(subset) <= 1 and "." in subset else None
+    except ValueError:
+        return None
+
+
+def _learner(cfg: GBTConfig, rounds: int) -> Learner:
+    return Learner(cfg, rounds)
+
+
+def _cut_points(rows: DataFrame, width: int) -> tuple[np.ndarray, ...]:
+    """Where the bins of each feature of `rows` (x, an array) end: halfway between its values, at quantiles if they are more than `MAX_BINS`."""
+    def values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: list[np.ndarray | None] = [np.empty(0)] * width
+        for b in batches:
+            x = b.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+            for i, f in enumerate(found):
+                if f is not None:
+                    f = np.unique(np.concatenate([f, x[:, i]]))
+                    found[i] = f if len(f) <= MAX_BINS else None
+        yield pa.RecordBatch.from_arrays([pa.array(range(width), pa.int32()), pa.array([None if f is None else f.tolist() for f in found], pa.list_(pa.float64()))],
+                                         names=["place", "found"])
+
+    some = rows.mapInArrow(values, "place int, found array<double>").groupBy("place").agg(
+        F.when(F.count_if(F.col("found").isNull()) == 0, F.array_distinct(F.flatten(F.collect_list("found")))).alias("found"))
+    few = {r["place"]: np.unique(r["found"]) for r in some.where(f"size(found) <= {MAX_BINS}").collect()}
+    many = [i for i in range(width) if i not in few]
+    quantiles = boosting.cut_points(rows.select(*(F.col("x")[i].alias(f"_{i}") for i in many)), [f"_{i}" for i in many]) if many else ()
+    return tuple((few[i][1:] + few[i][:-1]) / 2 if i in few else quantiles[many.index(i)] for i in range(width))
+
+
+def _binned(rows: DataFrame, features: tuple[str, ...]) -> boosting.Binned:
+    """The rows with a byte for each feature, as `boosting` packs them."""
+    width = len(features)
+    arrays = rows.select(vector_to_array(FEATURES).alias("x"), "window_id", "user_id", "label")
+    cuts = _cut_points(arrays.select("x"), width)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x = b.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+            codes = np.stack([np.searchsorted(cuts[i], x[:, i]) for i in range(width)], axis=1).astype(np.uint8)
+            yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(map(bytes, codes), pa.binary())], names=["window_id", "user_id", "label", "bins"])
+
+    kinds = dict(arrays.dtypes)
+    path = checkpoint_path(rows.sparkSession, f"binned_{uuid.uuid4().hex}")
+    arrays.mapInArrow(run, f"window_id {kinds['window_id']}, user_id {kinds['user_id']}, label double, bins binary").write.parquet(path)
+    return boosting.Binned(rows.sparkSession.read.parquet(path), features, cuts)
+
+
+def _spark_model(grown: boosting.Fit, learner: GBTClassifier) -> GBTClassificationModel:
+    """Spark's model of the first trees, as many as the learner's rounds, by way of its saved form.
+
+    What surrounds the trees in that form comes from a model of the same settings and width that this Spark saves.
+    """
+    spark, rounds = SparkSession.getActiveSession(), learner.getMaxIter()
+    form, path = (checkpoint_path(spark, f"{name}_{uuid.uuid4().hex}") for name in ("gbt_form", "gbt_saved"))
+    two = spark.createDataFrame([(float(i), Vectors.sparse(len(grown.features), [])) for i in range(2)], ["label", FEATURES])
+    learner.copy({learner.maxIter: 1, learner.subsamplingRate: 1.0}).fit(two).save(form)
+    head = json.loads(spark.read.text(f"{form}/metadata").first()[0])
+    head["numTrees"] = rounds
+    head["paramMap"] |= {"maxIter": rounds, "subsamplingRate": learner.getSubsamplingRate()}
+    spark.createDataFrame([(json.dumps(head),)], "value string").coalesce(1).write.text(f"{path}/metadata")
+    trees = spark.read.parquet(f"{form}/treesMetadata")
+    tree, of, weight = trees.columns
+    (spark.range(rounds).crossJoin(F.broadcast(trees.select(of)))
+     .select(F.col("id").cast("int").alias(tree), of, F.when(F.col("id") == 0, 1.0).otherwise(learner.getStepSize()).alias(weight)).write.parquet(f"{path}/treesMetadata"))
+    mean, leaf, n = "(-grad / greatest(n_rows, 1))", "feature < 0", "cast(n_rows as double)"
+    nodes = grown.node_table(spark).where(F.col("tree") < rounds).selectExpr("tree as treeID", f"""named_struct(
+        'id', node, 'prediction', {mean}, 'impurity', greatest(hess / greatest(n_rows, 1) - {mean} * {mean}, 0D), 'impurityStats', array({n}, -grad, hess),
+        'rawCount', n_rows, 'gain', if({leaf}, -1D, gain), 'leftChild', low, 'rightChild', high,
+        'split', named_struct('featureIndex', feature, 'leftCategoriesOrThreshold', if({leaf}, array(), array(threshold)), 'numCategories', -1)) as nodeData""")
+    nodes.to(spark.read.parquet(f"{form}/data").schema).write.parquet(f"{path}/data")
+    return GBTClassificationModel.load(path)
+
+
 def _training(table: DataFrame, windows: Sequence[int]):
     features = tuple(feature_names(table))
     rows = table.where(F.col("window_id").isin(list(windows)))
     means = code_means(rows, CATEGORICAL)
-    return features, means, _vectors(rows, means, features, trained_on=True).checkpoint()
+    return features, means, Training(_vectors(rows, means, features, trained_on=True).checkpoint(), features)
 
 
 def fit(table: DataFrame, train_windows: Sequence[int], cfg: GBTConfig) -> Model:
     """Fit on ``train_windows`` with the whole budget."""
     features, means, data = _training(table, train_windows)
-    return Model(_learner(cfg, cfg.max_iter).fit(data), means, features)
+    gbt = _learner(cfg, cfg.max_iter).fit(data)
+    data.done()
+    return Model(gbt, means, features)
 
 
 def best_round(losses: Sequence[float]) -> int:
@@ -109,7 +246,7 @@ def best_round(losses: Sequence[float]) -> int:
 def fit_with_patience(table: DataFrame, train_windows: Sequence[int], valid_window: int, cfg: GBTConfig) -> Model:
     """Fit on ``train_windows``; the validation window's loss after each round says where to stop.
 
-    A fit of more rounds begins with the same trees, so the budget doubles until
+    A fit of more rounds goes on from the trees that there are, and the budget doubles until
     the best round lies ``cfg.patience`` rounds back (or ``cfg.max_iter`` is reached);
     the model is the fit of that many rounds.
     """
@@ -120,7 +257,9 @@ def fit_with_patience(table: DataFrame, train_windows: Sequence[int], valid_wind
         gbt = _learner(cfg, rounds).fit(data)
         best = best_round(gbt.evaluateEachIteration(valid))
         if rounds >= cfg.max_iter or rounds - best >= cfg.patience:
-            return Model(gbt if best == rounds else _learner(cfg, best).fit(data), means, features)
+            gbt = gbt if best == rounds else _learner(cfg, best).fit(data)
+            data.done()
+            return Model(gbt, means, features)
         rounds = min(cfg.max_iter, 2 * rounds)
 
 
