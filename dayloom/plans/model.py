@@ -110,6 +110,9 @@ class Training:
         self.rows, self.features = rows, features
         self.grown: boosting.Fit | None = None
         self._base: RDD | None = None
+        self._form: tuple[GBTConfig, str] | None = None
+        #: Whether each tree of a model gets its own copy of the settings, for which Spark takes most of the time of loading.
+        self.settings = True
 
     def upto(self, cfg: boosting.Config) -> boosting.Fit:
         """The fit with `cfg.rounds` trees at least; those that there are stay."""
@@ -125,6 +128,12 @@ class Training:
             self.grown = boosting.advance(self.grown, self._base, cfg.rounds, BLOCK)
         return self.grown
 
+    def form(self, cfg: GBTConfig) -> str:
+        """The saved model that the fits with these settings take their form from, made once."""
+        if self._form is None or self._form[0] != cfg:
+            self._form = cfg, _saved_form(_spark_learner(cfg, 1), len(self.features))
+        return self._form[1]
+
     def done(self) -> None:
         if self._base is not None:
             self._base.unpersist()
@@ -143,7 +152,7 @@ class Learner:
         grown = training.upto(boosting.Config(
             rounds=self.rounds, step=cfg.step_size, depth=cfg.max_depth, leaves=1 << cfg.max_depth, min_gain=cfg.min_info_gain, row_share=cfg.subsampling_rate,
             feature_share=share, l1=0.0, l2=0.0, min_hessian=-1.0, min_rows=cfg.min_instances_per_node, seed=cfg.seed, means=True))
-        return _spark_model(grown, spark_learner)
+        return _spark_model(grown, spark_learner, training.form(cfg), training.settings)
 
 
 def _share(subset: str) -> float | None:
@@ -197,23 +206,32 @@ def _binned(rows: DataFrame, features: tuple[str, ...]) -> boosting.Binned:
     return boosting.Binned(rows.sparkSession.read.parquet(path), features, cuts)
 
 
-def _spark_model(grown: boosting.Fit, learner: GBTClassifier) -> GBTClassificationModel:
+def _saved_form(learner: GBTClassifier, width: int) -> str:
+    """Where this Spark has saved a model of the learner's settings and so many features."""
+    spark = SparkSession.getActiveSession()
+    path = checkpoint_path(spark, f"gbt_form_{uuid.uuid4().hex}")
+    two = spark.createDataFrame([(float(i), Vectors.sparse(width, [])) for i in range(2)], ["label", FEATURES])
+    learner.copy({learner.maxIter: 1, learner.subsamplingRate: 1.0}).fit(two).save(path)
+    return path
+
+
+def _spark_model(grown: boosting.Fit, learner: GBTClassifier, form: str, settings: bool = True) -> GBTClassificationModel:
     """Spark's model of the first trees, as many as the learner's rounds, by way of its saved form.
 
-    What surrounds the trees in that form comes from a model of the same settings and width that this Spark saves.
+    What surrounds the trees comes from the saved model `form`; without `settings` each tree keeps Spark's defaults, which no prediction depends on.
     """
     spark, rounds = SparkSession.getActiveSession(), learner.getMaxIter()
-    form, path = (checkpoint_path(spark, f"{name}_{uuid.uuid4().hex}") for name in ("gbt_form", "gbt_saved"))
-    two = spark.createDataFrame([(float(i), Vectors.sparse(len(grown.features), [])) for i in range(2)], ["label", FEATURES])
-    learner.copy({learner.maxIter: 1, learner.subsamplingRate: 1.0}).fit(two).save(form)
+    path = checkpoint_path(spark, f"gbt_saved_{uuid.uuid4().hex}")
     head = json.loads(spark.read.text(f"{form}/metadata").first()[0])
     head["numTrees"] = rounds
     head["paramMap"] |= {"maxIter": rounds, "subsamplingRate": learner.getSubsamplingRate()}
     spark.createDataFrame([(json.dumps(head),)], "value string").coalesce(1).write.text(f"{path}/metadata")
     trees = spark.read.parquet(f"{form}/treesMetadata")
     tree, of, weight = trees.columns
-    (spark.range(rounds).crossJoin(F.broadcast(trees.select(of)))
-     .select(F.col("id").cast("int").alias(tree), of, F.when(F.col("id") == 0, 1.0).otherwise(learner.getStepSize()).alias(weight)).write.parquet(f"{path}/treesMetadata"))
+    about = json.loads(trees.first()[of])
+    about = json.dumps(about if settings else about | {"paramMap": {}, "defaultParamMap": {}})
+    (spark.range(rounds).select(F.col("id").cast("int").alias(tree), F.lit(about).alias(of), F.when(F.col("id") == 0, 1.0).otherwise(learner.getStepSize()).alias(weight))
+     .write.parquet(f"{path}/treesMetadata"))
     mean, leaf, n = "(-grad / greatest(n_rows, 1))", "feature < 0", "cast(n_rows as double)"
     nodes = grown.node_table(spark).where(F.col("tree") < rounds).selectExpr("tree as treeID", f"""named_struct(
         'id', node, 'prediction', {mean}, 'impurity', greatest(hess / greatest(n_rows, 1) - {mean} * {mean}, 0D), 'impurityStats', array({n}, -grad, hess),
@@ -253,11 +271,12 @@ def fit_with_patience(table: DataFrame, train_windows: Sequence[int], valid_wind
     features, means, data = _training(table, train_windows)
     valid = _vectors(table.where(F.col("window_id") == valid_window), means, features).checkpoint()
     rounds = min(cfg.max_iter, (cfg.patience or cfg.max_iter) + 50)
+    data.settings = False  # models that are only asked for their losses
     while True:
-        gbt = _learner(cfg, rounds).fit(data)
-        best = best_round(gbt.evaluateEachIteration(valid))
+        best = best_round(_learner(cfg, rounds).fit(data).evaluateEachIteration(valid))
         if rounds >= cfg.max_iter or rounds - best >= cfg.patience:
-            gbt = gbt if best == rounds else _learner(cfg, best).fit(data)
+            data.settings = True
+            gbt = _learner(cfg, best).fit(data)
             data.done()
             return Model(gbt, means, features)
         rounds = min(cfg.max_iter, 2 * rounds)
