@@ -111,8 +111,8 @@ class Training:
         self.grown: boosting.Fit | None = None
         self._base: RDD | None = None
         self._form: tuple[GBTConfig, str] | None = None
-        #: Whether each tree of a model gets its own copy of the settings, for which Spark takes most of the time of loading.
-        self.settings = True
+        #: Whether fits are only asked for their losses, which need no model of Spark's.
+        self.losses_only = False
 
     def upto(self, cfg: boosting.Config) -> boosting.Fit:
         """The fit with `cfg.rounds` trees at least; those that there are stay."""
@@ -152,7 +152,35 @@ class Learner:
         grown = training.upto(boosting.Config(
             rounds=self.rounds, step=cfg.step_size, depth=cfg.max_depth, leaves=1 << cfg.max_depth, min_gain=cfg.min_info_gain, row_share=cfg.subsampling_rate,
             feature_share=share, l1=0.0, l2=0.0, min_hessian=-1.0, min_rows=cfg.min_instances_per_node, seed=cfg.seed, means=True))
-        return _spark_model(grown, spark_learner, training.form(cfg), training.settings)
+        return Losses(grown, self.rounds) if training.losses_only else _spark_model(grown, spark_learner, training.form(cfg))
+
+
+@dataclass(frozen=True)
+class Losses:
+    """The first trees of a fit as far as stopping asks for them: loading Spark's model takes longer than growing its trees."""
+    grown: boosting.Fit
+    rounds: int
+
+    def evaluateEachIteration(self, rows: DataFrame) -> list[float]:
+        """The mean loss of the rows after each round, as Spark's model of the same trees has it."""
+        trees, cuts, start = rows.sparkSession.sparkContext.broadcast(boosting.slim(self.grown.trees[:self.rounds])), self.grown.cuts, self.grown.start
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total, n = np.zeros(len(trees.value)), 0
+            for b in batches:
+                for a in range(0, b.num_rows, boosting.STEP_ROWS):
+                    some = b.slice(a, boosting.STEP_ROWS)
+                    columns, y = boosting.by_feature(_codes(some.column(0), cuts)), 2 * some.column(1).to_numpy(zero_copy_only=False) - 1
+                    for i, margin in enumerate(boosting.margins_by_round(trees.value, columns, start)):
+                        total[i] += 2 * np.logaddexp(0, -2 * y * margin).sum()
+                n += b.num_rows
+            yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([total.tolist()], pa.list_(pa.float64()))], names=["n", "total"])
+
+        parts = rows.select(vector_to_array(FEATURES).alias("x"), "label").mapInArrow(run, "n long, total array<double>").select("n", F.posexplode("total").alias("round", "total"))
+        found = [tuple(r) for r in parts.groupBy("round").agg(F.sum("total"), F.sum("n")).orderBy("round").collect()]
+        if any(n and np.isnan(total) for _, total, n in found):
+            raise ValueError("rows without a label have no loss")
+        return [total / n if n else float("nan") for _, total, n in found] or [float("nan")] * len(trees.value)
 
 
 def _share(subset: str) -> float | None:
@@ -196,8 +224,7 @@ def _binned(rows: DataFrame, features: tuple[str, ...]) -> boosting.Binned:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = b.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
-            codes = np.stack([np.searchsorted(cuts[i], x[:, i]) for i in range(width)], axis=1).astype(np.uint8)
+            codes = _codes(b.column(0), cuts)
             yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(map(bytes, codes), pa.binary())], names=["window_id", "user_id", "label", "bins"])
 
     kinds = dict(arrays.dtypes)
@@ -206,6 +233,12 @@ def _binned(rows: DataFrame, features: tuple[str, ...]) -> boosting.Binned:
     return boosting.Binned(rows.sparkSession.read.parquet(path), features, cuts)
 
 
+def _codes(x: pa.Array, cuts: Sequence[np.ndarray]) -> np.ndarray:
+    """The bin of each feature of the rows (an array each)."""
+    x = x.flatten().to_numpy(zero_copy_only=False).reshape(-1, len(cuts))
+    return np.stack([np.searchsorted(c, x[:, i]) for i, c in enumerate(cuts)], axis=1).astype(np.uint8)
+
+
 def _saved_form(learner: GBTClassifier, width: int) -> str:
     """Where this Spark has saved a model of the learner's settings and so many features."""
     spark = SparkSession.getActiveSession()
@@ -215,10 +248,10 @@ def _saved_form(learner: GBTClassifier, width: int) -> str:
     return path
 
 
-def _spark_model(grown: boosting.Fit, learner: GBTClassifier, form: str, settings: bool = True) -> GBTClassificationModel:
+def _spark_model(grown: boosting.Fit, learner: GBTClassifier, form: str) -> GBTClassificationModel:
     """Spark's model of the first trees, as many as the learner's rounds, by way of its saved form.
 
-    What surrounds the trees comes from the saved model `form`; without `settings` each tree keeps Spark's defaults, which no prediction depends on.
+    What surrounds the trees comes from the saved model `form`.
     """
     spark, rounds = SparkSession.getActiveSession(), learner.getMaxIter()
     path = checkpoint_path(spark, f"gbt_saved_{uuid.uuid4().hex}")
@@ -228,8 +261,7 @@ def _spark_model(grown: boosting.Fit, learner: GBTClassifier, form: str, setting
     spark.createDataFrame([(json.dumps(head),)], "value string").coalesce(1).write.text(f"{path}/metadata")
     trees = spark.read.parquet(f"{form}/treesMetadata")
     tree, of, weight = trees.columns
-    about = json.loads(trees.first()[of])
-    about = json.dumps(about if settings else about | {"paramMap": {}, "defaultParamMap": {}})
+    about = trees.first()[of]
     (spark.range(rounds).select(F.col("id").cast("int").alias(tree), F.lit(about).alias(of), F.when(F.col("id") == 0, 1.0).otherwise(learner.getStepSize()).alias(weight))
      .write.parquet(f"{path}/treesMetadata"))
     mean, leaf, n = "(-grad / greatest(n_rows, 1))", "feature < 0", "cast(n_rows as double)"
@@ -271,11 +303,11 @@ def fit_with_patience(table: DataFrame, train_windows: Sequence[int], valid_wind
     features, means, data = _training(table, train_windows)
     valid = _vectors(table.where(F.col("window_id") == valid_window), means, features).checkpoint()
     rounds = min(cfg.max_iter, (cfg.patience or cfg.max_iter) + 50)
-    data.settings = False  # models that are only asked for their losses
+    data.losses_only = True
     while True:
         best = best_round(_learner(cfg, rounds).fit(data).evaluateEachIteration(valid))
         if rounds >= cfg.max_iter or rounds - best >= cfg.patience:
-            data.settings = True
+            data.losses_only = False
             gbt = _learner(cfg, best).fit(data)
             data.done()
             return Model(gbt, means, features)

@@ -47,6 +47,20 @@ def test_more_rounds_go_on_from_the_trees_that_there_are(rows, monkeypatch):
     assert all(x.evaluateEachIteration(rows) == pytest.approx(curve[:n]) for x, n in ((a, 4), (c, 9), (e, 6)))
 
 
+def test_losses_need_no_model_of_sparks(rows, monkeypatch):
+    """Each doubled budget had Spark load a model of all its trees, only to ask for the losses."""
+    cfg, training = replace(m.TUNING, max_iter=9), m.Training(rows, tuple("abcdef"))
+    curve = m._learner(cfg, 9).fit(training).evaluateEachIteration(rows)
+    training.losses_only = True
+    monkeypatch.setattr(m, "_spark_model", lambda *a: pytest.fail("a model was loaded"))
+    for n in (4, 9):
+        assert m._learner(cfg, n).fit(training).evaluateEachIteration(rows) == pytest.approx(curve[:n], rel=1e-9)
+    few = m._learner(cfg, 4).fit(training)
+    assert all(x != x for x in few.evaluateEachIteration(rows.where("label > 1")))
+    with pytest.raises(ValueError):
+        few.evaluateEachIteration(rows.withColumn("label", F.when(F.col("user_id") != 3, F.col("label"))))
+
+
 def test_rows_of_many_tasks_give_the_same_trees(rows, monkeypatch):
     one = m._learner(CFG, 4).fit(m.Training(rows, tuple("abcdef")))
     monkeypatch.setattr(b, "TASK_BYTES", 0)
